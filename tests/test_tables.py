@@ -1,0 +1,229 @@
+"""Catalog tables: declaring, overwriting, clustering, repairing, dropping."""
+
+import datetime as dt
+import glob
+import os
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import moraine as m
+from moraine.catalog.tables import ddl_columns, partition_columns
+from tests.plans import line_of, plan_of
+
+D1, D2, D3 = (dt.date(2024, 1, day) for day in (1, 2, 3))
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@pytest.fixture
+def days(spark):
+    return spark.createDataFrame(
+        [(1, 1.0, D1), (2, 2.0, D2), (3, 3.0, None)], "id bigint, value double, d date"
+    )
+
+
+@pytest.fixture
+def table(spark, database, days, tmp_path):
+    name = f"{database}.days"
+    m.create_external_table(spark, name, days.schema, str(tmp_path / "days"), {"d": "date"})
+    m.overwrite_partitions(days, name)
+    return name
+
+
+def contents(spark, name):
+    return sorted((tuple(r) for r in spark.table(name).collect()), key=repr)
+
+
+def test_overwrite_leaves_other_partitions_alone(spark, table):
+    again = spark.createDataFrame([(20, 20.0, D2), (30, 30.0, D3)], "id bigint, value double, d date")
+    expected = [(1, 1.0, D1), (20, 20.0, D2), (3, 3.0, None), (30, 30.0, D3)]
+    for _ in range(2):
+        m.overwrite_partitions(again, table)
+        assert contents(spark, table) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("before", ["static", "dynamic"])
+def test_overwrite_puts_session_settings_back(spark, table, days, settings, before):
+    settings(OVERWRITE_MODE, before)
+    settings("spark.sql.adaptive.enabled", "false")
+    m.overwrite_partitions(days, table)
+    assert spark.conf.get(OVERWRITE_MODE) == before
+    with pytest.raises(Exception):
+        m.overwrite_partitions(days.withColumn("value", F.raise_error(F.lit("no"))), table)
+    assert spark.conf.get(OVERWRITE_MODE) == before
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+    assert len(contents(spark, table)) == 3
+
+
+def test_failed_overwrite_is_raised_and_keeps_the_table(spark, table, days):
+    before = contents(spark, table)
+    bad = days.withColumn("value", F.when(F.col("id") == 2, F.raise_error(F.lit("no"))).otherwise(1.0))
+    with pytest.raises(Exception, match="no"):
+        m.overwrite_partitions(bad, table)
+    assert contents(spark, table) == before
+
+
+def test_overwrite_goes_by_name_not_by_position(spark, database, tmp_path):
+    name = f"{database}.swapped"
+    schema = "a bigint, b bigint, d date"
+    df = spark.createDataFrame([(1, 2, D1)], schema)
+    m.create_external_table(spark, name, df.schema, str(tmp_path / "t"), {"d": "date"})
+    m.overwrite_partitions(df.select("d", F.col("b").alias("B"), "a", F.lit(9).alias("z")), name)
+    assert contents(spark, name) == [(1, 2, D1)]
+    with pytest.raises(ValueError, match="b"):
+        m.overwrite_partitions(df.drop("b"), name)
+
+
+def test_overwrite_of_a_table_without_partitions_is_refused(spark, database, days, tmp_path):
+    m.save_external_table(days, f"{database}.flat", str(tmp_path / "flat"))
+    with pytest.raises(ValueError, match="no partitions"):
+        m.overwrite_partitions(days, f"{database}.flat")
+
+
+def test_null_dates_go_to_the_default_partition(spark, table):
+    names = [r.partition for r in m.show_partitions(spark, table).collect()]
+    assert sorted(names) == ["d=2024-01-01", "d=2024-01-02", "d=__HIVE_DEFAULT_PARTITION__"]
+    assert spark.table(table).where("d is null").count() == 1
+
+
+def test_declaring_again_is_fine_but_only_as_the_same_table(spark, table, days, tmp_path):
+    location = str(tmp_path / "days")
+    m.create_external_table(spark, table, days.schema, f"file:{location}/", {"d": "date"})
+    assert len(contents(spark, table)) == 3
+    wider = T.StructType([*days.schema.fields, T.StructField("more", T.StringType())])
+    for schema, place, partitions in (
+        (days.schema, str(tmp_path / "elsewhere"), {"d": "date"}),
+        (wider, location, {"d": "date"}),
+        (days.schema, location, {"d": "string"}),
+        (days.schema, location, {}),
+    ):
+        with pytest.raises(m.TableMismatch):
+            m.create_external_table(spark, table, schema, place, partitions)
+
+
+def test_declared_columns_are_quoted(spark, database, tmp_path):
+    schema = T.StructType(
+        [
+            T.StructField("odd name", T.LongType()),
+            T.StructField("select", T.StringType()),
+            T.StructField("d", T.DateType()),
+        ]
+    )
+    assert ddl_columns(schema) == "`odd name` bigint, `select` string, `d` date"
+    m.create_external_table(spark, f"{database}.odd", schema, str(tmp_path / "it's"), {"d": "date"})
+    assert spark.table(f"{database}.odd").columns == ["odd name", "select", "d"]
+    assert partition_columns(spark, f"{database}.odd") == ["d"]
+
+
+def test_managed_tables(spark, database, days, tmp_path):
+    m.create_managed_table(spark, f"{database}.managed", days.schema, {"d": "date"})
+    m.overwrite_partitions(days, f"{database}.managed")
+    assert len(contents(spark, f"{database}.managed")) == 3
+    with pytest.raises(m.TableMismatch, match="MANAGED"):
+        m.drop_external_table(spark, f"{database}.managed")
+    m.save_external_table(days, f"{database}.external", str(tmp_path / "e"), ["d"])
+    with pytest.raises(m.TableMismatch, match="not managed"):
+        m.create_managed_table(spark, f"{database}.external", days.schema, {"d": "date"})
+
+
+def test_dropping_keeps_the_files(spark, table, tmp_path):
+    location = m.drop_external_table(spark, table)
+    assert location.endswith(str(tmp_path / "days"))
+    assert not spark.catalog.tableExists(table)
+    assert spark.read.parquet(location).count() == 3
+
+
+def test_repair_registers_and_removes(spark, table, days, tmp_path):
+    found = days.where("id = 1").withColumn("d", F.lit(D3))
+    m.write_partitions(found, str(tmp_path / "days"), ["d"], mode="append")
+    assert spark.table(table).where(F.col("d") == F.lit(D3)).count() == 0
+    m.repair_partitions(spark, table)
+    assert spark.table(table).where(F.col("d") == F.lit(D3)).count() == 1
+    os.rename(tmp_path / "days" / "d=2024-01-03", tmp_path / "gone")
+    m.repair_partitions(spark, table)
+    assert m.show_partitions(spark, table).count() == 4
+    m.repair_partitions(spark, table, drop_missing=True)
+    assert m.show_partitions(spark, table).count() == 3
+
+
+def test_tables_are_listed_and_described(spark, table, database):
+    assert [r.tableName for r in m.show_tables(spark, database).collect()] == ["days"]
+    plain = {r.col_name: r.data_type for r in m.describe_table(spark, table).collect()}
+    assert plain["value"] == "double" and plain["d"] == "date"
+    extended = {r.col_name: r.data_type for r in m.describe_table(spark, table, True).collect()}
+    assert extended["Type"] == "EXTERNAL" and extended["Provider"].lower() == "parquet"
+
+
+def test_day_filter_reads_one_partition(spark, table):
+    plan = plan_of(m.partition_equals(spark.table(table), "d", "2024-01-02").select("id"))
+    assert "PartitionFilters: [isnotnull(d" in plan
+    assert line_of(plan, "ReadSchema:") == ["struct<id:bigint>"]
+    files = m.partition_equals(spark.table(table), "d", "2024-01-02").select(F.input_file_name())
+    assert all("d=2024-01-02" in r[0] for r in files.collect())
+
+
+def test_per_day_check_of_a_table_reads_no_columns(spark, table):
+    plan = plan_of(m.daily_counts_sql(spark, table, "d", "n"))
+    assert line_of(plan, "ReadSchema:") == ["struct<>"]
+    assert plan.count("partial_count") >= 1
+
+
+def files_by_day(path):
+    return {
+        os.path.basename(folder): len(glob.glob(f"{folder}/*.parquet"))
+        for folder in glob.glob(f"{path}/k=*")
+    }
+
+
+def skewed(spark):
+    """Eight input tasks, sixty keys, a third of the rows under one of them."""
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 60).cast("int")
+    return spark.range(600_000, numPartitions=8).select("id", F.rand(1).alias("v"), key.alias("k"))
+
+
+def test_small_partitions_get_one_file_each(spark, tmp_path):
+    rows = skewed(spark).where("k > 0")
+    m.write_partitions(rows, str(tmp_path / "c"), ["k"])
+    m.write_partitions(rows, str(tmp_path / "u"), ["k"], cluster=False)
+    assert set(files_by_day(tmp_path / "c").values()) == {1}
+    assert set(files_by_day(tmp_path / "u").values()) == {8}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hot_partition_is_split_over_tasks(spark, tmp_path, settings, adaptive):
+    settings("spark.sql.adaptive.enabled", adaptive)
+    path = str(tmp_path / "skewed")
+    m.write_partitions(skewed(spark), path, ["k"], task_bytes="512k")
+    files = files_by_day(path)
+    assert files["k=0"] >= 3
+    assert sum(files.values()) < 60 * 4
+    back = spark.read.parquet(path)
+    assert back.count() == 600_000 and back.where("k = 0").count() == 200_000
+    assert back.select(F.sum("id")).first()[0] == sum(range(600_000))
+
+
+def test_year_month_day_read_back_as_text_through_a_table(spark, database, tmp_path):
+    rows = spark.createDataFrame([(1, dt.datetime(2024, 1, 5))], "id int, ts timestamp_ntz")
+    dated = m.derive_date_columns(rows, "ts")
+    m.write_partitions(dated, str(tmp_path / "p"), ["year", "month", "day"])
+    assert spark.read.parquet(str(tmp_path / "p")).first().month == 1
+    typed = spark.read.schema(dated.schema).parquet(str(tmp_path / "p")).first()
+    assert (typed.year, typed.month, typed.day) == ("2024", "01", "05")
+    m.save_managed_table(dated, f"{database}.ymd", ["year", "month", "day"])
+    row = spark.table(f"{database}.ymd").first()
+    assert (row.year, row.month, row.day) == ("2024", "01", "05")
+
+
+def test_writing_a_path_replaces_all_of_it_whatever_the_session_says(spark, days, tmp_path, settings):
+    settings(OVERWRITE_MODE, "dynamic")
+    path = str(tmp_path / "p")
+    m.write_partitions(days, path, ["d"])
+    m.write_partitions(days.where("id = 1"), path, ["d"])
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_unknown_table_raises(spark, database, days):
+    with pytest.raises(AnalysisException):
+        m.overwrite_partitions(days, f"{database}.nowhere")
