@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moraine.functions.names import by_lower_name
@@ -207,14 +208,19 @@ def conform_union(
     for group in groups:
         files = spark.read.schema(group.schema).parquet(*[_literal_path(p) for p in group.paths])
         frames.append(conform_to_schema(files, schema, zone, event_date))
-    empty = conform_to_schema(spark.createDataFrame([], schema), schema, zone, event_date)
+    if not frames:
+        frames = [conform_to_schema(_empty_frame(spark, schema), schema, zone, event_date)]
     return ConformedFiles(
-        df=union_by_name(frames, empty=empty),
+        df=union_by_name(frames),
         rejects=spark.createDataFrame(sorted(rejects), REJECT_SCHEMA),
         groups=groups,
     )
 
 
+def _empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def _cast_error(
     spark: SparkSession,
     file_schema: T.StructType,
@@ -224,7 +230,7 @@ def _cast_error(
 ) -> str | None:
     """Why rows of this file schema cannot be cast, found by analysis on an empty frame."""
     try:
-        conform_to_schema(spark.createDataFrame([], file_schema), schema, zone, event_date).schema
+        conform_to_schema(_empty_frame(spark, file_schema), schema, zone, event_date)
     except (PySparkException, Py4JJavaError) as error:
         reason = _file_error(error)
         if reason is None:

@@ -1,0 +1,75 @@
+"""Each command, run in the test session."""
+
+import os
+
+import pytest
+from pyspark.sql import types as T
+
+from moraine.cli import run, schema_of, types_of
+from moraine import presets
+from tests.landing import PATTERN, write_drift_folder
+from workload.staging import ORDERS_SCHEMA
+
+SF_DIR = "/root/testdata/sf0.001"
+ORDERS_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ORDERS_SCHEMA)
+
+
+def rows(frames):
+    return [[tuple(r) for r in df.collect()] for df in frames]
+
+
+def test_schema_and_types(spark):
+    assert schema_of(spark, "trips") is presets.TRIP_SCHEMA
+    assert schema_of(spark, ORDERS_DDL) == ORDERS_SCHEMA
+    assert types_of("a=int,b=decimal(10)") == {"a": "int", "b": "decimal(10)"}
+    assert types_of("trips")["payment_type"] == "int"
+
+
+def test_ingest_and_look_after_the_table(spark, database, tmp_path):
+    write_drift_folder(str(tmp_path / "raw"))
+    table, location = f"{database}.orders", str(tmp_path / "t")
+    partitions, rejects = rows(run(spark, [
+        "ingest", str(tmp_path / "raw"), table, location, "--pattern", PATTERN, "--schema",
+        ORDERS_DDL, "--time-column", "o_orderdate", "--date-column", "order_date",
+        "--partition-by", "year,month",
+    ]))
+    assert partitions == [(f"year=1995/month=0{i}",) for i in range(1, 5)]
+    assert [os.path.basename(path) for path, _ in rejects] == ["orders_1995-05.parquet"]
+    assert rows(run(spark, ["partitions", table])) == [partitions]
+    assert rows(run(spark, ["repair", table, "--drop-missing"])) == [partitions]
+    [counts] = rows(run(spark, ["counts", table, "--date-column", "order_date"]))
+    [[(total,)]] = rows(run(spark, ["sql", f"SELECT count(*) FROM {table}"]))
+    assert sum(n for _, n in counts) == total > 0
+    assert rows(run(spark, ["tables", "--database", database])) == [[(database, "orders", False)]]
+    [described] = rows(run(spark, ["describe", table]))
+    assert ("o_totalprice", "double", None) in described
+    assert rows(run(spark, ["drop", table])) == [[(f"file:{location}",)]]
+    assert spark.read.parquet(location).count() == total
+
+
+def test_declare_and_backfill(spark, database, tmp_path):
+    table, events = f"{database}.events", f"{SF_DIR}/events.parquet"
+    run(spark, ["declare", events, table, str(tmp_path / "t"), "--time-column", "ts"])
+    [counts] = rows(run(spark, ["backfill", events, table, "--time-column", "ts"]))
+    assert sum(n for _, n in counts) == 1000
+
+
+def test_preview_with_writes(spark, database, tmp_path):
+    [df] = run(spark, [
+        "preview", f"{SF_DIR}/events.parquet", "--time-column", "ts", "--types", "value=int",
+        "--write", str(tmp_path / "p"), "--save", f"{database}.events",
+    ])
+    assert df.schema["value"].dataType == T.IntegerType()
+    saved = spark.table(f"{database}.events")
+    assert saved.columns[-3:] == ["year", "month", "day"]
+    assert saved.count() == df.count() == spark.read.parquet(str(tmp_path / "p")).count()
+
+
+def test_sales(spark, database, tmp_path):
+    [got] = rows(run(spark, ["sales", f"{database}.sales", str(tmp_path / "s")]))
+    assert sorted(got) == presets.SALES_ROWS
+
+
+def test_unknown_commands_end_the_program(spark):
+    with pytest.raises(SystemExit):
+        run(spark, ["nothing"])

@@ -29,6 +29,19 @@ def test_safe_date_of_text(spark):
     assert without_format == parsed
 
 
+def test_iso_short_cut_reads_the_same_dates_as_the_format(spark):
+    texts = [
+        "0000-01-01", "0001-01-01", "9999-12-31", "12345-01-01", "+12345-01-01", "2020-1-5",
+        " 2020-01-05", "2020-01-05 ", "2020-01-05x", "2020-01-05T10:00:00", "-2020-01-05", "2020",
+        "2020-02-29", "2021-02-29", "1582-10-10", "\u0662020-01-05", "2020-01-05\n", "", None,
+    ]
+    df = frame(spark, [(t,) for t in texts], "s string")
+    by_format = F.try_to_date("s", "yyyy-MM-dd").cast("string")
+    ours = m.safe_date(F.col("s"), T.StringType(), "yyyy-MM-dd").cast("string")
+    for row in df.select("s", by_format.alias("expected"), ours.alias("got")).collect():
+        assert row.got == row.expected, row.s
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_safe_date_does_not_depend_on_ansi(spark, settings, ansi):
     settings("spark.sql.ansi.enabled", ansi)

@@ -59,17 +59,20 @@ def _write_landing_zone(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark, "landing")
     orders = table(spark, sf_dir, "orders")
     day, custkey = F.col("o_orderdate"), F.col("o_custkey")
+    new_1996, new_1997, new_1998 = (
+        F.lit(f"{year}-01-01").cast("timestamp_ntz") for year in (1996, 1997, 1998)
+    )
     drops = [
-        ("orders", orders.where(day < F.lit("1996-01-01").cast("timestamp_ntz"))),
+        ("orders", orders.where(day < new_1996)),
         (
             "orders",
-            orders.where(F.year(day) == 1996)
+            orders.where((day >= new_1996) & (day < new_1997))
             .withColumn("o_custkey", custkey.cast("double"))
             .drop("o_orderpriority"),
         ),
         (
             "orders",
-            orders.where(F.year(day) == 1997).select(
+            orders.where((day >= new_1997) & (day < new_1998)).select(
                 "o_orderpriority",
                 "o_orderdate",
                 F.col("o_totalprice").alias("O_TotalPrice"),
@@ -79,7 +82,7 @@ def _write_landing_zone(spark: SparkSession, sf_dir: str) -> str:
                 "o_orderkey",
             ),
         ),
-        ("orders", orders.where(day >= F.lit("1998-01-01").cast("timestamp_ntz"))),
+        ("orders", orders.where(day >= new_1998)),
         (
             "resend",
             orders.where(F.col("o_orderstatus") == "P").withColumn(
