@@ -17,7 +17,7 @@ from moraine.operators.projection import align_to_table
 from moraine.settings import PARTITION_OVERWRITE_SETTINGS, scoped_settings
 
 # Shuffled bytes a write task takes on, and so about the largest file it writes.
-WRITE_TASK_BYTES = "256m"
+WRITE_TASK_BYTES = "128m"
 
 
 class TableMismatch(ValueError):
@@ -72,8 +72,10 @@ def create_external_table(
 
     ``partition_types`` maps partition columns to SQL types; the other columns come from ``schema``.
     An existing table must have the same location, columns and partitioning, else this raises: a
-    second caller with another idea of the table would otherwise write into the wrong place.
+    second caller with another idea of the table would otherwise write into the wrong place. Files
+    already at the location must be laid out by the same first partition column.
     """
+    _check_layout(spark, location, list(partition_types or ()))
     _declare(spark, name, schema, partition_types or {}, location)
     facts = _table_facts(spark, name)
     if _qualified(spark, facts["Location"]) != _qualified(spark, location):
@@ -105,13 +107,34 @@ def _table_facts(spark: SparkSession, table: str) -> dict[str, str]:
     return {row.col_name: row.data_type for row in details}
 
 
+def _file_system(spark: SparkSession, location: str):
+    """The Hadoop path of a location, and the file system it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def _qualified(spark: SparkSession, location: str) -> str:
     """The location with scheme and authority, as the catalog stores it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    file_system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    path, file_system = _file_system(spark, location)
     return file_system.makeQualified(path).toString().rstrip("/")
 
 
+def _check_layout(spark: SparkSession, location: str, partition_by: Sequence[str]) -> None:
+    """One layout per location: raise if its folders are partitions by another column.
+
+    Only the names of the top level are looked at.
+    """
+    path, file_system = _file_system(spark, location)
+    if not file_system.exists(path):
+        return
+    folders = [entry.getPath().getName() for entry in file_system.listStatus(path)]
+    found = {name.split("=", 1)[0].lower() for name in folders if "=" in name}
+    if found - {name.lower() for name in partition_by[:1]}:
+        raise TableMismatch(
+            f"{location} already holds folders by {sorted(found)}, not by {list(partition_by)}"
+        )
+
+
 # --- writing ------------------------------------------------------------------------------------
 
 
@@ -144,10 +167,13 @@ def write_partitions(
 ) -> None:
     """Write Parquet files under ``column=value`` folders; no catalog is involved.
 
-    Overwriting replaces everything at the path. Set ``cluster=False`` where the frame is already
-    clustered by the partition columns, to spare the shuffle.
+    Overwriting replaces everything at the path; appending needs the same layout there. Set
+    ``cluster=False`` where the frame is already clustered by the partition columns, to spare the
+    shuffle.
     """
     names = [require(df.columns, name) for name in partition_by]
+    if mode == "append":
+        _check_layout(df.sparkSession, path, names)
     with scoped_settings(
         df.sparkSession,
         {**_write_settings(task_bytes), "spark.sql.sources.partitionOverwriteMode": "static"},

@@ -16,11 +16,11 @@ from moraine import presets
 from moraine.settings import PARQUET_SETTINGS, scoped_settings
 
 
-def schema_of(spark: SparkSession, text: str) -> T.StructType:
+def schema_of(text: str) -> T.StructType:
     """``trips`` for the trip-record schema, else column definitions as in CREATE TABLE."""
     if text == "trips":
         return presets.TRIP_SCHEMA
-    return spark.sql(f"SELECT from_json('{{}}', '{text}') AS row").schema["row"].dataType
+    return T.StructType.fromDDL(text)
 
 
 def types_of(text: str) -> dict[str, str]:
@@ -56,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--date-type", choices=["date", "string"], default="date")
     ingest.add_argument("--on-reject", choices=["quarantine", "raise"], default="quarantine")
     ingest.add_argument("--recursive", action="store_true")
+    ingest.add_argument("--no-cluster", dest="cluster", action="store_false")
     dated(command("backfill", "files to a declared table, then rows per day", "glob", "table"), "keep")
     declare = command("declare", "declare a table like the files", "glob", "table", "location")
     dated(declare, None)
@@ -89,7 +90,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> list[DataFrame]:
     name = args.pop("command")
     with scoped_settings(spark, PARQUET_SETTINGS):
         if name == "ingest":
-            args["schema"] = schema_of(spark, args["schema"])
+            args["schema"] = schema_of(args["schema"])
             if args["partition_by"]:
                 args["partition_by"] = args["partition_by"].split(",")
             result = m.ingest(spark, **args)

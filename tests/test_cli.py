@@ -19,8 +19,8 @@ def rows(frames):
 
 
 def test_schema_and_types(spark):
-    assert schema_of(spark, "trips") is presets.TRIP_SCHEMA
-    assert schema_of(spark, ORDERS_DDL) == ORDERS_SCHEMA
+    assert schema_of("trips") is presets.TRIP_SCHEMA
+    assert schema_of(ORDERS_DDL) == ORDERS_SCHEMA
     assert types_of("a=int,b=decimal(10)") == {"a": "int", "b": "decimal(10)"}
     assert types_of("trips")["payment_type"] == "int"
 

@@ -216,6 +216,18 @@ def test_year_month_day_read_back_as_text_through_a_table(spark, database, tmp_p
     assert (row.year, row.month, row.day) == ("2024", "01", "05")
 
 
+def test_one_layout_per_location(spark, database, days, tmp_path):
+    path = str(tmp_path / "p")
+    m.write_partitions(days, path, ["d"])
+    with pytest.raises(m.TableMismatch, match="already holds folders by"):
+        m.write_partitions(days, path, ["id"], mode="append")
+    with pytest.raises(m.TableMismatch, match="already holds folders by"):
+        m.create_external_table(spark, f"{database}.t", days.schema, path, {"id": "bigint"})
+    assert not spark.catalog.tableExists(f"{database}.t")
+    m.write_partitions(days.select("id", "value", F.col("d").alias("D")), path, ["D"])
+    m.create_external_table(spark, f"{database}.t", days.schema, path, {"d": "date"})
+
+
 def test_writing_a_path_replaces_all_of_it_whatever_the_session_says(spark, days, tmp_path, settings):
     settings(OVERWRITE_MODE, "dynamic")
     path = str(tmp_path / "p")

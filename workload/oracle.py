@@ -90,6 +90,7 @@ FROM events
     "partitioned_write_day": _EVENT_DAYS,
     "partitioned_write_ymd": f"SELECT event_id, value, {_EVENT_PARTS} FROM events",
     "partitioned_save_as_table": _EVENT_DAYS,
+    "managed_table": _EVENT_DAYS,
     "overwrite_partitions": """
 SELECT event_id, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-02' THEN value * 2 ELSE value END AS value,
        CAST(ts AS DATE) AS pickup_date

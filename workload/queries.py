@@ -258,6 +258,15 @@ def partitioned_save_as_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*DAY_COLUMNS)
 
 
+@query
+def managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database, _ = new_database(spark, "managed")
+    name, events = f"{database}.events", events_by_day(spark, sf_dir)
+    m.create_managed_table(spark, name, events.schema, {"pickup_date": "date"})
+    m.overwrite_partitions(events, name)
+    return spark.table(name).select(*DAY_COLUMNS)
+
+
 def own_events_table(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[str, str]:
     """A new external table of all events by day, for a query that goes on to change it."""
     database, folder = new_database(spark, purpose)

@@ -7,6 +7,7 @@ read by every query that needs it.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ ORDERS_SCHEMA = T.StructType(
 )
 
 _staged: dict[tuple[str, str, str], object] = {}
+_staging = Lock()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,9 +41,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _once(spark: SparkSession, sf_dir: str, what: str, make):
     key = (spark.sparkContext.applicationId, str(sf_dir), what)
-    if key not in _staged:
-        _staged[key] = make()
-    return _staged[key]
+    with _staging:
+        if key not in _staged:
+            _staged[key] = make()
+        return _staged[key]
 
 
 def landing_zone(spark: SparkSession, sf_dir: str) -> str:
