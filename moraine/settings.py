@@ -43,3 +43,16 @@ def scoped_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterato
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+@contextmanager
+def packed_lookups(spark: SparkSession) -> Iterator[None]:
+    """Within the block, a task looks up many files or folders; Spark's default is one task for each.
+
+    A look-up is quick, so with many paths the tasks themselves would be most of the cost.
+    """
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    with scoped_settings(
+        spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)}
+    ):
+        yield

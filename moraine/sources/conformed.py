@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from moraine.functions.names import by_lower_name
 from moraine.operators.projection import conform_to_schema, union_by_name
+from moraine.settings import packed_lookups
 
 REJECT_SCHEMA = T.StructType(
     [
@@ -183,6 +184,18 @@ def conform_union(
     """
     if on_reject not in ("quarantine", "raise"):
         raise ValueError(f"on_reject must be 'quarantine' or 'raise', not {on_reject!r}")
+    with packed_lookups(spark):
+        return _conform_union(spark, paths, schema, zone, event_date, on_reject)
+
+
+def _conform_union(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: T.StructType,
+    zone: str,
+    event_date: tuple[str, str] | None,
+    on_reject: str,
+) -> ConformedFiles:
     probed, rejects = probe_schemas(spark, paths)
     case_sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.settings import scoped_settings
+from moraine.settings import packed_lookups, scoped_settings
 
 
 def list_landing_files(
@@ -17,7 +17,8 @@ def list_landing_files(
     anchor it. ``recursive`` also lists subfolders, for feeds that deliver a month as a folder.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    paths = reader.load(folder).select("path")
+    with packed_lookups(spark):
+        paths = reader.load(folder).select("path")
     return paths if pattern is None else paths.where(F.col("path").rlike(pattern))
 
 

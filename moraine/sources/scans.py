@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from moraine.settings import packed_lookups
+
 
 def scan_parquet(spark: SparkSession, uri: str) -> DataFrame:
     """One Parquet file or folder, at any URI the session's file systems know."""
@@ -21,9 +23,9 @@ def scan_glob(spark: SparkSession, glob: str, schema: T.StructType | None = None
     the scan. Read those with ``conform_union``. Where the schema is known, giving it spares the
     look at the footers.
     """
-    if schema is not None:
-        return spark.read.schema(schema).parquet(glob)
-    return spark.read.option("mergeSchema", "true").parquet(glob)
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
+    with packed_lookups(spark):
+        return reader.parquet(glob)
 
 
 def literal_rows(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
