@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 TRIP_FILE_PATTERN = r"yellow_tripdata_\d{4}-\d{2}\.parquet$"
-TRIP_FILE_GLOB = "yellow_tripdata_*.parquet"
 TRIP_TIME_COLUMN = "tpep_pickup_datetime"
 TRIP_DATE_COLUMN = "pickup_date"
 

@@ -12,6 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,9 +120,11 @@ def probe_schemas(
     found: list[tuple[T.StructType, list[str]]] = []
     rejects: list[tuple[str, str]] = []
     pending: list[Sequence[str]] = [sorted(set(paths))] if paths else []
+    # The threads carry on the caller's job group and scheduler pool.
+    probe = inheritable_thread_target(spark)(lambda run: _probe(spark, run))
     with ThreadPoolExecutor(_PROBE_THREADS) as pool:
         while pending:
-            results = list(pool.map(lambda run: _probe(spark, run), pending))
+            results = list(pool.map(probe, pending))
             cut: list[Sequence[str]] = []
             for run, result in zip(pending, results):
                 if isinstance(result, T.StructType):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.settings import packed_lookups, scoped_settings
+from moraine.settings import packed_lookups
 
 
 def list_landing_files(
@@ -15,19 +15,18 @@ def list_landing_files(
 
     ``pattern`` is a regular expression looked for anywhere in the full path; end it with ``$`` to
     anchor it. ``recursive`` also lists subfolders, for feeds that deliver a month as a folder.
+
+    Tasks over this source are cut by file size although nothing is read, so large files would cost
+    a task each; they are packed into a few per core.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     with packed_lookups(spark):
         paths = reader.load(folder).select("path")
-    return paths if pattern is None else paths.where(F.col("path").rlike(pattern))
+    if pattern is not None:
+        paths = paths.where(F.col("path").rlike(pattern))
+    return paths.coalesce(4 * spark.sparkContext.defaultParallelism)
 
 
 def collect_paths(listing: DataFrame) -> list[str]:
-    """The listed paths on the driver, in name order.
-
-    Only paths are fetched, so this is bounded by the number of files. A listing needs no room for
-    file contents, so its tasks are packed without regard to file sizes: large files would otherwise
-    cost a task each.
-    """
-    with scoped_settings(listing.sparkSession, {"spark.sql.files.maxPartitionBytes": "1t"}):
-        return sorted(row.path for row in listing.select("path").collect())
+    """The listed paths on the driver, in name order: bounded by the number of files."""
+    return sorted(row.path for row in listing.select("path").collect())

@@ -1,0 +1,56 @@
+"""What no plan of a registered query may contain, and settings that must not leak."""
+
+import pytest
+
+import __spark_entry__ as entry_points
+from moraine.settings import (
+    PARQUET_SETTINGS,
+    PARTITION_OVERWRITE_SETTINGS,
+    packed_lookups,
+    scoped_settings,
+    use_parquet_settings,
+)
+from tests.plans import plan_of
+
+SF_DIR = "/root/testdata/sf0.001"
+SQL_SETTINGS = [
+    *PARTITION_OVERWRITE_SETTINGS,
+    *PARQUET_SETTINGS,
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    "spark.sql.files.maxPartitionBytes",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism",
+]
+
+
+@pytest.mark.parametrize("name", entry_points.queries())
+def test_no_python_no_broadcast_no_cross_join(spark, name):
+    before = {key: spark.conf.get(key, None) for key in SQL_SETTINGS}
+    plan = plan_of(entry_points.queries()[name](spark, SF_DIR))
+    for unwanted in ("EvalPython", "InPandas", "InArrow", "Broadcast", "Cartesian", "NestedLoop", "Window"):
+        assert unwanted not in plan
+    # One task may see a global count of partial counts, and nothing else.
+    assert ("SinglePartition" in plan) == (name == "show_tables")
+    assert {key: spark.conf.get(key, None) for key in SQL_SETTINGS} == before
+
+
+def test_scoped_settings_restore_on_error(spark):
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    with pytest.raises(RuntimeError):
+        with scoped_settings(spark, PARTITION_OVERWRITE_SETTINGS), packed_lookups(spark):
+            assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+            raise RuntimeError
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", None) is None
+
+
+def test_parquet_settings_write_microseconds(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    other = spark.newSession()
+    use_parquet_settings(other)
+    other.sql("SELECT timestamp '2024-01-01 00:00:00.000001' AS t").write.parquet(str(tmp_path / "p"))
+    file = glob.glob(str(tmp_path / "p" / "*.parquet"))[0]
+    assert pq.read_schema(file).field("t").type.unit == "us"
+    assert all(other.conf.get(key) == value for key, value in PARQUET_SETTINGS.items())

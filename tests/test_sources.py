@@ -2,7 +2,9 @@
 
 import os
 
+import duckdb
 import pytest
+from hypothesis import HealthCheck, given, settings as hypothesis_settings, strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -212,3 +214,61 @@ def test_literal_rows(spark):
 
     df = m.literal_rows(spark, SALES_ROWS, SALES_SCHEMA)
     assert df.schema == SALES_SCHEMA and [tuple(r) for r in df.collect()] == SALES_ROWS
+
+
+KINDS = [T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType()]
+NAMES = ["a", "b", "c"]
+spelled = st.sampled_from([str.lower, str.upper])
+file_schemas = st.lists(
+    st.dictionaries(
+        st.sampled_from([*NAMES, "extra"]), st.tuples(spelled, st.sampled_from(KINDS)), min_size=1
+    ),
+    min_size=1,
+    max_size=12,
+)
+
+
+def struct_of(columns):
+    return T.StructType([T.StructField(case(name), kind) for name, (case, kind) in columns.items()])
+
+
+@given(file_schemas, st.booleans())
+def test_groups_hold_every_file_once_and_agree_on_types(schemas, case_sensitive):
+    wanted = T.StructType([T.StructField(name, T.DoubleType()) for name in NAMES])
+    probed = [(struct_of(columns), [str(i)]) for i, columns in enumerate(schemas)]
+    groups = group_by_types(probed, wanted, case_sensitive)
+    assert sorted(p for g in groups for p in g.paths) == sorted(str(i) for i in range(len(schemas)))
+    for group in groups:
+        for path in group.paths:
+            for field in struct_of(schemas[int(path)]):
+                if field.name.lower() in NAMES:
+                    of_group = group.fields[field.name.lower()]
+                    assert of_group.dataType == field.dataType
+                    assert not case_sensitive or of_group.name == field.name
+
+
+@hypothesis_settings(
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(file_schemas)
+def test_conform_union_equals_conforming_each_file(spark, tmp_path_factory, schemas):
+    """Any mix of files gives the rows that come of reading and casting them one by one."""
+    folder = tmp_path_factory.mktemp("mixed")
+    casts = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR"}
+    expected, paths = [], []
+    for i, columns in enumerate(schemas):
+        selected = ", ".join(
+            f"CAST({10 * i} + n AS {casts[type(kind).__name__]}) AS \"{case(name)}\""
+            for name, (case, kind) in columns.items()
+        )
+        paths.append(f"{folder}/{i}.parquet")
+        duckdb.connect().execute(
+            f"COPY (SELECT {selected} FROM range(3) AS r(n)) TO '{paths[-1]}' (FORMAT parquet)"
+        )
+        expected += [
+            tuple(float(10 * i + n) if name in columns else None for name in NAMES) for n in range(3)
+        ]
+    wanted = T.StructType([T.StructField(name, T.DoubleType()) for name in NAMES])
+    files = conform_union(spark, paths, wanted)
+    assert files.rejects.count() == 0
+    assert sorted(map(tuple, files.df.collect()), key=repr) == sorted(expected, key=repr)

@@ -83,7 +83,8 @@ SELECT DISTINCT 'resend' AS feed, strftime(o_orderdate, '%Y-%m') AS month,
 FROM orders WHERE o_orderstatus = 'P'
 """,
     "save_external_table": _SALES,
-    "create_external_table": f"""
+    "create_external_table": _EVENT_DAYS,
+    "declare_table": f"""
 SELECT event_id, value, CAST(ts AS DATE) AS pickup_date, epoch_us(ts) AS ts_micros, {_EVENT_PARTS}
 FROM events
 """,

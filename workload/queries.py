@@ -223,12 +223,28 @@ def save_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.sales")
 
 
+def declared_events(spark: SparkSession, sf_dir: str, purpose: str) -> str:
+    """A new external table over the files of all events by day; they are not written again."""
+    database, _ = new_database(spark, purpose)
+    name, location = f"{database}.events", f"{lake(spark, sf_dir).folder}-events"
+    schema = m.scan_parquet(spark, location).schema
+    m.create_external_table(spark, name, schema, location, {"pickup_date": "date"})
+    return name
+
+
 @query
 def create_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database, folder = new_database(spark, "declared")
-    name, location = f"{database}.events", f"{folder}-events"
-    m.declare_table(spark, f"{sf_dir}/events.parquet", name, location, "ts")
-    m.backfill(spark, f"{sf_dir}/events.parquet", name, "ts")
+    name = declared_events(spark, sf_dir, "declared")
+    m.repair_partitions(spark, name)
+    return spark.table(name).select(*DAY_COLUMNS)
+
+
+@query
+def declare_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database, folder = new_database(spark, "inferred")
+    name, events = f"{database}.events", f"{sf_dir}/events.parquet"
+    m.declare_table(spark, events, name, f"{folder}-events", "ts")
+    m.backfill(spark, events, name, "ts")
     instant = F.unix_micros("ts").alias("ts_micros")
     return spark.table(name).select(*DAY_COLUMNS, instant, "year", "month", "day")
 
@@ -267,29 +283,19 @@ def managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*DAY_COLUMNS)
 
 
-def own_events_table(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[str, str]:
-    """A new external table of all events by day, for a query that goes on to change it."""
-    database, folder = new_database(spark, purpose)
-    name, location = f"{database}.events", f"{folder}-events"
-    m.save_external_table(events_by_day(spark, sf_dir), name, location, ["pickup_date"])
-    return name, location
-
-
 @query
 def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name, _ = own_events_table(spark, sf_dir, "overwritten")
-    second = m.partition_equals(events_by_day(spark, sf_dir), "pickup_date", "2024-01-02")
+    database, folder = new_database(spark, "overwritten")
+    name, events = f"{database}.events", events_by_day(spark, sf_dir)
+    m.save_external_table(events, name, f"{folder}-events", ["pickup_date"])
+    second = m.partition_equals(events, "pickup_date", "2024-01-02")
     m.overwrite_partitions(second.withColumn("value", F.col("value") * 2), name)
     return spark.table(name).select(*DAY_COLUMNS)
 
 
 @query
 def repair_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database, folder = new_database(spark, "repaired")
-    name, location = f"{database}.events", f"{folder}-events"
-    events = events_by_day(spark, sf_dir)
-    m.create_external_table(spark, name, events.schema, location, {"pickup_date": "date"})
-    m.write_partitions(events, location, ["pickup_date"])
+    name = declared_events(spark, sf_dir, "repaired")
     m.repair_partitions(spark, name)
     return m.daily_counts(spark.table(name))
 
@@ -322,8 +328,7 @@ def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def drop_keeps_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name, _ = own_events_table(spark, sf_dir, "dropped")
-    location = m.drop_external_table(spark, name)
+    location = m.drop_external_table(spark, declared_events(spark, sf_dir, "dropped"))
     return m.daily_counts(spark.read.parquet(location))
 
 
