@@ -19,6 +19,10 @@ from moraine.settings import PARTITION_OVERWRITE_SETTINGS, scoped_settings
 # Shuffled bytes a write task takes on, and so about the largest file it writes.
 WRITE_TASK_BYTES = "128m"
 
+# Files a write task keeps open side by side. A clustered task has rows of few partitions, so this
+# spares it a sort by partition; rows of any further partitions are sorted and written after.
+OPEN_FILES = "8"
+
 
 class TableMismatch(ValueError):
     """A table of this name exists and is not the one asked for."""
@@ -154,6 +158,7 @@ def _write_settings(task_bytes: str) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": task_bytes,
+        "spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES,
     }
 
 
