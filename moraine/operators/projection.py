@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moraine.functions.casts import fitting_cast
 from moraine.functions.dates import date_parts, local_date
 from moraine.functions.names import by_lower_name, column, require
 from moraine.functions.zones import instant_of, session_zone, wall_clock_of
@@ -25,7 +26,7 @@ def _converted(
         return wall_clock_of(value, zone, session)
     if isinstance(want, T.DateType):
         return local_date(value, have, zone, session)
-    return value.try_cast(want)
+    return fitting_cast(value, have, want)
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, T.DataType | str]) -> DataFrame:
@@ -33,16 +34,21 @@ def cast_columns(df: DataFrame, types: Mapping[str, T.DataType | str]) -> DataFr
 
     A value that does not fit the new type becomes NULL; it is never wrapped round or saturated.
     """
-    names = by_lower_name(df.columns)
-    wanted = {require(names.values(), name): data_type for name, data_type in types.items()}
+    wanted = {require(df.columns, name): _data_type(kind) for name, kind in types.items()}
     return df.select(
         *[
-            column(name).try_cast(wanted[name]).alias(name) if name in wanted else column(name)
-            for name in df.columns
+            fitting_cast(column(f.name), f.dataType, wanted[f.name]).alias(f.name)
+            if f.name in wanted
+            else column(f.name)
+            for f in df.schema
         ]
     )
 
 
+def _data_type(kind: T.DataType | str) -> T.DataType:
+    return T.DataType.fromDDL(kind) if isinstance(kind, str) else kind
+
+
 def normalize_ntz(df: DataFrame, zone: str = "UTC") -> DataFrame:
     """Turn every zone-less timestamp into an instant, reading it as a clock in ``zone``."""
     session = session_zone(df.sparkSession)
@@ -83,6 +89,8 @@ def conform_to_schema(
     if event_date is not None:
         time_column, date_column = event_date
         require(schema.fieldNames(), time_column)
+        if date_column.lower() in by_lower_name(schema.fieldNames()):
+            raise ValueError(f"the schema already has a column {date_column!r}")
         source = have.get(time_column.lower())
         day = (
             F.lit(None).cast("date")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from moraine.catalog.tables import create_external_table, overwrite_partitions, show_partitions
+from moraine.functions.names import require
 from moraine.operators.projection import with_date_parts
 from moraine.sources.conformed import conform_union
 from moraine.sources.landing import collect_paths, list_landing_files
@@ -54,7 +55,8 @@ def ingest(
     rows = with_date_parts(files.df, date_column, null_dates)
     if date_type != "date":
         rows = rows.withColumn(date_column, rows[date_column].cast(date_type))
-    kinds = {name: rows.schema[name].dataType.simpleString() for name in partition_by}
+    partitions = [require(rows.columns, name) for name in partition_by]
+    kinds = {name: rows.schema[name].dataType.simpleString() for name in partitions}
     create_external_table(spark, table, rows.schema, location, kinds)
     overwrite_partitions(rows, table, cluster=cluster)
     return IngestResult(spark.table(table), show_partitions(spark, table), files.rejects)

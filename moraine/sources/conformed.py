@@ -30,7 +30,7 @@ REJECT_SCHEMA = T.StructType(
 )
 
 # Error conditions that speak about the files read, in the spelling Spark reports them. Anything
-# else (a stopped context, a cancelled job, missing rights) is not a property of a file and is raised.
+# else (a stopped context, a cancelled job) is not a property of a file and is raised.
 _FILE_ERRORS = (
     "FAILED_READ_FILE",
     "CANNOT_MERGE_SCHEMAS",
@@ -40,10 +40,16 @@ _FILE_ERRORS = (
     "PARQUET_TYPE_",
     "DATATYPE_MISMATCH",
 )
+# Causes inside such an error that are the fault of the network, the nodes or the caller's rights. A
+# file is not set aside for them: the job is to fail and be run again.
+_NOT_THE_FILE = re.compile(
+    "AccessControlException|AccessDeniedException|Permission denied|ExecutorLostFailure"
+    "|ConnectException|SocketTimeoutException|NoRouteToHostException|UnknownHostException"
+)
 _CONDITION = re.compile(r"\[([A-Z][A-Z0-9_.]+)\]\s*([^\n]*)")
 
 # A set of files that cannot be read with one schema is cut into this many runs of neighbours.
-_FAN_OUT = 8
+_FAN_OUT = 16
 _PROBE_THREADS = 16
 
 
@@ -70,8 +76,10 @@ class ConformedFiles:
 
 def _file_error(error: Exception) -> str | None:
     """``CONDITION: message`` if the error is about the files, else None."""
-    conditions = _CONDITION.findall(str(error))
-    for name, message in conditions:
+    text = str(error)
+    if _NOT_THE_FILE.search(text):
+        return None
+    for name, message in _CONDITION.findall(text):
         if name.startswith(_FILE_ERRORS):
             return f"{name}: {message}".strip()
     return None

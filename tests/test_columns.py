@@ -83,6 +83,55 @@ def test_narrowing_casts_give_null_not_wrong_numbers(spark, settings, ansi):
     assert [tuple(r) for r in got.collect()] == [(None, 1), (None, None), (1, 2)]
 
 
+EDGES = sorted(
+    {float(s * (2**b) + d) for b in (7, 15, 31, 63) for s in (-1, 1) for d in (-1.5, -1, -0.5, 0, 0.5, 1)}
+    | {0.0, -0.9, 0.9, 1e300, -1e300, float("inf"), float("-inf")}
+)
+INTEGERS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_casts_of_fractions_at_the_edges(spark, settings, ansi):
+    settings("spark.sql.ansi.enabled", ansi)
+    df = frame(spark, [(v, v) for v in [*EDGES, float("nan"), None]], "v double, n double")
+    for kind, bits in INTEGERS.items():
+        for row in m.cast_columns(df, {"n": kind}).collect():
+            cut = None if row.v is None or row.v != row.v or abs(row.v) == float("inf") else int(row.v)
+            fits = cut is not None and -(2 ** (bits - 1)) <= cut < 2 ** (bits - 1)
+            assert row.n == (cut if fits else None), (kind, row.v)
+
+
+@hypothesis_settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(-(2**63), 2**63 - 1) | st.integers(-(2**31) - 2, 2**31 + 2), min_size=1))
+def test_casts_of_integers(spark, values):
+    df = spark.createDataFrame([(v, v) for v in values], "v bigint, n bigint")
+    for kind, bits in INTEGERS.items():
+        for row in m.cast_columns(df, {"n": kind}).collect():
+            assert row.n == (row.v if -(2 ** (bits - 1)) <= row.v < 2 ** (bits - 1) else None)
+
+
+@hypothesis_settings(max_examples=10, deadline=None)
+@given(st.lists(st.floats(width=32) | st.none(), min_size=1))
+def test_casts_agree_with_try_cast(spark, values):
+    df = spark.createDataFrame([(v, v) for v in values], "v float, n float")
+    for kind in ("tinyint", "smallint", "int"):
+        got = m.cast_columns(df, {"n": kind}).select("n", F.col("v").try_cast(kind).alias("expected"))
+        assert all(row.n == row.expected for row in got.collect())
+
+
+def test_widening_is_a_plain_cast_and_narrowing_raises_nothing(spark):
+    df = spark.range(1).selectExpr("cast(id as int) as i", "id as l", "cast(id as double) as d")
+    plan = plan_of(m.cast_columns(df, {"i": "bigint", "l": "int", "d": "int"}), "simple")
+    assert "try_cast" not in plan.lower()
+
+
+def test_date_column_may_not_be_in_the_schema_already(spark):
+    schema = T.StructType([T.StructField("ts", NTZ), T.StructField("Day", T.DateType())])
+    df = frame(spark, [(None, None)], schema)
+    with pytest.raises(ValueError, match="already has"):
+        m.conform_to_schema(df, schema, event_date=("ts", "day"))
+
+
 def test_cast_of_unknown_column_raises(spark):
     with pytest.raises(ValueError, match="nope"):
         m.cast_columns(frame(spark, [(1,)], "a int"), {"nope": "int"})
