@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from moraine.functions.zones import wall_clock_of
 
 ISO_FORMAT = "yyyy-MM-dd"
-ISO_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+ISO_DATE = r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])\z"
 
 
 def safe_date(value: Column, data_type: T.DataType, fmt: str | None = None) -> Column:
@@ -25,8 +26,13 @@ def safe_date(value: Column, data_type: T.DataType, fmt: str | None = None) -> C
     parsed = F.try_to_date(value, fmt)
     if fmt != ISO_FORMAT:
         return parsed
-    # A cast reads plain ISO text to the same dates, and costs less on texts that are no date.
-    return F.when(value.rlike(ISO_TEXT), value.try_cast("date")).otherwise(parsed)
+    # Plain ISO text is cast to the same dates. Parsing by format, and casting what is no date, raise
+    # and catch an error for each value, so months and days out of range are sorted out before.
+    return (
+        F.when(value.rlike(ISO_DATE), value.try_cast("date"))
+        .when(value.rlike(ISO_SHAPE), F.lit(None).cast("date"))
+        .otherwise(parsed)
+    )
 
 
 def local_date(

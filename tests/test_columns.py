@@ -119,6 +119,20 @@ def test_casts_agree_with_try_cast(spark, values):
         assert all(row.n == row.expected for row in got.collect())
 
 
+@hypothesis_settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789.+- ex", max_size=6) | st.integers().map(str), min_size=1))
+def test_text_to_integers_is_the_lenient_cast(spark, values):
+    values = [v for v in values if v.strip(" +-")[:1] != "."] + ["1.9", "-7.", " 5 ", "x", "1.x", None]
+    df = spark.createDataFrame([(v, v) for v in values], "v string, n string")
+    mode = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        expected = [r.n for r in df.select(F.col("v").cast("int").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", mode)
+    assert [r.n for r in m.cast_columns(df, {"n": "int"}).collect()] == expected
+
+
 def test_widening_is_a_plain_cast_and_narrowing_raises_nothing(spark):
     df = spark.range(1).selectExpr("cast(id as int) as i", "id as l", "cast(id as double) as d")
     plan = plan_of(m.cast_columns(df, {"i": "bigint", "l": "int", "d": "int"}), "simple")
