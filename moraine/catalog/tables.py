@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from moraine.functions.names import by_lower_name, quoted, require
+from moraine.functions.names import by_lower_name, column, quoted, require
 from moraine.operators.checks import table_name
 from moraine.operators.projection import align_to_table
 from moraine.settings import PARTITION_OVERWRITE_SETTINGS, scoped_settings
@@ -149,8 +149,7 @@ def cluster_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     partition columns, then adaptive execution packs small partitions into one task and splits a
     large one over many, so a day with a third of all rows does not become one task.
     """
-    names = [require(df.columns, name) for name in partition_by]
-    return df.hint("rebalance", *names)
+    return df.hint("rebalance", *[column(require(df.columns, name)) for name in partition_by])
 
 
 def _write_settings(task_bytes: str) -> dict[str, str]:

@@ -18,12 +18,13 @@ def column(name: str) -> Column:
 
 
 def by_lower_name(names: Iterable[str]) -> dict[str, str]:
-    """Map lower-case name -> name as spelled; two names differing only in case are an error."""
+    """Map lower-case name -> name as spelled; two names that are the same but for case are an error."""
     found: dict[str, str] = {}
     for name in names:
-        other = found.setdefault(name.lower(), name)
-        if other is not name:
-            raise ValueError(f"columns {other!r} and {name!r} differ only in case")
+        lower = name.lower()
+        if lower in found:
+            raise ValueError(f"columns {found[lower]!r} and {name!r} differ only in case, if at all")
+        found[lower] = name
     return found
 
 

@@ -32,6 +32,19 @@ def instant_of(wall_clock: Column, zone: str, session: str) -> Column:
     return F.timestamp_seconds((utc_clock - epoch).cast("decimal(20,6)"))
 
 
+# A time of day followed by an offset or the name of a zone.
+TEXT_WITH_ZONE = r":[0-9]{2}.*([A-Za-z]|[+-][0-9:]+)\s*$"
+
+
+def instant_of_text(text: Column, zone: str, session: str) -> Column:
+    """Text -> TIMESTAMP or NULL; a zone written in the text counts, else it is a clock in ``zone``."""
+    as_written = text.try_cast("timestamp")
+    if same_zone(zone, session):
+        return as_written
+    clock = instant_of(text.try_cast("timestamp_ntz"), zone, session)
+    return F.when(text.rlike(TEXT_WITH_ZONE), as_written).otherwise(clock)
+
+
 def wall_clock_of(instant: Column, zone: str, session: str) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ as a clock in ``zone`` shows it."""
     if same_zone(zone, session):

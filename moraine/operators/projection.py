@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from moraine.functions.casts import fitting_cast
 from moraine.functions.dates import date_parts, local_date
 from moraine.functions.names import by_lower_name, column, require
-from moraine.functions.zones import instant_of, session_zone, wall_clock_of
+from moraine.functions.zones import instant_of, instant_of_text, session_zone, wall_clock_of
 
 
 def _converted(
@@ -22,6 +22,10 @@ def _converted(
         return value
     if isinstance(have, T.TimestampNTZType) and isinstance(want, T.TimestampType):
         return instant_of(value, zone, session)
+    if isinstance(have, T.DateType) and isinstance(want, T.TimestampType):
+        return instant_of(value.cast("timestamp_ntz"), zone, session)
+    if isinstance(have, T.StringType) and isinstance(want, T.TimestampType):
+        return instant_of_text(value, zone, session)
     if isinstance(have, T.TimestampType) and isinstance(want, T.TimestampNTZType):
         return wall_clock_of(value, zone, session)
     if isinstance(want, T.DateType):

@@ -117,6 +117,29 @@ def test_columns_outside_the_schema_do_not_split_groups(spark, tmp_path):
     assert len(files.groups) == 1 and files.df.count() == 4
 
 
+def test_decimals_of_growing_precision_share_a_scan(spark, tmp_path):
+    for name, kind in (("a", "decimal(5,2)"), ("b", "decimal(20,2)"), ("c", "decimal(9,4)")):
+        spark.range(1, 3).selectExpr(f"cast(id + 0.25 as {kind}) as fee").write.parquet(str(tmp_path / name))
+    paths = m.collect_paths(m.list_landing_files(spark, str(tmp_path), r"\.parquet$", recursive=True))
+    schema = T.StructType([T.StructField("fee", T.DoubleType())])
+    files = conform_union(spark, paths, schema)
+    assert files.rejects.count() == 0
+    assert sorted(r.fee for r in files.df.collect()) == [1.25] * 3 + [2.25] * 3
+
+
+def test_timestamps_of_both_kinds(spark, tmp_path):
+    for name, kind in (("a", "timestamp_ntz"), ("b", "timestamp"), ("c", "date"), ("d", "string")):
+        spark.sql(f"SELECT cast({kind.split('_')[0] if kind != 'string' else ''} '2024-01-05' as {kind}) AS ts").write.parquet(
+            str(tmp_path / name)
+        )
+    paths = m.collect_paths(m.list_landing_files(spark, str(tmp_path), r"\.parquet$", recursive=True))
+    schema = T.StructType([T.StructField("ts", T.TimestampType())])
+    files = conform_union(spark, paths, schema, event_date=("ts", "day"))
+    assert files.rejects.count() == 0 and len(files.groups) == 4
+    rows = files.df.select(F.unix_seconds("ts"), F.col("day").cast("string")).collect()
+    assert [tuple(r) for r in rows] == [(1704412800, "2024-01-05")] * 4
+
+
 def test_glob_over_drifting_types_raises_before_the_scan(spark, tmp_path):
     spark.range(2).write.parquet(str(tmp_path / "a"))
     spark.range(2).selectExpr("cast(id as double) as id").write.parquet(str(tmp_path / "b"))

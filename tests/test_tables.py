@@ -170,6 +170,18 @@ def test_per_day_check_of_a_table_reads_no_columns(spark, table):
     assert plan.count("partial_count") >= 1
 
 
+def test_odd_partition_names(spark, database, tmp_path):
+    df = spark.createDataFrame([(1, D1), (2, D2)], "id bigint, `odd day` date")
+    name = f"{database}.odd"
+    m.create_external_table(spark, name, df.schema, str(tmp_path / "t"), {"odd day": "date"})
+    m.overwrite_partitions(df, name)
+    assert contents(spark, name) == [(1, D1), (2, D2)]
+    m.write_partitions(df, str(tmp_path / "p"), ["Odd Day"])
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 2
+    m.save_managed_table(df, f"{database}.odd2", ["odd day"])
+    assert m.partition_equals(spark.table(f"{database}.odd2"), "odd day", "2024-01-01").count() == 1
+
+
 def files_by_day(path):
     return {
         os.path.basename(folder): len(glob.glob(f"{folder}/*.parquet"))
