@@ -356,6 +356,8 @@ def ingest_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
         date_column="order_date",
         partition_by=("year", "month"),
         recursive=True,
+        # Files hold one month each, so a scan task meets few partitions: no shuffle is needed.
+        cluster=False,
     )
     return with_order_micros(result.table)
 
