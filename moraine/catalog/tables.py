@@ -31,9 +31,14 @@ class TableMismatch(ValueError):
 # --- declaring tables ---------------------------------------------------------------------------
 
 
+def ddl_type(data_type: T.DataType) -> str:
+    """The type's SQL name; instants by the name that no session setting gives another meaning."""
+    return "timestamp_ltz" if isinstance(data_type, T.TimestampType) else data_type.simpleString()
+
+
 def ddl_columns(schema: T.StructType) -> str:
     """``name type`` for each column, names quoted, in DDL order."""
-    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+    return ", ".join(f"{quoted(f.name)} {ddl_type(f.dataType)}" for f in schema)
 
 
 def _declare(

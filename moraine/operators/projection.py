@@ -23,7 +23,7 @@ def _converted(
     if isinstance(have, T.TimestampNTZType) and isinstance(want, T.TimestampType):
         return instant_of(value, zone, session)
     if isinstance(have, T.DateType) and isinstance(want, T.TimestampType):
-        return instant_of(value.cast("timestamp_ntz"), zone, session)
+        return instant_of(value.cast(T.TimestampNTZType()), zone, session)
     if isinstance(have, T.StringType) and isinstance(want, T.TimestampType):
         return instant_of_text(value, zone, session)
     if isinstance(have, T.TimestampType) and isinstance(want, T.TimestampNTZType):

@@ -87,6 +87,17 @@ def test_ingest_takes_dates_from_the_stored_clock(spark, database, tmp_path, set
     assert rows == {1: dt.date(2024, 1, 5), 2: dt.date(2024, 1, 6)}
 
 
+def test_instants_stay_instants_where_timestamp_means_zone_less(spark, database, tmp_path, settings):
+    settings("spark.sql.timestampType", "TIMESTAMP_NTZ")
+    write_drift_folder(str(tmp_path / "raw"))
+    name = f"{database}.orders"
+    result = run_ingest(spark, str(tmp_path / "raw"), name, str(tmp_path / "t"))
+    assert result.table.schema["o_orderdate"].dataType.typeName() == "timestamp"
+    assert result.table.count() == len(expected_orders())
+    events = m.normalize_ntz(spark.read.parquet(f"{SF_DIR}/events.parquet"))
+    assert events.schema["ts"].dataType.typeName() == "timestamp"
+
+
 def test_backfill_needs_a_table(spark, database):
     with pytest.raises(ValueError, match="declare it first"):
         m.backfill(spark, f"{SF_DIR}/events.parquet", f"{database}.nowhere", "ts")
