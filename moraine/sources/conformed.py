@@ -111,6 +111,19 @@ def _probe(spark: SparkSession, paths: Sequence[str]) -> T.StructType | str:
     return schema
 
 
+# What changes from one delivery of a feed to the next: the ids of write jobs, and numbers.
+_CHANGING = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}|[0-9]+")
+
+
+def _in_feed_order(paths: Sequence[str]) -> list[str]:
+    """Without duplicates, the files of one feed next to each other and in the order of their names.
+
+    Feeds are told apart by what is left of a path without its numbers, so that feeds delivered
+    side by side, each with types of its own, do not alternate.
+    """
+    return sorted(set(paths), key=lambda path: (_CHANGING.sub("#", path), path))
+
+
 def _split(paths: Sequence[str]) -> list[Sequence[str]]:
     size = -(-len(paths) // _FAN_OUT)
     return [paths[start : start + size] for start in range(0, len(paths), size)]
@@ -121,13 +134,13 @@ def probe_schemas(
 ) -> tuple[list[tuple[T.StructType, list[str]]], list[tuple[str, str]]]:
     """Runs of files with the schema that reads them, and the files nothing can read.
 
-    All files are tried together. Where that fails the set is cut into runs of neighbours by name,
-    tried side by side, until each run has a schema or is a single unreadable file. Drift follows
-    the calendar, so few cuts are needed: the number of jobs goes with the changes, not the files.
+    All files are tried together. Where that fails the set is cut into runs of neighbours, tried
+    side by side, until each run has a schema or is a single unreadable file. Drift follows feed and
+    calendar, so few cuts are needed: the number of jobs goes with the changes, not the files.
     """
     found: list[tuple[T.StructType, list[str]]] = []
     rejects: list[tuple[str, str]] = []
-    pending: list[Sequence[str]] = [sorted(set(paths))] if paths else []
+    pending: list[Sequence[str]] = [_in_feed_order(paths)] if paths else []
     # The threads carry on the caller's job group and scheduler pool.
     probe = inheritable_thread_target(spark)(lambda run: _probe(spark, run))
     with ThreadPoolExecutor(_PROBE_THREADS) as pool:

@@ -87,25 +87,44 @@ def test_many_files_of_one_schema_are_one_scan_and_one_probe(spark, tmp_path, mo
     assert files.df.agg(F.sum("id")).first()[0] == sum(range(60))
 
 
-def test_number_of_probes_follows_the_changes(spark, monkeypatch):
-    """Two changes of type in 512 months are found without a probe per file."""
-    kinds = {n: ("int" if n < 200 else "bigint" if n < 371 else "double") for n in range(512)}
+def count_probes(spark, monkeypatch, kinds):
+    """Probe files that are said to have a column of the given types; returns groups and probes."""
     probes = []
 
     def merged(_, run):
         probes.append(run)
-        found = {kinds[int(name)] for name in run}
+        found = {kinds[path] for path in run}
         if len(found) > 1:
             raise AnalysisException("[CANNOT_MERGE_SCHEMAS] no")
-        return T.StructType([T.StructField("v", T.IntegerType() if found == {"int"} else
-                             T.LongType() if found == {"bigint"} else T.DoubleType())])
+        return T.StructType([T.StructField("v", found.pop())])
 
     monkeypatch.setattr(conformed, "_merged_schema", merged)
-    probed, rejects = probe_schemas(spark, [f"{n:03}" for n in kinds])
-    assert not rejects and len(probes) < 60
-    assert sorted(p for _, run in probed for p in run) == [f"{n:03}" for n in kinds]
+    probed, rejects = probe_schemas(spark, list(kinds))
+    assert not rejects
+    assert sorted(path for _, run in probed for path in run) == sorted(kinds)
     schema = T.StructType([T.StructField("v", T.DoubleType())])
-    assert sorted(len(g.paths) for g in group_by_types(probed, schema)) == [141, 171, 200]
+    return group_by_types(probed, schema), len(probes)
+
+
+INT, LONG, DOUBLE = T.IntegerType(), T.LongType(), T.DoubleType()
+
+
+def test_number_of_probes_follows_the_changes(spark, monkeypatch):
+    """Two changes of type in 512 months are found without a probe per file."""
+    kinds = {f"{n:03}": INT if n < 200 else LONG if n < 371 else DOUBLE for n in range(512)}
+    groups, probes = count_probes(spark, monkeypatch, kinds)
+    assert sorted(len(group.paths) for group in groups) == [141, 171, 200] and probes < 60
+
+
+def test_feeds_delivered_side_by_side_do_not_alternate(spark, monkeypatch):
+    job = "1f0c{:04x}-00aa-4bcd-9e0f-0123456789ab"
+    kinds = {
+        f"raw/month={n // 12 + 1990}-{n % 12 + 1:02}/{feed}-{job.format(n * 7919 % 65536)}.parquet": kind
+        for n in range(256)
+        for feed, kind in (("north", LONG), ("south", DOUBLE))
+    }
+    groups, probes = count_probes(spark, monkeypatch, kinds)
+    assert [len(group.paths) for group in groups] == [256, 256] and probes == 17
 
 
 def test_columns_outside_the_schema_do_not_split_groups(spark, tmp_path):
