@@ -45,13 +45,18 @@ def scoped_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterato
                 spark.conf.set(key, value)
 
 
+# Files or folders a task looks up one after the other.
+LOOKUPS_PER_TASK = 200
+
+
 @contextmanager
-def packed_lookups(spark: SparkSession) -> Iterator[None]:
+def packed_lookups(spark: SparkSession, paths: int = 0) -> Iterator[None]:
     """Within the block, a task looks up many files or folders; Spark's default is one task for each.
 
-    A look-up is quick, so with many paths the tasks themselves would be most of the cost.
+    A look-up is quick, so with many paths the tasks themselves would be most of the cost. There are
+    still enough tasks to keep all cores busy, and more if the cluster has yet to grow to its size.
     """
-    tasks = 4 * spark.sparkContext.defaultParallelism
+    tasks = max(4 * spark.sparkContext.defaultParallelism, paths // LOOKUPS_PER_TASK)
     with scoped_settings(
         spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)}
     ):

@@ -208,7 +208,7 @@ def conform_union(
     """
     if on_reject not in ("quarantine", "raise"):
         raise ValueError(f"on_reject must be 'quarantine' or 'raise', not {on_reject!r}")
-    with packed_lookups(spark):
+    with packed_lookups(spark, len(paths)):
         return _conform_union(spark, paths, schema, zone, event_date, on_reject)
 
 
