@@ -90,9 +90,14 @@ def _literal_path(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
+# A file that turns out to be gone or damaged during a scan fails the job, whatever the session says:
+# files are left out only by way of the rejects.
+_READ_ALL = {"ignoreCorruptFiles": "false", "ignoreMissingFiles": "false"}
+
+
 def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
     """The schema of all the files; their footers are read in one distributed job."""
-    reader = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "false")
+    reader = spark.read.options(mergeSchema="true", **_READ_ALL)
     return reader.parquet(*[_literal_path(path) for path in paths]).schema
 
 
@@ -243,7 +248,8 @@ def _conform_union(
     groups = group_by_types(readable, schema, case_sensitive)
     frames = []
     for group in groups:
-        files = spark.read.schema(group.schema).parquet(*[_literal_path(p) for p in group.paths])
+        reader = spark.read.schema(group.schema).options(**_READ_ALL)
+        files = reader.parquet(*[_literal_path(path) for path in group.paths])
         frames.append(conform_to_schema(files, schema, zone, event_date))
     if not frames:
         frames = [conform_to_schema(_empty_frame(spark, schema), schema, zone, event_date)]

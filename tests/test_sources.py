@@ -235,6 +235,22 @@ def test_corrupt_footer_is_seen_even_when_scans_ignore_corrupt_files(spark, fold
     assert files.rejects.count() == 1 and files.df.count() == len(expected_orders())
 
 
+def test_damage_behind_a_sound_footer_fails_the_job(spark, tmp_path, settings):
+    settings("spark.sql.files.ignoreCorruptFiles", "true")
+    spark.range(100_000).selectExpr("id", "xxhash64(id) as v").coalesce(1).write.parquet(str(tmp_path / "sound"))
+    file = next((tmp_path / "sound").glob("*.parquet"))
+    data = bytearray(file.read_bytes())
+    data[4:200_000] = bytes(199_996)
+    damaged = tmp_path / "damaged"
+    damaged.mkdir()
+    (damaged / "a.parquet").write_bytes(data)
+    schema = T.StructType([T.StructField("v", T.LongType())])
+    files = conform_union(spark, [str(damaged / "a.parquet")], schema)
+    assert files.rejects.count() == 0
+    with pytest.raises(Exception):
+        files.df.agg(F.sum("v")).collect()
+
+
 def test_no_files_give_an_empty_frame_of_the_schema(spark):
     files = conform_union(spark, [], ORDERS_SCHEMA, event_date=("o_orderdate", "day"))
     assert files.df.columns == [*ORDERS_SCHEMA.fieldNames(), "day"]
