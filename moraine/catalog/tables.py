@@ -31,16 +31,6 @@ class TableMismatch(ValueError):
 # --- declaring tables ---------------------------------------------------------------------------
 
 
-def ddl_type(data_type: T.DataType) -> str:
-    """The type's SQL name; instants by the name that no session setting gives another meaning."""
-    return "timestamp_ltz" if isinstance(data_type, T.TimestampType) else data_type.simpleString()
-
-
-def ddl_columns(schema: T.StructType) -> str:
-    """``name type`` for each column, names quoted, in DDL order."""
-    return ", ".join(f"{quoted(f.name)} {ddl_type(f.dataType)}" for f in schema)
-
-
 def _declare(
     spark: SparkSession,
     name: str,
@@ -49,20 +39,25 @@ def _declare(
     location: str | None,
 ) -> None:
     partitions = by_lower_name(partition_types)
-    data = T.StructType([f for f in schema if f.name.lower() not in partitions])
-    parts = [f"{quoted(col)} {kind}" for col, kind in partition_types.items()]
-    columns = ", ".join([ddl_columns(data), *parts]) if parts else ddl_columns(data)
-    statement = f"CREATE TABLE IF NOT EXISTS {table_name(name)} ({columns}) USING PARQUET"
-    if parts:
+    data = [T.StructField(f.name, f.dataType) for f in schema if f.name.lower() not in partitions]
+    columns = [T.StructType(data).toDDL()] if data else []
+    columns += [f"{quoted(col)} {kind}" for col, kind in partition_types.items()]
+    statement = f"CREATE TABLE IF NOT EXISTS {table_name(name)} ({', '.join(columns)}) USING PARQUET"
+    if partition_types:
         statement += f" PARTITIONED BY ({', '.join(quoted(col) for col in partition_types)})"
     if location is not None:
         escaped = location.replace("\\", "\\\\").replace("'", "\\'")
         statement += f" LOCATION '{escaped}'"
-    spark.sql(statement)
+    # In the statement TIMESTAMP means an instant, as it does in a schema.
+    with scoped_settings(spark, {"spark.sql.timestampType": "TIMESTAMP_LTZ"}):
+        spark.sql(statement)
 
     table = spark.table(table_name(name)).schema
     wanted = [(f.name.lower(), f.dataType.simpleString()) for f in data]
-    wanted += [(col.lower(), kind.lower()) for col, kind in partition_types.items()]
+    wanted += [
+        (col.lower(), T.DataType.fromDDL(kind).simpleString())
+        for col, kind in partition_types.items()
+    ]
     found = [(f.name.lower(), f.dataType.simpleString()) for f in table]
     if wanted != found:
         raise TableMismatch(f"table {name} has columns {found}, not {wanted}")
