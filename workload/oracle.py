@@ -20,6 +20,12 @@ _DAILY_COUNTS = """
 SELECT CAST(ts AS DATE) AS pickup_date, count(1) AS pickup_count
 FROM events GROUP BY 1 ORDER BY 1
 """
+_DATED_COUNTS = """
+SELECT CAST(ts AS DATE) AS pickup_date, count(1) AS pickup_count
+FROM events WHERE ts IS NOT NULL GROUP BY 1 ORDER BY 1
+"""
+# Orders without a date are delivered under a month of their own.
+_MONTH = "coalesce(strftime(o_orderdate, '%Y-%m'), '0000-00')"
 _ORDERS = """
        o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        CASE WHEN year(o_orderdate) = 1996 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
@@ -29,7 +35,7 @@ _ORDERS = """
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": _EVENTS,
     "scan_glob": _EVENTS,
-    "list_landing_files": "SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month FROM orders",
+    "list_landing_files": f"SELECT DISTINCT {_MONTH} AS month FROM orders",
     "literal_rows": _SALES,
     "normalize_ntz": "SELECT event_id, epoch_us(ts) AS ts_micros FROM events",
     "derive_date_parts": f"""
@@ -73,12 +79,12 @@ WHERE event_type <> 'error' AND ts IS NOT NULL
     "partition_filter": f"""
 {_EVENT_DAYS} WHERE CAST(CAST(ts AS DATE) AS VARCHAR) = '2024-01-05'
 """,
-    "daily_counts": _DAILY_COUNTS,
+    "daily_counts": _DATED_COUNTS,
     "daily_counts_sql": _DAILY_COUNTS,
     "preview_limit": f"{_EVENTS} ORDER BY event_id LIMIT 10",
     "conform_union": f"SELECT {_ORDERS} FROM orders",
-    "quarantine_files": """
-SELECT DISTINCT 'resend' AS feed, strftime(o_orderdate, '%Y-%m') AS month,
+    "quarantine_files": f"""
+SELECT DISTINCT 'resend' AS feed, {_MONTH} AS month,
        'DATATYPE_MISMATCH' AS reason
 FROM orders WHERE o_orderstatus = 'P'
 """,
@@ -99,7 +105,9 @@ FROM events
 """,
     "repair_partitions": _DAILY_COUNTS,
     "show_partitions": """
-SELECT DISTINCT 'pickup_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS "partition" FROM events
+SELECT DISTINCT 'pickup_date=' ||
+       coalesce(CAST(CAST(ts AS DATE) AS VARCHAR), '__HIVE_DEFAULT_PARTITION__') AS "partition"
+FROM events
 """,
     "show_tables": """
 SELECT 'events' AS table_name, count(1) AS row_count FROM events
@@ -128,7 +136,7 @@ FROM lineitem
 SELECT {_ORDERS}, CAST(o_orderdate AS DATE) AS order_date,
        strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month,
        strftime(o_orderdate, '%d') AS day
-FROM orders
+FROM orders WHERE o_orderdate IS NOT NULL
 """,
     "backfill_daily_counts": _DAILY_COUNTS,
 }

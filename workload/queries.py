@@ -100,10 +100,11 @@ def date_parts_substr(spark: SparkSession, sf_dir: str) -> DataFrame:
 def safe_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     # Days 1 to 50 of months 1 to 7: some of these texts are dates and some are not.
-    text = F.concat_ws(
-        "-",
+    text = F.concat(
         F.year("l_shipdate").cast("string"),
+        F.lit("-"),
         F.lpad(F.col("l_linenumber").cast("string"), 2, "0"),
+        F.lit("-"),
         F.lpad(F.col("l_quantity").cast("int").cast("string"), 2, "0"),
     )
     texts = lines.select("l_orderkey", "l_partkey", text.alias("date_text"))
@@ -259,7 +260,7 @@ def partitioned_write_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def partitioned_write_ymd(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "by-ymd")
-    dated = m.derive_date_columns(table(spark, sf_dir, "events"), "ts")
+    dated = m.derive_date_columns(table(spark, sf_dir, "events"), "ts", null_dates="keep")
     m.write_partitions(dated, path, ["year", "month", "day"])
     # Read back with the written schema: partition folders alone would make "01" the number 1.
     columns = ["event_id", "value", "year", "month", "day"]

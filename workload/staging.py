@@ -20,6 +20,9 @@ from workload.scratch import new_database, new_folder
 MONTH_FILES = r"/month=\d{4}-\d{2}/[^/]+\.parquet$"
 ORDERS_FILES = r"/orders" + MONTH_FILES
 
+# The month under which orders without a date are delivered.
+NO_MONTH = "0000-00"
+
 ORDERS_SCHEMA = T.StructType(
     [
         T.StructField("o_orderkey", T.LongType()),
@@ -52,7 +55,7 @@ def landing_zone(spark: SparkSession, sf_dir: str) -> str:
 
     ``orders`` holds every order once: as is before 1996; in 1996 with a double customer key and no
     priority; in 1997 with other column order, a text customer key, another spelling of one column
-    and an extra one; as is again from 1998. ``resend`` repeats the pending orders with their price
+    and an extra one; as is again from 1998, with the orders that have no date. ``resend`` repeats the pending orders with their price
     wrapped in an array, which no cast can undo. ``archive`` has folders that are not months.
     """
     return _once(spark, sf_dir, "landing", lambda: _write_landing_zone(spark, sf_dir))
@@ -85,7 +88,7 @@ def _write_landing_zone(spark: SparkSession, sf_dir: str) -> str:
                 "o_orderkey",
             ),
         ),
-        ("orders", orders.where(day >= new_1998)),
+        ("orders", orders.where((day >= new_1998) | day.isNull())),
         (
             "resend",
             orders.where(F.col("o_orderstatus") == "P").withColumn(
@@ -94,7 +97,8 @@ def _write_landing_zone(spark: SparkSession, sf_dir: str) -> str:
         ),
     ]
     for feed, rows in drops:
-        by_month = rows.withColumn("month", F.date_format(day, "yyyy-MM"))
+        month = F.coalesce(F.date_format(day, "yyyy-MM"), F.lit(NO_MONTH))
+        by_month = rows.withColumn("month", month)
         write_partitions(by_month, f"{folder}/{feed}", ["month"], mode="append")
     by_year = orders.groupBy(F.year(day).alias("month")).agg(F.count(F.lit(1)).alias("orders"))
     write_partitions(by_year, f"{folder}/archive", ["month"], mode="append", cluster=False)
@@ -110,12 +114,14 @@ class Lake:
 
 
 def events_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = derive_date_columns(table(spark, sf_dir, "events"), "ts")
+    dated = derive_date_columns(table(spark, sf_dir, "events"), "ts", null_dates="keep")
     return dated.drop("year", "month", "day")
 
 
 def by_month(spark: SparkSession, sf_dir: str, name: str, time_column: str) -> DataFrame:
-    dated = derive_date_columns(table(spark, sf_dir, name), time_column, "event_date")
+    dated = derive_date_columns(
+        table(spark, sf_dir, name), time_column, "event_date", null_dates="keep"
+    )
     return dated.drop("event_date", "day")
 
 
