@@ -114,7 +114,7 @@ def _table_facts(spark: SparkSession, table: str) -> dict[str, str]:
 def _file_system(spark: SparkSession, location: str):
     """The Hadoop path of a location, and the file system it is on."""
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _qualified(spark: SparkSession, location: str) -> str:

@@ -72,6 +72,17 @@ def test_pruning_and_filters_reach_the_scans(spark, folder):
     assert read == [["o_orderkey:bigint", "o_orderstatus:string"]] * 3
 
 
+def test_day_filter_on_the_union_prunes_each_scan(spark, folder):
+    files = conform_union(
+        spark, paths_in(spark, folder), ORDERS_SCHEMA, event_date=("o_orderdate", "day")
+    )
+    plan = plan_of(m.partition_equals(files.df, "day", "1995-02-03").select("o_orderkey"))
+    pushed = line_of(plan, "PushedFilters:")
+    assert len(pushed) == 3
+    assert all("GreaterThanOrEqual(o_orderdate,1995-02-03T00:00)" in line for line in pushed)
+    assert all("LessThan(o_orderdate,1995-02-04T00:00)" in line for line in pushed)
+
+
 def test_many_files_of_one_schema_are_one_scan_and_one_probe(spark, tmp_path, monkeypatch):
     spark.range(60).repartition(30).write.parquet(str(tmp_path / "a"))
     paths = m.collect_paths(m.list_landing_files(spark, str(tmp_path / "a"), r"\.parquet$"))

@@ -5,6 +5,7 @@ import glob
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings as hypothesis_settings, strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +45,29 @@ def test_overwrite_leaves_other_partitions_alone(spark, table):
         assert contents(spark, table) == sorted(expected, key=repr)
 
 
+@hypothesis_settings(
+    max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(
+        st.lists(st.tuples(st.integers(0, 99), st.sampled_from([D1, D2, D3, None])), max_size=6),
+        min_size=1,
+        max_size=3,
+    )
+)
+def test_any_overwrites_leave_the_last_rows_of_each_day(spark, tmp_path_factory, writes):
+    from workload.scratch import new_database
+
+    name, model = f"{new_database(spark, 'test')[0]}.t", {}
+    empty = spark.createDataFrame([], "id int, d date")
+    location = str(tmp_path_factory.mktemp("t") / "t")
+    m.create_external_table(spark, name, empty.schema, location, {"d": "date"})
+    for rows in writes:
+        m.overwrite_partitions(spark.createDataFrame(rows, empty.schema), name)
+        model |= {day: [row for row in rows if row[1] == day] for _, day in rows}
+    assert contents(spark, name) == sorted((r for rows in model.values() for r in rows), key=repr)
+
+
 @pytest.mark.parametrize("before", ["static", "dynamic"])
 def test_overwrite_puts_session_settings_back(spark, table, days, settings, before):
     settings(OVERWRITE_MODE, before)
