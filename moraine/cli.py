@@ -129,6 +129,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> list[DataFrame]:
 
 
 def main(argv: Sequence[str] | None = None) -> None:
+    _parser().parse_args(argv)  # wrong arguments end the program before a session is built
     spark = SparkSession.builder.appName("moraine").enableHiveSupport().getOrCreate()
     try:
         for df in run(spark, argv):

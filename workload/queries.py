@@ -228,7 +228,7 @@ def declared_events(spark: SparkSession, sf_dir: str, purpose: str) -> str:
     """A new external table over the files of all events by day; they are not written again."""
     database, _ = new_database(spark, purpose)
     name, location = f"{database}.events", f"{lake(spark, sf_dir).folder}-events"
-    schema = m.scan_parquet(spark, location).schema
+    schema = events_by_day(spark, sf_dir).schema
     m.create_external_table(spark, name, schema, location, {"pickup_date": "date"})
     return name
 
@@ -252,9 +252,9 @@ def declare_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def partitioned_write_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_folder(spark, "by-day")
-    m.write_partitions(events_by_day(spark, sf_dir), path, ["pickup_date"])
-    return spark.read.parquet(path).select(*DAY_COLUMNS)
+    path, events = new_folder(spark, "by-day"), events_by_day(spark, sf_dir)
+    m.write_partitions(events, path, ["pickup_date"])
+    return spark.read.schema(events.schema).parquet(path).select(*DAY_COLUMNS)
 
 
 @query
@@ -329,8 +329,10 @@ def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def drop_keeps_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    location = m.drop_external_table(spark, declared_events(spark, sf_dir, "dropped"))
-    return m.daily_counts(spark.read.parquet(location))
+    name = declared_events(spark, sf_dir, "dropped")
+    schema = spark.table(name).schema
+    location = m.drop_external_table(spark, name)
+    return m.daily_counts(spark.read.schema(schema).parquet(location))
 
 
 # --- whole jobs ---------------------------------------------------------------------------------
