@@ -229,8 +229,10 @@ def test_small_partitions_get_one_file_each(spark, tmp_path):
 
 
 @pytest.mark.parametrize("adaptive", ["true", "false"])
-def test_hot_partition_is_split_over_tasks(spark, tmp_path, settings, adaptive):
+@pytest.mark.parametrize("partitions", ["8", "200", "5000"])
+def test_hot_partition_is_split_over_tasks(spark, tmp_path, settings, adaptive, partitions):
     settings("spark.sql.adaptive.enabled", adaptive)
+    settings("spark.sql.shuffle.partitions", partitions)
     path = str(tmp_path / "skewed")
     m.write_partitions(skewed(spark), path, ["k"], task_bytes="512k")
     files = files_by_day(path)
