@@ -19,9 +19,11 @@ from moraine.settings import PARTITION_OVERWRITE_SETTINGS, scoped_settings
 # Shuffled bytes a write task takes on, and so about the largest file it writes.
 WRITE_TASK_BYTES = "128m"
 
-# Up to this many shuffle partitions Spark records the size of each piece of map output; beyond, only
-# an average, in which adaptive execution cannot see a large partition to split.
-EXACT_SIZES_UP_TO = 2000
+# Shuffle partitions of a clustered write. The more there are, the seldomer two table partitions share
+# one, whose files would come out smaller; but beyond 2000 Spark records only average sizes of map
+# output, in which adaptive execution cannot see a large partition to split. Parallelism does not
+# hang on it, since small ones are packed and large ones split afterwards.
+CLUSTER_PARTITIONS = 2000
 
 # Files a write task keeps open side by side. A clustered task has rows of few partitions, so this
 # spares it a sort by partition; rows of any further partitions are sorted and written after.
@@ -151,15 +153,10 @@ def cluster_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
     Without it every task opens a file in every partition it has rows for. The hint shuffles by the
     partition columns, then adaptive execution packs small partitions into one task and splits a
-    large one over many, so a day with a third of all rows does not become one task. The number of
-    shuffle partitions is the session's, as long as sizes stay exact; it limits no parallelism, as
-    pieces of map output are handed out afterwards.
+    large one over many, so a day with a third of all rows does not become one task.
     """
-    conf = df.sparkSession.conf
-    usual = conf.get("spark.sql.shuffle.partitions")
-    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or usual
     columns = [column(require(df.columns, name)) for name in partition_by]
-    return df.hint("rebalance", min(int(initial), EXACT_SIZES_UP_TO), *columns)
+    return df.hint("rebalance", CLUSTER_PARTITIONS, *columns)
 
 
 def _write_settings(task_bytes: str) -> dict[str, str]:
