@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.llm import bpe, decontaminate, sharding, token_counts
+from moraine.llm import bpe, decontaminate, sharding, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -24,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    printed = simhash.with_fingerprint(documents).drop("text")
+    linked = simhash.with_components(printed)
+    hexadecimal = simhash.as_hex(F.col("fingerprint")).alias("fingerprint")
+    return linked.select("doc_id", hexadecimal, "component_id")
+
+
 @query
 def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = table(spark, sf_dir, "documents").select(
