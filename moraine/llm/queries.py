@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.llm import bpe, decontaminate, sharding, simhash, token_counts
+from moraine.llm import ann, bpe, decontaminate, sharding, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -119,3 +119,9 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
 """
+
+
+@query
+def op9_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(embeddings, F.col("vec_id") % 100 == 0, k=10)
