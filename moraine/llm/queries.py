@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.llm import ann, bpe, decontaminate, sharding, simhash, token_counts
+from moraine.llm import ann, bpe, decontaminate, secrets, sharding, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -125,3 +125,17 @@ FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
 def op9_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest(embeddings, F.col("vec_id") % 100 == 0, k=10)
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(documents)
+    return found.select(
+        "doc_id",
+        secrets.number_of(F.col("base"), "assign").alias("n_assign"),
+        secrets.number_of(F.col("base"), "access").alias("n_access"),
+        secrets.number_of(F.col("base"), "hex").alias("n_hex"),
+        F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
+        secrets.spelled(F.col("found")).alias("spans"),
+    )
