@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.llm import ann, bpe, decontaminate, secrets, sharding, simhash, token_counts
+from moraine.llm import (
+    ann,
+    bpe,
+    decontaminate,
+    secrets,
+    sharding,
+    simhash,
+    token_counts,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -139,3 +148,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
         secrets.spelled(F.col("found")).alias("spans"),
     )
+
+
+@query
+def op8_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(documents, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
