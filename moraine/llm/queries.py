@@ -12,6 +12,7 @@ from moraine.llm import (
     ann,
     bpe,
     decontaminate,
+    language,
     secrets,
     sharding,
     simhash,
@@ -155,3 +156,10 @@ def op8_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score_documents(documents, table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op5_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identify_language(documents)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
