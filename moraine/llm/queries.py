@@ -13,6 +13,7 @@ from moraine.llm import (
     bpe,
     decontaminate,
     language,
+    pii,
     secrets,
     sharding,
     simhash,
@@ -61,6 +62,18 @@ def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(documents)
+    return found.select(
+        "doc_id",
+        *[pii.number_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"),
+        pii.spelled(F.col("found")).alias("spans"),
+    )
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
