@@ -40,7 +40,7 @@ MOST_LEVELS = 14
 BLOCK_POINTS = 512  # compared all with all
 HOT_POINTS = 100_000  # a shard of more is compared in parts, pair by pair
 
-FP, ID, COMPONENT = "__llm_fp", "__llm_id", "__llm_component"
+FP, ID, ROOT, COMPONENT = "__llm_fp", "__llm_id", "__llm_root", "__llm_component"
 
 
 # --- fingerprints -------------------------------------------------------------------------------
@@ -277,17 +277,8 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.toDF("node", "component")
 
 
-def with_components(
-    df: DataFrame,
-    fingerprint: str = "fingerprint",
-    doc_id: str = "doc_id",
-    bits: int = MAX_BITS,
-) -> DataFrame:
-    """``df`` with ``component_id``: the smallest id of the documents linked to a row's fingerprint.
-
-    Fingerprints (signed longs) are linked if they differ in at most ``bits`` bits. What ``df``
-    holds is written to the shared folder once, and read from there.
-    """
+def _rooted(df: DataFrame, fingerprint: str, doc_id: str, bits: int) -> DataFrame:
+    """``df``, written once, with its id, ROOT (one of the component's points) and COMPONENT."""
     printed = df.withColumns({ID: quoted(doc_id), FP: quoted(fingerprint)})
     printed = materialize(printed, "prints")
     named = printed.groupBy(F.col(FP).alias("fp")).agg(F.min(ID).alias("least"))
@@ -298,13 +289,30 @@ def with_components(
     member = joined.union(roots)
     named_member = named.join(member, F.col("fp") == F.col("node"))
     smallest = named_member.groupBy("component").agg(F.min("least").alias("smallest"))
-    renamed = named_member.join(smallest, "component").select(F.col("fp").alias("own"), "smallest")
-    answer = named.join(renamed, F.col("fp") == F.col("own"), "left").select(
+    linked = named_member.join(smallest, "component")
+    linked = linked.select(F.col("fp").alias("own"), "component", "smallest")
+    alone = F.col("own").isNull()
+    answer = named.join(linked, F.col("fp") == F.col("own"), "left").select(
         F.col("fp").alias(FP),
-        F.when(F.col("own").isNull(), F.col("least")).otherwise(F.col("smallest")).alias(COMPONENT),
+        F.when(alone, F.col("fp")).otherwise(F.col("component")).alias(ROOT),
+        F.when(alone, F.col("least")).otherwise(F.col("smallest")).alias(COMPONENT),
     )
-    out = with_outputs(printed.join(answer, FP), {"component_id": F.col(COMPONENT)})
-    return out.drop(FP, ID, COMPONENT)
+    return printed.join(answer, FP)
+
+
+def with_components(
+    df: DataFrame,
+    fingerprint: str = "fingerprint",
+    doc_id: str = "doc_id",
+    bits: int = MAX_BITS,
+) -> DataFrame:
+    """``df`` with ``component_id``: the smallest id of the documents linked to a row's fingerprint.
+
+    Fingerprints (signed longs) are linked if they differ in at most ``bits`` bits. What ``df``
+    holds is written to the shared folder once, and read from there.
+    """
+    rooted = _rooted(df, fingerprint, doc_id, bits)
+    return with_outputs(rooted, {"component_id": F.col(COMPONENT)}).drop(FP, ID, ROOT, COMPONENT)
 
 
 def near_duplicates(
@@ -316,3 +324,34 @@ def near_duplicates(
 ) -> DataFrame:
     """``df`` with ``fingerprint`` (a signed long) and ``component_id``."""
     return with_components(with_fingerprint(df, text, shingle), "fingerprint", doc_id, bits)
+
+
+def keep_one_of_each(
+    df: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    shingle: int = SHINGLE_WORDS,
+    bits: int = MAX_BITS,
+) -> DataFrame:
+    """One row of each component: that with the smallest id, rows without an id last.
+
+    Rows of equal id and text are told apart by nothing; of these one stays. Decisions are made on
+    ids and hashes alone; the texts are shuffled once, to meet them.
+    """
+    value = quoted(text).cast("string")
+    slim = df.select(quoted(doc_id).alias("i"), F.xxhash64(value).alias("t"), value.alias("text"))
+    slim = with_fingerprint(slim, "text", shingle).drop("text")
+    rooted = _rooted(slim, "fingerprint", "i", bits)
+    rows = rooted.groupBy(ROOT, "i", "t").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("i").isNull().alias("last"), F.col("i"), F.col("t"), F.col("n"))
+    kept = rows.groupBy(ROOT).agg(F.min(order).alias("k"))
+    kept = kept.select(F.col("k.i").alias("__llm_i"), F.col("k.t").alias("__llm_t"), F.col("k.n"))
+    kept = materialize(kept, "kept")
+    repeated = kept.where(F.col("n") > 1).limit(1).count()
+    chosen = kept.drop("n").hint("merge")
+    keyed = df.withColumns({ID: quoted(doc_id), FP: F.xxhash64(value)})
+    same = F.col(ID).eqNullSafe(F.col("__llm_i")) & F.col(FP).eqNullSafe(F.col("__llm_t"))
+    out = keyed.join(chosen, same).drop("__llm_i", "__llm_t")
+    if repeated:
+        out = out.dropDuplicates([ID, FP])
+    return out.drop(ID, FP)
