@@ -157,7 +157,9 @@ def labelled(df: DataFrame, labels: DataFrame, text: str, doc_id: str, label: st
     )
     marks = labels.where(fold(quoted(doc_id)) != HELD_OUT_FOLD).groupBy(quoted(doc_id).alias("id"))
     marks = marks.agg(F.max(quoted(label).cast("int")).alias("label"))
-    joined = rows.join(marks.where(F.col("label").isin(0, 1)), "id")
+    # Both sides grow with the corpus: they are shuffled at every size, and neither is broadcast.
+    marks = marks.where(F.col("label").isin(0, 1)).hint("merge")
+    joined = rows.join(marks, "id")
     return joined.withColumn("curve", for_curve(F.col("id")))
 
 
