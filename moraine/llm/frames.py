@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -39,7 +40,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="moraine-llm-")
     path = f"{root.rstrip('/')}/llm-{purpose}-{uuid.uuid4().hex[:12]}"

@@ -174,7 +174,7 @@ def identify_language(
     def predict(texts: pd.Series) -> pd.DataFrame:
         vectors = bundles(texts.tolist())
         if not names:
-            return pd.DataFrame({"lang_pred": UNKNOWN, "score": [0.0] * len(texts)})
+            return pd.DataFrame({"lang_pred": [UNKNOWN] * len(texts), "score": [0.0] * len(texts)})
         cosines = vectors @ matrix.T
         known, best = vectors.any(axis=1), cosines.argmax(axis=1)
         score = np.clip(cosines.max(axis=1).astype(np.float64), 0.0, 1.0)

@@ -1,0 +1,194 @@
+"""Patterns against Python's regular expressions, the network's gradients, windows and masks."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from moraine.llm import pii
+from tests.llm import messy
+
+PATTERNS = [
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+]
+PIECES = [
+    "a", "Z.", "@", "b.c", "1", "22", "255", ".", "+", " ", "-", "(", "é", "😀", "1.2.3.4", "x@y.z",
+    "4970008931099239", "+1 (372) 555-8850",
+]
+
+
+def holds(kind, text):
+    digits = [int(c) for c in text if c in "0123456789"]
+    if kind == 1:
+        return all(int(p) <= 255 for p in text.split("."))
+    if kind == 2:
+        doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+        return 12 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+    return kind == 0 or 9 <= len(digits) <= 15
+
+
+def base(text):
+    found = ((m, k) for k, p in enumerate(PATTERNS) for m in re.finditer(p, text))
+    return sorted((m.start(), k, m.end()) for m, k in found if holds(k, m[0]))
+
+
+def test_base_spans():
+    pick = random.Random(2)
+    for _ in range(5000):
+        text = "".join(pick.choices(PIECES, k=pick.choice([0, 1, 4, 12, 30])))
+        assert pii.base_spans(text) == base(text), text
+
+
+@pytest.mark.parametrize("text", ["a" * 200_000, "1" * 200_000, "@" * 100_000, "+1" + " " * 200_000])
+def test_long_runs_take_linear_time(text):
+    assert pii.base_spans(text) == []
+
+
+def test_many_spans_take_linear_time():
+    assert len(pii.base_spans("1." * 100_000)) == 25_000
+    assert len(pii.base_spans("a@b.c " * 50_000)) == 50_000
+
+
+def test_gradients(monkeypatch):
+    monkeypatch.setattr(pii, "WINDOW", 7)
+    random_ = np.random.default_rng(0)
+    network = {k: v.astype(np.float64) for k, v in pii.new_network(random_).items()}
+    windows = random_.integers(1, 20, (3, 7))
+    tags = np.array([[0, 1, 2, 2, 0, 0, 3], [0, 0, 0, 5, 6, 6, 0], [1, 2, 0, 0, 0, 7, 8]])
+
+    def loss():
+        scores, _ = pii.emissions(network, windows)
+        nexts, rows = network["next"] + pii.allowed(), np.arange(3)
+        ahead = scores[:, 0] + pii.allowed()[0]
+        gold = ahead[rows, tags[:, 0]]
+        for t in range(1, 7):
+            gold = gold + nexts[tags[:, t - 1], tags[:, t]] + scores[rows, t, tags[:, t]]
+            ahead = pii.log_sum(ahead[:, :, None] + nexts[None], 1) + scores[:, t]
+        return float((pii.log_sum(ahead, 1) - gold).mean())
+
+    found = pii.gradients(network, windows, tags, pii.allowed())
+    places = {"xf": (int(windows[0, 2]), 5), "xb": (int(windows[1, 3]), 40), "next": (1, 2), "tag": (3,)}
+    for name in network:
+        at = places.get(name) or tuple(0 for _ in network[name].shape)
+        before = network[name][at]
+        network[name][at] = before + 1e-2
+        high = loss()
+        network[name][at] = before - 1e-2
+        low = loss()
+        network[name][at] = before
+        assert (high - low) / 2e-2 == pytest.approx(float(found[name][at]), abs=2e-3)
+
+
+def test_viterbi_is_the_best_path():
+    random_ = np.random.default_rng(3)
+    scores = random_.normal(0, 1, (4, 5, pii.TAGS)).astype(np.float32)
+    nexts = random_.normal(0, 1, (pii.TAGS, pii.TAGS)).astype(np.float32) + pii.allowed()
+    tags = pii.viterbi(scores, nexts)
+
+    def weight(row, path):
+        own = scores[row, 0, path[0]] + pii.allowed()[0][path[0]]
+        for t in range(1, 5):
+            own += nexts[path[t - 1], path[t]] + scores[row, t, path[t]]
+        return own
+
+    for row in range(4):
+        best = weight(row, tags[row])
+        for _ in range(3000):
+            assert weight(row, random_.integers(0, pii.TAGS, 5)) <= best + 1e-4
+
+
+def test_heaviest_set():
+    spans = [(0, 0, 5, 3.0), (4, 1, 8, 4.0), (8, 2, 10, 1.0), (0, 3, 10, 4.5), (0, 0, 5, 3.0)]
+    assert pii.heaviest(spans) == [(4, 1, 8), (8, 2, 10)]
+    assert pii.heaviest([]) == []
+
+
+def examples(n=700):
+    pick, words = random.Random(5), ["the", "and", "ould", "thing", "er", "ation", "2 apples"]
+    digit = lambda k: "".join(pick.choices("0123456789", k=k))
+
+    def card():
+        while True:
+            own = "4" + digit(15)
+            if pii.luhn(own):
+                return own
+
+    out = []
+    for _ in range(n):
+        parts = pick.choices(words, k=pick.choice([5, 40]))
+        for _ in range(pick.choice([0, 1, 2])):
+            ip = ".".join(str(pick.randrange(256)) for _ in range(4))
+            mail = f"{pick.choice(['anna', 'bob'])}.{digit(2)}@mail{digit(1)}.example.com"
+            data = [mail, ip, card(), f"+1 ({digit(3)}) 555-{digit(4)}"]
+            parts.insert(pick.randrange(len(parts)), pick.choice(data))
+        out.append(" ".join(parts))
+    return out
+
+
+@pytest.fixture(scope="module")
+def network(spark):
+    docs = spark.createDataFrame([(t,) for t in examples()], "text string")
+    return pii.learn_network(docs)
+
+
+def test_the_network_learns_the_spans(network):
+    hits = total = 0
+    for text in examples()[:150]:
+        chars = pii.chars_of(text)
+        starts = pii.windows_of(chars)
+        if len(starts):
+            spans = [
+                (s + b, k, s + e, w)
+                for s, found in zip(starts.tolist(), pii.decode(network, pii.cut(chars, starts)), strict=True)
+                for b, k, e, w in found
+                if (b or not s) and (e < pii.WINDOW or s + pii.WINDOW >= len(text))
+            ]
+            wanted = set(pii.base_spans(text))
+            hits, total = hits + len(wanted & set(pii.heaviest(spans))), total + len(wanted)
+    assert total > 100 and hits >= 0.9 * total
+
+
+def test_it_adds_what_the_patterns_run_together(network):
+    text = "the er +1 (208) 555-1177 4284896609045836 ould and thing"
+    assert pii.base_spans(text) == []
+    (found,) = pii.search_texts([text], network)
+    assert [(pii.KINDS[k], text[b:e]) for b, k, e in found[1]] == [
+        ("phone", "+1 (208) 555-1177"),
+        ("card", "4284896609045836"),
+    ]
+
+
+def test_windows_left_out_could_add_nothing(network, monkeypatch):
+    texts = [*examples()[:60], messy.LONG[:3000], "word " * 300]
+    pruned = pii.search_texts(texts, network)
+
+    def every_start(chars):
+        return np.arange(0, max(len(chars) - pii.WINDOW + pii.STRIDE, 1), pii.STRIDE)
+
+    monkeypatch.setattr(pii, "windows_of", every_start)
+    assert pii.search_texts(texts, network) == pruned
+
+
+def test_messy_documents(spark):
+    docs = messy.documents(spark, "Base", "kind", "h", "tags", "window")
+    out = pii.find_personal_data(docs)
+    assert {"extra", "kind", "h", "base", "found"} <= set(out.columns) and "Base" not in out.columns
+    rows = out.select("text", "base", "found", pii.spelled(out["base"]).alias("s")).collect()
+    assert len(rows) == len(messy.ROWS)
+    for row in rows:
+        spans = pii.base_spans(row.text or "")
+        assert [tuple(s) for s in row.base] == spans
+        assert row.s == ",".join(f"{pii.KINDS[k]}:{b}:{e}" for b, k, e in spans)
+        assert {tuple(s) for s in row.base} <= {tuple(s) for s in row.found}
+    masked = dict(messy.rows(pii.mask_personal_data(out), "doc_id", "text"))
+    assert masked[8] == "mail [EMAIL] or [PHONE]" and masked[4] is None and masked[5] == messy.LONG
+    assert messy.rows(pii.find_personal_data(messy.none(docs))) == []
+
+
+def test_overlapping_spans_are_masked_once():
+    spans = [{"begin": 2, "kind": 0, "end": 6}, {"begin": 4, "kind": 2, "end": 8}, {"begin": 9, "kind": 1, "end": 10}]
+    assert pii.masked("ab123456.x!", spans) == "ab[EMAIL].[IP]!"

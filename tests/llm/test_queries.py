@@ -1,0 +1,141 @@
+"""The registered queries: against DuckDB where SQL says it, else against brute force."""
+
+import hashlib
+import os
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+import public_tokenizers
+
+import __spark_entry__ as entry_points
+from moraine.llm import ann, bpe, pii, queries, simhash, token_counts
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def run(spark, name):
+    return queries.REGISTRY[name](spark, SF_DIR)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return {r.doc_id: r for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+
+
+def sha(text):
+    return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+
+
+def test_one_query_for_each_operator():
+    names = [n for n in entry_points.queries() if n.startswith("op")]
+    assert sorted(int(n[2:].partition("_")[0]) for n in names) == list(range(1, 11))
+    assert "pipeline" in entry_points.queries()
+
+
+@pytest.mark.parametrize("name", queries.ORACLE_SQL)
+def test_against_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark", "embeddings", "labels"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    result = duck.execute(queries.ORACLE_SQL[name])
+    names = [c[0] for c in result.description]
+    df = run(spark, name)
+    assert sorted(df.columns) == sorted(names)
+    own = sorted(tuple(r) for r in df.select(*names).collect())
+    assert own == sorted(result.fetchall()) and own
+
+
+def test_op1(spark, documents):
+    points = np.array([simhash.fingerprint(r.text) for r in documents.values()], dtype=np.uint64)
+    sets, ids = simhash.Forest(len(points)), list(documents)
+    for i in range(len(points)):
+        for j in np.flatnonzero(np.bitwise_count(points ^ points[i]) <= 3):
+            sets.link(i, int(j))
+    least = {}
+    for i, doc_id in enumerate(ids):
+        least[sets.root(i)] = min(least.get(sets.root(i), doc_id), doc_id)
+    expected = {
+        (d, format(int(points[i]), "016x"), least[sets.root(i)]) for i, d in enumerate(ids)
+    }
+    assert {tuple(r) for r in run(spark, "op1_simhash_near_dedup").collect()} == expected
+
+
+def test_op2(spark, documents):
+    rows = run(spark, "op2_histogram_shards").collect()
+    assert {(r.doc_id, r.size, r.text_crc32) for r in rows} == {
+        (i, len(r.text.encode()) + 1, zlib.crc32(r.text.encode())) for i, r in documents.items()
+    }
+    assert {r.law for r in rows} == {"bytes"} and {r.grown_shard for r in rows} == {None}
+    sizes = [sum(r.size for r in rows if r.shard == s) for s in range(16)]
+    assert max(sizes) - min(sizes) <= 2 * max(r.size for r in rows)
+
+
+def test_op3(spark, documents):
+    for row in run(spark, "op3_personal_data").collect():
+        base = pii.base_spans(documents[row.doc_id].text)
+        spelled = [f"{pii.KINDS[k]}:{b}:{e}" for b, k, e in base]
+        assert row.base_sha256 == sha(",".join(spelled))
+        counts = [row.n_email, row.n_ip, row.n_card, row.n_phone]
+        assert counts == [sum(k == i for _, k, _ in base) for i in range(4)]
+        assert set(spelled) <= set(row.spans.split(",")) | {""}
+
+
+def test_op4(spark, documents):
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    for row in run(spark, "op4_byte_bpe").collect():
+        text = documents[row.doc_id].text
+        ids = bpe.encoding(path, pattern).encode_ordinary(text)
+        assert row.n_tokens == len(ids) and row.ids_sha256 == sha(np.array(ids, "<u4").tobytes())
+        assert row.decoded_sha256 == sha(text)
+
+
+def test_op5(spark, documents):
+    rows = run(spark, "op5_hyperdimensional_language").collect()
+    assert len(rows) == len(documents)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    held = [r.lang_pred == documents[r.doc_id].lang for r in rows if r.held_out]
+    assert sum(held) >= 0.95 * len(held)
+
+
+def test_op6(spark, documents):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    for row in run(spark, "op6_token_counts").collect():
+        text = documents[row.doc_id].text
+        n = len(token_counts.tokenizer(path).encode(text, add_special_tokens=False))
+        assert (row.n_bytes, row.n_tokens, row.over_limit) == (len(text.encode()), n, n > 2048)
+
+
+def test_op8(spark, documents):
+    rows = run(spark, "op8_kneser_ney_toxicity").collect()
+    assert len(rows) == len(documents) and {r.predicted for r in rows} == {0, 1}
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+
+
+def test_op9(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()
+    vectors = np.array([r.embedding for r in rows], dtype=np.float64)
+    ids = np.array([r.vec_id for r in rows])
+    found = run(spark, "op9_multiprobe_neighbours").collect()
+    near = 0
+    for q in ids[ids % 100 == 0].tolist():
+        scores = ann.distances(vectors, vectors[ids == q][0])
+        order = [i for i in np.lexsort((ids, scores)) if ids[i] != q][:10]
+        own = sorted((r for r in found if r.query_id == q), key=lambda r: r.rank)
+        assert [r.rank for r in own] == list(range(1, 11))
+        near += len({r.vec_id for r in own} & set(ids[order].tolist()))
+        for r in own:
+            assert r.score == pytest.approx(float(scores[ids == r.vec_id][0]), abs=1e-12)
+    assert near >= 0.9 * 10 * int((ids % 100 == 0).sum())
+
+
+def test_op10(spark, documents):
+    from tests.llm.test_secrets import base
+
+    for row in run(spark, "op10_secret_scan").collect():
+        spelled = base(documents[row.doc_id].text)
+        kinds = [s.partition(":")[0] for s in spelled.split(",")]
+        assert row.base_sha256 == sha(spelled)
+        assert [row.n_assign, row.n_access, row.n_hex] == [kinds.count(k) for k in ("assign", "access", "hex")]
+        assert set(spelled.split(",")) <= set(row.spans.split(","))

@@ -1,0 +1,122 @@
+"""Fingerprints bit by bit, links against all pairs, components, and what stays."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from moraine.llm import simhash
+from tests.llm import messy
+
+
+def slow_fingerprint(text, n=3):
+    words = (text or "").encode().lower().split()
+    grams = [b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)]
+    grams = grams or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(points, bits):
+    sets = simhash.Forest(len(points))
+    for i in range(len(points)):
+        for j in np.flatnonzero(np.bitwise_count(points ^ points[i]) <= bits):
+            sets.link(i, int(j))
+    return [sets.root(i) for i in range(len(points))]
+
+
+def clustered(seed, n=40):
+    pick, out = random.Random(seed), set()
+    for _ in range(n):
+        point = pick.getrandbits(64)
+        out.add(point)
+        for _ in range(pick.choice([0, 1, 5, 40])):
+            for _ in range(pick.choice([1, 1, 2, 3, 4])):
+                point ^= 1 << pick.randrange(64)
+            out.add(point)
+    return np.array(sorted(out), dtype=np.uint64)
+
+
+@pytest.mark.parametrize("text", ["", None, "a", "A b", "a b c", "É a  b\x0b c d", "x y z " * 9, " A b c d "])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == slow_fingerprint(text)
+
+
+def test_fingerprint_hashes_as_spark_does(spark):
+    text = "éa b c"
+    own = spark.createDataFrame([(text,)], "t string").select(F.xxhash64("t")).first()[0]
+    assert simhash.fingerprint(text) == own % 2**64
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3, 4])
+@pytest.mark.parametrize("seed", range(4))
+def test_trees_find_the_links_of_all_pairs(monkeypatch, bits, seed):
+    monkeypatch.setattr(simhash, "BLOCK_POINTS", 16)
+    points = clustered(seed)
+    sets, shards = simhash.Forest(len(points)), 0
+    for tree in (0, 1):
+        nodes = simhash.fit_tree(simhash.half(points, tree), 4)
+        for _, rows in simhash.shards_for(points, nodes, bits // 2, tree):
+            own = simhash.Forest(len(rows))
+            simhash.link_near(points[rows], bits, tree, own)
+            for i in range(len(rows)):
+                sets.link(int(rows[i]), int(rows[own.root(i)]))
+            shards += 1
+    assert shards > 8
+    assert [sets.root(i) for i in range(len(points))] == slow_components(points, bits)
+
+
+def test_pruning_is_real():
+    points = np.random.default_rng(0).integers(0, 2**64, 20_000, dtype=np.uint64)
+    nodes = simhash.fit_tree(simhash.half(points, 0), 5)
+    found = simhash.shards_for(points, nodes, 1, 0)
+    assert len(found) == 32
+    assert sum(len(rows) for _, rows in found) < 3 * len(points)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_on_spark(spark, monkeypatch, seed):
+    monkeypatch.setattr(simhash, "SHARD_POINTS", 60)
+    monkeypatch.setattr(simhash, "HOT_POINTS", 50)
+    points = clustered(seed)
+    signed = points.view(np.int64).tolist()
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(signed)], "doc_id long, fingerprint long")
+    found = dict(messy.rows(simhash.with_components(df), "doc_id", "component_id"))
+    assert found == dict(enumerate(slow_components(points, 3)))
+
+
+def test_chains_and_stars_of_links(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, j) for j in range(101, 140)] + [(5, 5)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    found = dict(messy.rows(simhash.components(df)))
+    assert found == {i: 0 for i in range(1, 61)} | {j: 100 for j in range(101, 140)}
+
+
+def test_messy_documents(spark):
+    docs = messy.documents(spark, "Component_ID", "fp", "a", "b", "i", "t", "n")
+    out = simhash.near_duplicates(docs)
+    assert {"extra", "fp", "a", "b", "i", "t", "n"} <= set(out.columns)
+    found = messy.rows(out, "doc_id", "fingerprint", "component_id")
+    assert len(found) == len(messy.ROWS)
+    by_text = {}
+    for doc_id, text, *_ in messy.ROWS:
+        bits = np.array([simhash.fingerprint(text)], np.uint64).view(np.int64)[0]
+        by_text.setdefault(int(bits), []).append(doc_id)
+    least = {b: min((i for i in ids if i is not None), default=None) for b, ids in by_text.items()}
+    assert least[0] == 1
+    assert found == sorted(
+        ((i, b, least[b]) for b, ids in by_text.items() for i in ids), key=repr
+    )
+    assert messy.rows(simhash.near_duplicates(messy.none(docs))) == []
+
+
+def test_one_row_of_each_component_stays(spark):
+    docs = messy.documents(spark, "i", "t", "n")
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert [r[0] for r in messy.rows(kept, "doc_id")] == [1, 2, 5, 6, 7, 8, 9]
+    same = spark.createDataFrame([(None, "q r s t")] * 3, "doc_id long, text string")
+    assert messy.rows(simhash.keep_one_of_each(same)) == [(None, "q r s t")]
+    assert messy.rows(simhash.keep_one_of_each(messy.none(docs))) == []

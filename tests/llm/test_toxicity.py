@@ -1,0 +1,120 @@
+"""The models against a plain Kneser-Ney, and held-out accuracy."""
+
+import random
+
+import numpy as np
+import pytest
+
+from moraine.llm import toxicity
+from tests.llm import messy
+
+
+def test_symbols():
+    assert toxicity.symbols_of("Ab, 9!").tolist() == [0, 1, 2, 0, 27, 0]
+    assert toxicity.symbols_of(None).tolist() == toxicity.symbols_of(" .\n").tolist() == [0]
+    assert toxicity.symbols_of("É").tolist() == toxicity.symbols_of("é").tolist()
+
+
+def test_sequences():
+    found = toxicity.sequences_of(np.array([0, 1, 2], np.uint8)).tolist()
+    assert found == [1, 32 + 2]
+
+
+def plain_probability(sequence, counts, d=0.75):
+    """Interpolated Kneser-Ney over tuples: raw counts on top, continuation counts below."""
+
+    def chance(gram, table):
+        if not gram:
+            return 1 / toxicity.SYMBOLS
+        lower = {}
+        for g in table:
+            lower.setdefault(g[1:], set()).add(g)
+        below = chance(gram[1:], {g: len(s) for g, s in lower.items()})
+        own = {g: n for g, n in table.items() if g[:-1] == gram[:-1]}
+        total = sum(own.values())
+        if not total:
+            return below
+        return (max(own.get(gram, 0) - d, 0) + d * len(own) * below) / total
+
+    return chance(sequence, counts)
+
+
+def test_one_class_is_interpolated_kneser_ney():
+    random.seed(1)
+    text = "".join(random.choice("abc ") for _ in range(300))
+    numbers = toxicity.sequences_of(toxicity.symbols_of(text))
+    counts = np.bincount(numbers, minlength=toxicity.SYMBOLS**4).astype(float)
+    lower = np.tile(toxicity.shared_model(counts > 0), toxicity.SYMBOLS)
+    found = toxicity.interpolated(counts, lower)
+    table = {}
+    for n in numbers.tolist():
+        gram = tuple(n >> 5 * i & 31 for i in (3, 2, 1, 0))
+        table[gram] = table.get(gram, 0) + 1
+    for gram in [*list(table)[:10], (1, 2, 3, 9), (9, 9, 9, 1)]:
+        number = int(sum(s << 5 * i for i, s in zip((3, 2, 1, 0), gram, strict=True)))
+        assert found[number] == pytest.approx(plain_probability(gram, table))
+    assert found.reshape(-1, 32).sum(axis=1) == pytest.approx(1)
+
+
+def corpus(seed, n=1200):
+    pick = random.Random(seed)
+    syllables = ["an", "re", "thi", "on", "es", "ti", "ing", "ou", "ble", "st"]
+    word = lambda: "".join(pick.choices(syllables, k=pick.choice([1, 2, 3])))
+    rows, labels = [], []
+    for i in range(n):
+        toxic = pick.random() < 0.15
+        words = [word() for _ in range(pick.choice([20, 100, 400]))]
+        if toxic:
+            for _ in range(pick.choice([2, 3, 5])):
+                words.insert(pick.randrange(len(words)), "zorg" + pick.choice(syllables))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def test_held_out_accuracy_and_no_leaks(spark):
+    rows, labels = corpus(1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = toxicity.score_documents(docs, marks)
+    truth = dict(labels)
+    held = [(r.score, truth[r.doc_id]) for r in out.collect() if r.held_out]
+    assert 200 < len(held) < 400
+    right = sum((s >= 0.3) == bool(t) for s, t in held)
+    assert right >= 0.98 * len(held)
+    # Labels of held-out rows make no difference, nor do ids and order.
+    flipped = [(i, 1 - t if _held(i) else t) for i, t in labels]
+    again = toxicity.score_documents(docs, spark.createDataFrame(flipped, "doc_id long, toxic int"))
+    assert messy.rows(again) == messy.rows(out)
+
+
+def _held(doc_id):
+    import zlib
+
+    return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def test_the_counts_cover_all_rows(spark):
+    rows, labels = corpus(2, 300)
+    df = spark.createDataFrame([(t, y) for (_, t), (_, y) in zip(rows, labels, strict=True)], "text string, label int")
+    counts = toxicity.class_counts(df.repartition(7))
+    for label in (0, 1):
+        own = [t for (_, t), (_, y) in zip(rows, labels, strict=True) if y == label]
+        numbers = np.concatenate([toxicity.sequences_of(toxicity.symbols_of(t)) for t in own])
+        assert (counts[label] == np.bincount(numbers, minlength=counts.shape[1])).all()
+
+
+def test_messy_documents(spark):
+    docs, labels = messy.documents(spark, "Score", "label", "id", "curve", "toxic"), messy.labels(spark)
+    out = toxicity.score_documents(docs, labels)
+    assert {"extra", "label", "id", "curve", "toxic", "score"} <= set(out.columns)
+    found = out.collect()
+    assert len(found) == len(messy.ROWS)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in found)
+    by_text = {}
+    for r in found:
+        by_text.setdefault(r.text or "", set()).add(r.score)
+    assert all(len(s) == 1 for s in by_text.values())
+    assert messy.rows(toxicity.score_documents(messy.none(docs), labels)) == []
+    unlabelled = toxicity.score_documents(docs, messy.none(labels))
+    assert {(r.score, r.predicted) for r in unlabelled.collect()} == {(0.0, 0)}
