@@ -30,7 +30,8 @@ from moraine.llm.frames import fold, quoted, with_outputs, with_struct
 
 DIMENSIONS = 1024
 SEED = 11
-SAMPLE_ROWS = 1000  # of each language; Spark prunes such a rank before it shuffles
+SAMPLE_ROWS = 1000  # of each language
+WIDE_SAMPLE = 3  # times as many are ranked to find them
 HELD_OUT_FOLD = 2
 BATCH_CHARS = 250_000  # bundled in one product
 UNKNOWN = "und"
@@ -123,9 +124,16 @@ def learn_prototypes(
     df: DataFrame, text: str, doc_id: str, lang: str, rows: int = SAMPLE_ROWS
 ) -> dict[str, np.ndarray]:
     """Unit prototypes of the languages, from a bounded sample of each."""
-    ranked = F.xxhash64(quoted(doc_id))
+    own, ranked = quoted(lang).cast("string"), F.xxhash64(quoted(doc_id))
     learnable = (fold(quoted(doc_id)) != HELD_OUT_FOLD) & quoted(lang).isNotNull()
-    ids = df.where(learnable).select(quoted(lang).cast("string").alias("lang"), ranked.alias("h"))
+    # A row for each language comes to the driver. The smallest hashes are looked for among so many
+    # as surely hold them, so a common language is not ranked whole.
+    counted = df.where(learnable).groupBy(own.alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    wide = F.lit(False)
+    for row in counted.collect():
+        share = min(2**64 - 1, 2**64 * WIDE_SAMPLE * rows // row["n"])
+        wide = wide | ((own == row["lang"]) & (ranked <= share - 2**63))
+    ids = df.where(learnable & wide).select(own.alias("lang"), ranked.alias("h"))
     in_lang = Window.partitionBy("lang").orderBy("h")
     first = ids.withColumn("n", F.row_number().over(in_lang)).where(F.col("n") <= rows)
     last = {r["lang"]: r["h"] for r in first.groupBy("lang").agg(F.max("h").alias("h")).collect()}
@@ -133,9 +141,9 @@ def learn_prototypes(
         return {}
     chosen = F.lit(False)
     for name, h in last.items():
-        chosen = chosen | ((quoted(lang).cast("string") == name) & (ranked <= h))
+        chosen = chosen | ((own == name) & (ranked <= h))
     sample = df.where(learnable & chosen).select(
-        quoted(lang).cast("string").alias("lang"), quoted(text).cast("string").alias("text")
+        own.alias("lang"), quoted(text).cast("string").alias("text")
     )
 
     def bundle(batches):
@@ -144,7 +152,8 @@ def learn_prototypes(
             vectors = bundles(batch["text"].tolist()).astype(np.float64)
             for name, at in batch.groupby("lang").indices.items():
                 sums[name] = sums.get(name, 0) + vectors[at].sum(axis=0)
-        yield pd.DataFrame({"lang": list(sums), "sum": [s.tobytes() for s in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "sum": [s.tobytes() for s in sums.values()]})
 
     prototypes: dict[str, np.ndarray] = {}
     # A task sends at most one bundle for each sampled row.
