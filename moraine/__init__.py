@@ -5,6 +5,7 @@ stops a session, and none of them reads credentials.
 """
 
 from moraine.catalog.tables import (
+    IncompletePartitions,
     TableMismatch,
     cluster_for_write,
     create_external_table,
@@ -41,6 +42,7 @@ from moraine.sources.landing import collect_paths, list_landing_files
 from moraine.sources.scans import literal_rows, scan_glob, scan_parquet
 
 __all__ = [
+    "IncompletePartitions",
     "TableMismatch",
     "align_to_columns",
     "align_to_table",

@@ -7,8 +7,10 @@ in-memory catalog and with a shared metastore.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moraine.functions.names import by_lower_name, column, quoted, require
@@ -19,11 +21,9 @@ from moraine.settings import PARTITION_OVERWRITE_SETTINGS, scoped_settings
 # Shuffled bytes a write task takes on, and so about the largest file it writes.
 WRITE_TASK_BYTES = "128m"
 
-# Shuffle partitions of a clustered write. The more there are, the seldomer two table partitions share
-# one, whose files would come out smaller; but beyond 2000 Spark records only average sizes of map
-# output, in which adaptive execution cannot see a large partition to split. Parallelism does not
-# hang on it, since small ones are packed and large ones split afterwards.
-CLUSTER_PARTITIONS = 2000
+# Beyond this many shuffle partitions Spark records only average sizes of map output, in which
+# adaptive execution cannot see a large partition to split.
+_EXACT_SIZES = ("spark.shuffle.minNumPartitionsToHighlyCompress", "2000")
 
 # Files a write task keeps open side by side. A clustered task has rows of few partitions, so this
 # spares it a sort by partition; rows of any further partitions are sorted and written after.
@@ -83,7 +83,7 @@ def create_external_table(
     ``partition_types`` maps partition columns to SQL types; the other columns come from ``schema``.
     An existing table must have the same location, columns and partitioning, else this raises: a
     second caller with another idea of the table would otherwise write into the wrong place. Files
-    already at the location must be laid out by the same first partition column.
+    already at the location must be laid out by the same partition columns, in the same order.
     """
     _check_layout(spark, location, list(partition_types or ()))
     _declare(spark, name, schema, partition_types or {}, location)
@@ -130,33 +130,54 @@ def _qualified(spark: SparkSession, location: str) -> str:
 
 
 def _check_layout(spark: SparkSession, location: str, partition_by: Sequence[str]) -> None:
-    """One layout per location: raise if its folders are partitions by another column.
+    """One layout per location: raise if its folders are partitions by other columns.
 
-    Only the names of the top level are looked at.
+    One branch of folders is walked down, so that all levels are compared, and their order.
     """
     path, file_system = _file_system(spark, location)
     if not file_system.exists(path):
         return
-    folders = [entry.getPath().getName() for entry in file_system.listStatus(path)]
-    found = {name.split("=", 1)[0].lower() for name in folders if "=" in name}
-    if found - {name.lower() for name in partition_by[:1]}:
-        raise TableMismatch(
-            f"{location} already holds folders by {sorted(found)}, not by {list(partition_by)}"
-        )
+    wanted, found = [name.lower() for name in partition_by], []
+    while path is not None:
+        folders = [e.getPath() for e in file_system.listStatus(path) if e.isDirectory()]
+        levels = {}
+        for folder in folders:
+            if "=" in folder.getName():
+                levels.setdefault(folder.getName().split("=", 1)[0].lower(), folder)
+        if not levels:
+            break
+        found.append(min(levels))
+        if set(levels) != set(wanted[len(found) - 1 : len(found)]):
+            break
+        path = levels[found[-1]]
+    if found and found != wanted:
+        raise TableMismatch(f"{location} already holds folders by {found}, not by {list(partition_by)}")
 
 
 # --- writing ------------------------------------------------------------------------------------
 
 
-def cluster_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def cluster_partitions(spark: SparkSession) -> int:
+    """As many shuffle partitions as Spark records exact sizes for.
+
+    The more there are, the seldomer two table partitions share one, whose files would come out
+    smaller. Parallelism does not hang on it: small ones are packed and large ones split afterwards.
+    """
+    return int(spark.sparkContext.getConf().get(*_EXACT_SIZES))
+
+
+def cluster_for_write(
+    df: DataFrame, partition_by: Sequence[str], partitions: int | None = None
+) -> DataFrame:
     """Bring rows of one partition together before they are written.
 
     Without it every task opens a file in every partition it has rows for. The hint shuffles by the
     partition columns, then adaptive execution packs small partitions into one task and splits a
-    large one over many, so a day with a third of all rows does not become one task.
+    large one over many, so a day with a third of all rows does not become one task. ``partitions``
+    are those of the shuffle, by default as ``cluster_partitions`` says.
     """
     columns = [column(require(df.columns, name)) for name in partition_by]
-    return df.hint("rebalance", CLUSTER_PARTITIONS, *columns)
+    return df.hint("rebalance", partitions or cluster_partitions(df.sparkSession), *columns)
 
 
 def _write_settings(task_bytes: str) -> dict[str, str]:
@@ -214,11 +235,41 @@ def overwrite_partitions(
         rows.write.mode("overwrite").insertInto(name)
 
 
+class IncompletePartitions(ValueError):
+    """Partitions would be replaced by rows of which some are known to be missing."""
+
+
+def refuse_to_replace(df: DataFrame, table: str, rejected: int) -> None:
+    """Raise if the frame has rows for partitions that the table already has."""
+    spark = df.sparkSession
+    names = partition_columns(spark, table)
+    kept = spark.table(table_name(table)).select(*[column(n) for n in names]).distinct()
+    own = align_to_table(df, table_name(table)).select(*[column(n) for n in names]).distinct()
+    both = own.alias("own").join(
+        kept.alias("kept"),
+        reduce(
+            Column.__and__,
+            [F.col(f"own.{quoted(n)}").eqNullSafe(F.col(f"kept.{quoted(n)}")) for n in names],
+        ),
+        "left_semi",
+    )
+    found = [",".join(f"{n}={row[n]}" for n in names) for row in both.collect()]
+    if found:
+        raise IncompletePartitions(
+            f"{rejected} files were rejected, and rows for partitions that table {table} already has"
+            f" may be missing: {sorted(found)}"
+        )
+
+
 def _save(
     df: DataFrame, name: str, partition_by: Sequence[str], cluster: bool, path: str | None
 ) -> None:
     columns = [require(df.columns, col) for col in partition_by]
-    with scoped_settings(df.sparkSession, _write_settings(WRITE_TASK_BYTES)):
+    # All of the table is replaced, also where the session overwrites partition by partition.
+    with scoped_settings(
+        df.sparkSession,
+        {**_write_settings(WRITE_TASK_BYTES), "spark.sql.sources.partitionOverwriteMode": "static"},
+    ):
         rows = cluster_for_write(df, columns) if columns and cluster else df
         writer = rows.write.mode("overwrite").format("parquet")
         if columns:

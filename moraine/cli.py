@@ -6,13 +6,16 @@ The session's catalog, file systems, endpoints and credentials come from Spark's
 from __future__ import annotations
 
 import argparse
+import sys
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 import moraine as m
 from moraine import presets
+from moraine.catalog.tables import WRITE_TASK_BYTES
 from moraine.settings import PARQUET_SETTINGS, scoped_settings
 
 
@@ -32,6 +35,9 @@ def types_of(text: str) -> dict[str, str]:
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="moraine", description=__doc__)
+    parser.add_argument(
+        "--rows", type=int, help="print so many rows and the total (default: 20 of data, all else)"
+    )
     commands = parser.add_subparsers(dest="command", required=True)
 
     def command(name: str, help: str, *arguments: str) -> argparse.ArgumentParser:
@@ -54,10 +60,15 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--schema", default="trips")
     ingest.add_argument("--partition-by", help="columns separated by commas")
     ingest.add_argument("--date-type", choices=["date", "string"], default="date")
-    ingest.add_argument("--on-reject", choices=["quarantine", "raise"], default="quarantine")
     ingest.add_argument("--recursive", action="store_true")
-    ingest.add_argument("--no-cluster", dest="cluster", action="store_false")
-    dated(command("backfill", "files to a declared table, then rows per day", "glob", "table"), "keep")
+    backfill = command("backfill", "files to a declared table, then rows per day", "glob", "table")
+    dated(backfill, "keep")
+    for job, default in ((ingest, "quarantine"), (backfill, "raise")):
+        job.add_argument("--on-reject", choices=["quarantine", "raise"], default=default)
+        job.add_argument("--no-cluster", dest="cluster", action="store_false")
+        job.add_argument("--task-bytes", default=WRITE_TASK_BYTES)
+        job.add_argument("--replace-despite-rejects", action="store_true")
+    ingest.add_argument("--rejects", metavar="PATH", help="also write the files left out, as CSV")
     declare = command("declare", "declare a table like the files", "glob", "table", "location")
     dated(declare, None)
     declare.add_argument("--date-type", choices=["date", "string"], default="date")
@@ -84,17 +95,48 @@ def _parser() -> argparse.ArgumentParser:
 _PARTS = ["year", "month", "day"]
 
 
+# Commands whose rows are data, not the catalog's or a job's own: by default the first are shown.
+_DATA = {"preview", "sql", "sales"}
+SHOWN_ROWS = 20
+REJECTED = 3  # exit code of a job that left files out
+
+
+@dataclass
+class Outcome:
+    """The frames there are to show, how many rows of each, and the exit code."""
+
+    frames: list[DataFrame]
+    rows: int | None = None
+    code: int = 0
+
+
 def run(spark: SparkSession, argv: Sequence[str]) -> list[DataFrame]:
     """Do one command in the caller's session; returns the frames there are to show."""
+    return do(spark, argv).frames
+
+
+def do(spark: SparkSession, argv: Sequence[str]) -> Outcome:
+    """Do one command in the caller's session."""
     args = vars(_parser().parse_args(argv))
-    name = args.pop("command")
-    with scoped_settings(spark, PARQUET_SETTINGS):
-        if name == "ingest":
+    name, rows = args.pop("command"), args.pop("rows")
+    if rows is None and name in _DATA:
+        rows = SHOWN_ROWS
+    if name == "ingest":
+        kept = args.pop("rejects")
+        with scoped_settings(spark, PARQUET_SETTINGS):
             args["schema"] = schema_of(args["schema"])
             if args["partition_by"]:
                 args["partition_by"] = args["partition_by"].split(",")
             result = m.ingest(spark, **args)
-            return [result.partitions, result.rejects]
+            if kept:
+                result.rejects.coalesce(1).write.mode("overwrite").csv(kept, header=True)
+        code = REJECTED if result.rejected else 0
+        return Outcome([result.partitions, result.rejects], rows, code)
+    return Outcome(_frames(spark, name, args), rows)
+
+
+def _frames(spark: SparkSession, name: str, args: dict) -> list[DataFrame]:
+    with scoped_settings(spark, PARQUET_SETTINGS):
         if name == "backfill":
             return [m.backfill(spark, **args)]
         if name == "declare":
@@ -128,11 +170,23 @@ def run(spark: SparkSession, argv: Sequence[str]) -> list[DataFrame]:
         return [spark.createDataFrame([(location,)], "location string")]
 
 
+def show(df: DataFrame, rows: int | None) -> None:
+    """Print the frame, all of it or its first rows and how many there are."""
+    total = df.count()
+    shown = total if rows is None else min(rows, total)
+    df.show(shown, truncate=False)
+    if shown < total:
+        print(f"{shown} of {total} rows")
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     _parser().parse_args(argv)  # wrong arguments end the program before a session is built
     spark = SparkSession.builder.appName("moraine").enableHiveSupport().getOrCreate()
     try:
-        for df in run(spark, argv):
-            df.show(truncate=False)
+        outcome = do(spark, argv)
+        for df in outcome.frames:
+            show(df, outcome.rows)
     finally:
         spark.stop()
+    if outcome.code:
+        sys.exit(outcome.code)

@@ -8,7 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from moraine.catalog.tables import create_external_table, overwrite_partitions, show_partitions
+from moraine.catalog.tables import (
+    WRITE_TASK_BYTES,
+    create_external_table,
+    overwrite_partitions,
+    refuse_to_replace,
+    show_partitions,
+)
 from moraine.functions.names import require
 from moraine.operators.projection import with_date_parts
 from moraine.sources.conformed import conform_union
@@ -22,6 +28,7 @@ class IngestResult:
     table: DataFrame
     partitions: DataFrame
     rejects: DataFrame
+    rejected: int = 0
 
 
 def ingest(
@@ -40,12 +47,16 @@ def ingest(
     recursive: bool = False,
     on_reject: str = "quarantine",
     cluster: bool = True,
+    task_bytes: str = WRITE_TASK_BYTES,
+    replace_despite_rejects: bool = False,
 ) -> IngestResult:
     """List, conform, union, date and write; safe to run again.
 
     ``partition_by`` names the partition columns, the event date by default; ``("year", "month")``
     makes larger partitions for feeds with few rows a day. Partitions the files have rows for are
-    replaced, all others stay, so list every file that contributes to a partition.
+    replaced, all others stay, so list every file that contributes to a partition. If files were
+    rejected, partitions that are there already are not replaced without them: that raises, unless
+    ``replace_despite_rejects`` says so.
     """
     partition_by = tuple(partition_by or (date_column,))
     paths = collect_paths(list_landing_files(spark, folder, pattern, recursive))
@@ -58,5 +69,9 @@ def ingest(
     partitions = [require(rows.columns, name) for name in partition_by]
     kinds = {name: rows.schema[name].dataType.simpleString() for name in partitions}
     create_external_table(spark, table, rows.schema, location, kinds)
-    overwrite_partitions(rows, table, cluster=cluster)
-    return IngestResult(spark.table(table), show_partitions(spark, table), files.rejects)
+    if files.rejected and not replace_despite_rejects:
+        refuse_to_replace(rows, table, files.rejected)
+    overwrite_partitions(rows, table, cluster=cluster, task_bytes=task_bytes)
+    return IngestResult(
+        spark.table(table), show_partitions(spark, table), files.rejects, files.rejected
+    )

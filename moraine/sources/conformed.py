@@ -29,28 +29,28 @@ REJECT_SCHEMA = T.StructType(
     ]
 )
 
-# Error conditions that speak about the files read, in the spelling Spark reports them. Anything
-# else (a stopped context, a cancelled job) is not a property of a file and is raised.
-_FILE_ERRORS = (
-    "FAILED_READ_FILE",
+# Error conditions that speak about the types and names in the files. They come from footers that were
+# read, so no network or access fault is behind them.
+_SCHEMA_ERRORS = (
     "CANNOT_MERGE_SCHEMAS",
     "COLUMN_ALREADY_EXISTS",
-    "PATH_NOT_FOUND",
-    "UNABLE_TO_INFER_SCHEMA",
     "PARQUET_TYPE_",
     "DATATYPE_MISMATCH",
 )
-# Causes inside such an error that are the fault of the network, the nodes or the caller's rights. A
-# file is not set aside for them: the job is to fail and be run again.
-_NOT_THE_FILE = re.compile(
-    "AccessControlException|AccessDeniedException|Permission denied|ExecutorLostFailure"
-    "|ConnectException|SocketTimeoutException|NoRouteToHostException|UnknownHostException"
-)
 _CONDITION = re.compile(r"\[([A-Z][A-Z0-9_.]+)\]\s*([^\n]*)")
 
-# A set of files that cannot be read with one schema is cut into this many runs of neighbours.
-_FAN_OUT = 16
-_PROBE_THREADS = 16
+# What the Parquet reader says of a file that is no Parquet file, was cut off or has a broken footer.
+# Only these set a file aside. Anything else (throttling, a lost node, missing rights or credentials, a
+# file that has gone) fails the job, which is to be run again.
+_DAMAGE = re.compile(
+    "is not a Parquet file[^\n]*|corrupted file: the footer index[^\n]*"
+    "|can not read FileMetaData: (?:Message size|Required field|don't know what|Unrecognized type"
+    "|String length|Unexpected end|Don't know|MaxMessageSize|Socket is closed by peer)[^\n]*"
+)
+_BAD_FOOTER = "FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER"
+
+# Footers the driver reads side by side, once the files are known to differ.
+_FOOTER_THREADS = 16
 
 
 @dataclass
@@ -72,19 +72,23 @@ class ConformedFiles:
     df: DataFrame
     rejects: DataFrame
     groups: list[SchemaGroup]
+    rejected: int = 0
 
 
-def _file_error(error: Exception) -> str | None:
-    """``CONDITION: message`` if the error is about the files, else None."""
-    text = str(error)
-    if _NOT_THE_FILE.search(text):
-        return None
-    for name, message in _CONDITION.findall(text):
-        if name.startswith(_FILE_ERRORS):
+def _schema_error(error: Exception) -> str | None:
+    """``CONDITION: message`` if the error is about the files' types or names, else None."""
+    for name, message in _CONDITION.findall(str(error)):
+        if name.startswith(_SCHEMA_ERRORS):
             return f"{name}: {message}".strip()
     return None
 
 
+def _damage(error: Exception) -> str | None:
+    """The reason, if the error says that a file is damaged and cannot be read by anyone."""
+    found = _DAMAGE.search(str(error))
+    return f"{_BAD_FOOTER}: {found.group()}" if found else None
+
+
 def _literal_path(path: str) -> str:
     """A path in which no character is taken for a wildcard."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
@@ -101,14 +105,7 @@ def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
     return reader.parquet(*[_literal_path(path) for path in paths]).schema
 
 
-def _probe(spark: SparkSession, paths: Sequence[str]) -> T.StructType | str:
-    try:
-        schema = _merged_schema(spark, paths)
-    except (PySparkException, Py4JJavaError) as error:
-        reason = _file_error(error)
-        if reason is None:
-            raise
-        return reason
+def _readable(schema: T.StructType) -> T.StructType | str:
     try:
         by_lower_name(schema.fieldNames())
     except ValueError as error:
@@ -116,50 +113,71 @@ def _probe(spark: SparkSession, paths: Sequence[str]) -> T.StructType | str:
     return schema
 
 
-# What changes from one delivery of a feed to the next: the ids of write jobs, and numbers.
-_CHANGING = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}|[0-9]+")
-
-
-def _in_feed_order(paths: Sequence[str]) -> list[str]:
-    """Without duplicates, the files of one feed next to each other and in the order of their names.
-
-    Feeds are told apart by what is left of a path without its numbers, so that feeds delivered
-    side by side, each with types of its own, do not alternate.
-    """
-    return sorted(set(paths), key=lambda path: (_CHANGING.sub("#", path), path))
+def _probe(spark: SparkSession, paths: Sequence[str]) -> T.StructType | str:
+    """The schema of all the files, or why there is none."""
+    try:
+        return _readable(_merged_schema(spark, paths))
+    except (PySparkException, Py4JJavaError) as error:
+        reason = _schema_error(error) or _damage(error)
+        if reason is None:
+            raise
+        return reason
 
 
-def _split(paths: Sequence[str]) -> list[Sequence[str]]:
-    size = -(-len(paths) // _FAN_OUT)
-    return [paths[start : start + size] for start in range(0, len(paths), size)]
+def _footer(spark: SparkSession, path: str) -> tuple[bool, str]:
+    """Whether the file has a sound footer, and the types it states or else what is wrong with it."""
+    jvm = spark._jvm
+    file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        source = file(jvm.org.apache.hadoop.fs.Path(path), configuration)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+        try:
+            facts = reader.getFooter().getFileMetaData()
+            own = facts.getKeyValueMetaData().get("org.apache.spark.sql.parquet.row.metadata")
+            return True, f"{facts.getSchema().toString()}{own or ''}"
+        finally:
+            reader.close()
+    except Py4JJavaError as error:
+        reason = _damage(error)
+        if reason is None:
+            raise
+        return False, reason
 
 
 def probe_schemas(
     spark: SparkSession, paths: Sequence[str]
 ) -> tuple[list[tuple[T.StructType, list[str]]], list[tuple[str, str]]]:
-    """Runs of files with the schema that reads them, and the files nothing can read.
+    """Sets of files with the schema that reads them, and the files nothing can read.
 
-    All files are tried together. Where that fails the set is cut into runs of neighbours, tried
-    side by side, until each run has a schema or is a single unreadable file. Drift follows feed and
-    calendar, so few cuts are needed: the number of jobs goes with the changes, not the files.
+    All files are tried together, in one distributed job. Only if they differ, or one is damaged, are
+    their footers sorted by what they state, each read once more; then one job for each set of equal
+    footers gives its schema. The number of jobs goes with the kinds of files, not with the files.
     """
     found: list[tuple[T.StructType, list[str]]] = []
     rejects: list[tuple[str, str]] = []
-    pending: list[Sequence[str]] = [_in_feed_order(paths)] if paths else []
+    files = sorted(set(paths))
+    if not files:
+        return found, rejects
+    whole = _probe(spark, files)
+    if isinstance(whole, T.StructType):
+        return [(whole, files)], rejects
+    kinds: dict[str, list[str]] = {}
     # The threads carry on the caller's job group and scheduler pool.
-    probe = inheritable_thread_target(spark)(lambda run: _probe(spark, run))
-    with ThreadPoolExecutor(_PROBE_THREADS) as pool:
-        while pending:
-            results = list(pool.map(probe, pending))
-            cut: list[Sequence[str]] = []
-            for run, result in zip(pending, results):
-                if isinstance(result, T.StructType):
-                    found.append((result, list(run)))
-                elif len(run) == 1:
-                    rejects.append((run[0], result))
-                else:
-                    cut.extend(_split(run))
-            pending = cut
+    footer = inheritable_thread_target(spark)(lambda path: _footer(spark, path))
+    with ThreadPoolExecutor(_FOOTER_THREADS) as pool:
+        for path, (sound, stated) in zip(files, pool.map(footer, files), strict=True):
+            if sound:
+                kinds.setdefault(stated, []).append(path)
+            else:
+                rejects.append((path, stated))
+    for own in kinds.values():
+        # Equal footers have one schema, so one file's gives it.
+        schema = _probe(spark, own[:1])
+        if isinstance(schema, T.StructType):
+            found.append((schema, own))
+        else:
+            rejects.extend((path, schema) for path in own)
     return found, rejects
 
 
@@ -257,6 +275,7 @@ def _conform_union(
         df=union_by_name(frames),
         rejects=spark.createDataFrame(sorted(rejects), REJECT_SCHEMA),
         groups=groups,
+        rejected=len(rejects),
     )
 
 
@@ -275,7 +294,7 @@ def _cast_error(
     try:
         conform_to_schema(_empty_frame(spark, file_schema), schema, zone, event_date)
     except (PySparkException, Py4JJavaError) as error:
-        reason = _file_error(error)
+        reason = _schema_error(error)
         if reason is None:
             raise
         return reason

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import types as T
 
-from moraine.cli import run, schema_of, types_of
+from moraine.cli import REJECTED, do, run, schema_of, show, types_of
 from moraine import presets
 from tests.landing import PATTERN, write_drift_folder
 from workload.staging import ORDERS_SCHEMA
@@ -73,3 +73,35 @@ def test_sales(spark, database, tmp_path):
 def test_unknown_commands_end_the_program(spark):
     with pytest.raises(SystemExit):
         run(spark, ["nothing"])
+
+
+def test_nothing_is_cut_off_and_rejects_are_kept(spark, database, tmp_path, capsys):
+    write_drift_folder(str(tmp_path / "raw"))
+    for i in range(30):
+        (tmp_path / "raw" / f"orders_1999-{i:02}.parquet").write_text("not parquet")
+    outcome = do(spark, [
+        "ingest", str(tmp_path / "raw"), f"{database}.orders", str(tmp_path / "t"), "--pattern", PATTERN,
+        "--schema", ORDERS_DDL, "--time-column", "o_orderdate", "--rejects", str(tmp_path / "rejects"),
+    ])
+    assert outcome.code == REJECTED
+    for df in outcome.frames:
+        show(df, outcome.rows)
+    printed = capsys.readouterr().out
+    assert sum(f"orders_1999-{i:02}.parquet" in printed for i in range(30)) == 30
+    assert printed.count("pickup_date=1995") > 20 and "only showing" not in printed
+    assert spark.read.csv(str(tmp_path / "rejects"), header=True).count() == 31
+
+
+def test_data_is_cut_off_with_its_total(spark, capsys):
+    outcome = do(spark, ["--rows", "5", "sql", "SELECT * FROM range(100)"])
+    show(outcome.frames[0], outcome.rows)
+    assert "5 of 100 rows" in capsys.readouterr().out
+    assert do(spark, ["sql", "SELECT 1"]).rows == 20 and do(spark, ["tables"]).rows is None
+
+
+def test_backfill_takes_the_options_of_ingest(spark, database, tmp_path):
+    table, events = f"{database}.events", f"{SF_DIR}/events.parquet"
+    run(spark, ["declare", events, table, str(tmp_path / "t"), "--time-column", "ts"])
+    options = ["--time-column", "ts", "--no-cluster", "--task-bytes", "1m", "--on-reject", "quarantine"]
+    [counts] = rows(run(spark, ["backfill", events, table, *options]))
+    assert sum(n for _, n in counts) == 1000

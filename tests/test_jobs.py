@@ -25,8 +25,10 @@ def test_ingest_again_leaves_the_same_table(spark, database, tmp_path):
     write_drift_folder(str(tmp_path / "raw"))
     name, location = f"{database}.orders", str(tmp_path / "table")
     results = []
-    for _ in range(2):
-        result = run_ingest(spark, str(tmp_path / "raw"), name, location)
+    for again in (False, True):
+        result = run_ingest(
+            spark, str(tmp_path / "raw"), name, location, replace_despite_rejects=again
+        )
         results.append(sorted(tuple(r) for r in result.table.fillna("").collect()))
         assert result.rejects.count() == 1
     assert results[0] == results[1] and len(results[0]) == len(expected_orders())
@@ -37,6 +39,68 @@ def test_ingest_again_leaves_the_same_table(spark, database, tmp_path):
     assert result.table.columns[-1] == "order_date"
 
 
+def test_partitions_are_not_replaced_while_a_file_is_rejected(spark, database, tmp_path):
+    folder, name = tmp_path / "raw", f"{database}.orders"
+    folder.mkdir()
+    for i in (1, 2):
+        raw = spark.createDataFrame([(i, dt.datetime(2024, 1, 5))], "o_orderkey bigint, o_orderdate timestamp_ntz")
+        raw.coalesce(1).write.parquet(str(tmp_path / f"p{i}"))
+        next((tmp_path / f"p{i}").glob("*.parquet")).rename(folder / f"orders_2024-0{i}.parquet")
+    where = (spark, str(folder), name, str(tmp_path / "t"))
+    assert run_ingest(*where).rejected == 0
+    (folder / "orders_2024-02.parquet").write_text("not parquet")
+    with pytest.raises(m.IncompletePartitions, match="2024-01-05"):
+        run_ingest(*where)
+    assert sorted(r.o_orderkey for r in spark.table(name).collect()) == [1, 2]
+    with pytest.raises(m.IncompletePartitions):
+        m.backfill(spark, f"{folder}/*.parquet", name, "o_orderdate", "order_date", on_reject="quarantine")
+    assert sorted(r.o_orderkey for r in spark.table(name).collect()) == [1, 2]
+    result = run_ingest(*where, replace_despite_rejects=True)
+    assert [r.o_orderkey for r in result.table.collect()] == [1] and result.rejected == 1
+
+
+@pytest.mark.parametrize("zone, offset_day", [("UTC", 4), ("Asia/Tokyo", 5)])
+def test_one_event_time_one_date(spark, database, tmp_path, zone, offset_day):
+    texts = ["2024-01-05 10:00:00", "2024-01-05 garbage", "99:00:00", "2024-01-05T02:00:00+05:00", None]
+    raw = spark.createDataFrame(list(enumerate(texts)), "o_orderkey bigint, o_orderdate string")
+    raw.coalesce(1).write.parquet(str(tmp_path / "raw" / "month=2024-01"))
+    seconds = [(10, 1704448800), (11, None), (12, 1704412799)]
+    for name, kind in (("02", "bigint"), ("03", "double"), ("04", "int")):
+        raw = spark.createDataFrame(seconds, "o_orderkey bigint, s bigint")
+        raw = raw.selectExpr("o_orderkey", f"cast(s as {kind}) as o_orderdate")
+        raw.coalesce(1).write.parquet(str(tmp_path / "raw" / f"month=2024-{name}"))
+    result = m.ingest(
+        spark, str(tmp_path / "raw"), r"/month=\d{4}-\d{2}/[^/]+\.parquet$", ORDERS_SCHEMA,
+        f"{database}.orders", str(tmp_path / "t"), "o_orderdate", "order_date",
+        zone=zone, recursive=True, null_dates="keep",
+    )
+    rows = result.table.select("o_orderkey", F.unix_seconds("o_orderdate"), "order_date").collect()
+    day = {r[0]: (r[2].day if r[2] else None) for r in rows}
+    assert all((r[1] is None) == (r[2] is None) for r in rows) and len(rows) == 14
+    assert {k: day[k] for k in range(5)} == {0: 5, 1: None, 2: None, 3: offset_day, 4: None}
+    assert day[10] == 5 and day[11] is None and day[12] == (4 if zone == "UTC" else 5)
+
+
+def test_backfill_without_a_shuffle_and_with_files_left_out(spark, database, tmp_path, monkeypatch):
+    from moraine.catalog import tables
+    from moraine.plans import backfill as job
+
+    rows = spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "id int, ts timestamp_ntz")
+    rows.coalesce(1).write.parquet(str(tmp_path / "raw"))
+    (tmp_path / "raw" / "zz.parquet").write_text("not parquet")
+    name, glob = f"{database}.t", f"{tmp_path}/raw/*.parquet"
+    m.declare_table(spark, f"{tmp_path}/raw/part*", name, str(tmp_path / "t"), "ts")
+    hinted = []
+    real = tables.cluster_for_write
+    monkeypatch.setattr(tables, "cluster_for_write", lambda *a: hinted.append(1) or real(*a))
+    with pytest.raises(ValueError, match="rejected"):
+        job.backfill(spark, glob, name, "ts")
+    counts = job.backfill(spark, glob, name, "ts", on_reject="quarantine", cluster=False, task_bytes="1m")
+    assert counts.count() == 1 and not hinted
+    job.backfill(spark, glob, name, "ts", on_reject="quarantine", replace_despite_rejects=True)
+    assert hinted
+
+
 def test_ingest_accounts_for_every_row(spark, database, tmp_path):
     rows = [(i, None if i % 5 == 0 else dt.datetime(2024, 1, 1 + i % 3)) for i in range(100)]
     raw = spark.createDataFrame(rows, "o_orderkey bigint, o_orderdate timestamp_ntz")

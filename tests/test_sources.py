@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 import moraine as m
 from moraine.sources import conformed
-from moraine.sources.conformed import conform_union, group_by_types, probe_schemas
+from moraine.sources.conformed import conform_union, group_by_types
 from tests.landing import PATTERN, expected_orders, write_drift_folder
 from tests.plans import line_of, plan_of, scans
 from workload.staging import ORDERS_SCHEMA
@@ -98,44 +98,29 @@ def test_many_files_of_one_schema_are_one_scan_and_one_probe(spark, tmp_path, mo
     assert files.df.agg(F.sum("id")).first()[0] == sum(range(60))
 
 
-def count_probes(spark, monkeypatch, kinds):
-    """Probe files that are said to have a column of the given types; returns groups and probes."""
-    probes = []
-
-    def merged(_, run):
-        probes.append(run)
-        found = {kinds[path] for path in run}
-        if len(found) > 1:
-            raise AnalysisException("[CANNOT_MERGE_SCHEMAS] no")
-        return T.StructType([T.StructField("v", found.pop())])
-
-    monkeypatch.setattr(conformed, "_merged_schema", merged)
-    probed, rejects = probe_schemas(spark, list(kinds))
-    assert not rejects
-    assert sorted(path for _, run in probed for path in run) == sorted(kinds)
-    schema = T.StructType([T.StructField("v", T.DoubleType())])
-    return group_by_types(probed, schema), len(probes)
-
+def probes_of(spark, monkeypatch, folder, kinds):
+    """Write a file for each kind, conform them, and count the schema jobs."""
+    folder.mkdir()
+    for kind in set(kinds):
+        spark.sql(f"SELECT cast(1 as {kind}) AS v").coalesce(1).write.parquet(str(folder / f"_{kind}"))
+    for n, kind in enumerate(kinds):
+        source = next((folder / f"_{kind}").glob("*.parquet"))
+        (folder / f"{n:03}.parquet").write_bytes(source.read_bytes())
+    paths = [str(folder / f"{n:03}.parquet") for n in range(len(kinds))]
+    probes, real = [], conformed._merged_schema
+    monkeypatch.setattr(conformed, "_merged_schema", lambda s, p: probes.append(len(p)) or real(s, p))
+    files = conform_union(spark, paths, T.StructType([T.StructField("v", T.DoubleType())]))
+    assert files.df.agg(F.sum("v")).first()[0] == len(kinds)
+    return sorted(len(group.paths) for group in files.groups), len(probes)
 
-INT, LONG, DOUBLE = T.IntegerType(), T.LongType(), T.DoubleType()
 
+def test_number_of_probes_follows_the_kinds_of_files(spark, monkeypatch, tmp_path):
+    drift = ["int"] * 30 + ["bigint"] * 20 + ["double"] * 10
+    assert probes_of(spark, monkeypatch, tmp_path / "a", drift) == ([10, 20, 30], 4)
 
-def test_number_of_probes_follows_the_changes(spark, monkeypatch):
-    """Two changes of type in 512 months are found without a probe per file."""
-    kinds = {f"{n:03}": INT if n < 200 else LONG if n < 371 else DOUBLE for n in range(512)}
-    groups, probes = count_probes(spark, monkeypatch, kinds)
-    assert sorted(len(group.paths) for group in groups) == [141, 171, 200] and probes < 60
 
-
-def test_feeds_delivered_side_by_side_do_not_alternate(spark, monkeypatch):
-    job = "1f0c{:04x}-00aa-4bcd-9e0f-0123456789ab"
-    kinds = {
-        f"raw/month={n // 12 + 1990}-{n % 12 + 1:02}/{feed}-{job.format(n * 7919 % 65536)}.parquet": kind
-        for n in range(256)
-        for feed, kind in (("north", LONG), ("south", DOUBLE))
-    }
-    groups, probes = count_probes(spark, monkeypatch, kinds)
-    assert [len(group.paths) for group in groups] == [256, 256] and probes == 17
+def test_kinds_that_alternate_take_fewer_jobs_than_files(spark, monkeypatch, tmp_path):
+    assert probes_of(spark, monkeypatch, tmp_path / "a", ["int", "double"] * 48) == ([48, 48], 3)
 
 
 def test_columns_outside_the_schema_do_not_split_groups(spark, tmp_path):
@@ -223,23 +208,64 @@ def test_case_sensitive_sessions_lose_no_data(spark, folder, settings):
     assert files.df.count() == len(expected_orders())
 
 
-@pytest.mark.parametrize(
-    "message",
-    [
-        "[INTERNAL_ERROR] the cluster is gone",
-        "[FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER] no\nCaused by: java.net.SocketTimeoutException: gone",
-        "[FAILED_READ_FILE.NO_HINT] no\nCaused by: java.nio.file.AccessDeniedException: gone",
-    ],
-)
-def test_errors_that_are_not_about_a_file_are_raised(spark, monkeypatch, message):
+FAULTS = [
+    "com.amazonaws.AWSServiceThrottledException: SlowDown 503",
+    "org.apache.hadoop.fs.s3a.AWSStatus500Exception: Internal Error",
+    "javax.net.ssl.SSLException: handshake",
+    "java.net.SocketException: Connection reset",
+    "java.net.SocketTimeoutException: gone",
+    "java.nio.file.AccessDeniedException: gone",
+    "org.apache.hadoop.hdfs.BlockMissingException: no block",
+    "software.amazon.awssdk.core.exception.SdkClientException: Unable to load credentials",
+    "java.io.FileNotFoundException: gone",
+    "org.apache.parquet.crypto.ParquetCryptoRuntimeException: No keys available",
+    "java.io.IOException: something nobody has thought of",
+]
+
+
+@pytest.mark.parametrize("fault", FAULTS)
+def test_faults_that_are_not_the_files_are_raised(spark, monkeypatch, fault):
     def broken(_, paths):
-        raise AnalysisException(message)
+        raise AnalysisException(
+            f"[FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER] Could not read footer.\nCaused by: {fault}"
+        )
 
     monkeypatch.setattr(conformed, "_merged_schema", broken)
-    with pytest.raises(AnalysisException, match="gone"):
+    with pytest.raises(AnalysisException, match="Could not read footer"):
         conform_union(spark, ["a", "b"], ORDERS_SCHEMA)
 
 
+def test_faults_met_while_footers_are_sorted_are_raised(spark, folder):
+    paths = [*paths_in(spark, folder)]
+    folder_path = os.path.dirname(paths[0]).removeprefix("file:")
+    with pytest.raises(Exception, match="gone.parquet"):
+        conformed._footer(spark, f"{folder_path}/gone.parquet")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        conform_union(spark, [*paths, f"{folder_path}/gone.parquet"], ORDERS_SCHEMA)
+
+
+def test_damaged_files_are_set_aside(spark, tmp_path):
+    spark.range(5000).selectExpr("id", "xxhash64(id) as v").coalesce(1).write.parquet(str(tmp_path / "sound"))
+    sound = next((tmp_path / "sound").glob("*.parquet"))
+    data = sound.read_bytes()
+    damaged = {
+        "empty": b"",
+        "tiny": b"PAR",
+        "text": b"hello, this is no parquet file",
+        "cut": data[: len(data) // 2],
+        "magic": data[:-4] + b"XXXX",
+        "length": data[:-8] + b"\xff\xff\xff\x7f" + data[-4:],
+    }
+    for name, content in damaged.items():
+        (tmp_path / f"{name}.parquet").write_bytes(content)
+    paths = [str(sound), *(str(tmp_path / f"{name}.parquet") for name in damaged)]
+    files = conform_union(spark, paths, T.StructType([T.StructField("id", T.LongType())]))
+    assert files.rejected == files.rejects.count() == len(damaged) and files.df.count() == 5000
+    assert {r.reason.split(":")[0] for r in files.rejects.collect()} == {
+        "FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER"
+    }
+
+
 def test_corrupt_footer_is_seen_even_when_scans_ignore_corrupt_files(spark, folder, settings):
     settings("spark.sql.files.ignoreCorruptFiles", "true")
     files = conform_union(spark, paths_in(spark, folder), ORDERS_SCHEMA)
