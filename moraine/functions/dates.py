@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from moraine.functions.zones import wall_clock_of
 
+TEXT_TYPES = (T.StringType, T.CharType, T.VarcharType)
 ISO_FORMAT = "yyyy-MM-dd"
 ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 ISO_DATE = r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])\z"
@@ -17,9 +18,11 @@ def safe_date(value: Column, data_type: T.DataType, fmt: str | None = None) -> C
     """The date of a text, date or timestamp column, or NULL where a text is not a date.
 
     ``fmt`` applies to text only; without it, text in ISO form is read. Timestamps have no format to
-    check: their date is taken as it is.
+    check: their date is taken as it is. Numbers are no dates; see ``local_date`` for times in numbers.
     """
-    if not isinstance(data_type, (T.StringType, T.CharType, T.VarcharType)):
+    if isinstance(data_type, T.NumericType):
+        return F.lit(None).cast("date")
+    if not isinstance(data_type, TEXT_TYPES):
         return F.to_date(value)
     if fmt is None:
         return value.try_cast("date")
@@ -41,8 +44,10 @@ def local_date(
     """The calendar date in ``zone``.
 
     Zone-less times already show that zone's clock, so their date is taken directly and never by way
-    of an instant; instants are first turned into that clock.
+    of an instant; instants are first turned into that clock. Numbers are seconds since the epoch.
     """
+    if isinstance(data_type, T.NumericType):
+        value, data_type = value.try_cast(T.TimestampType()), T.TimestampType()
     if isinstance(data_type, T.TimestampType):
         return F.to_date(wall_clock_of(value, zone, session))
     return safe_date(value, data_type, fmt)

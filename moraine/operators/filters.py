@@ -6,7 +6,9 @@ import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from moraine.functions.dates import TEXT_TYPES
 from moraine.functions.names import column, require
 
 
@@ -19,11 +21,16 @@ def partition_equals(df: DataFrame, date_column: str, day: str | datetime.date)
     """The rows of one day, named by its ISO text or as a date.
 
     The comparison is made between dates, so it prunes to one directory on a table partitioned by
-    this column; a text that is not a date raises here instead of matching nothing.
+    this column; a text that is not a date raises here instead of matching nothing. A column of times
+    is compared with the day's beginning and the next one's, an instant's in the session's zone.
     """
     if isinstance(day, str):
         day = datetime.date.fromisoformat(day)
     name = require(df.columns, date_column)
-    if df.schema[name].dataType.typeName() == "string":
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        begin, end = (F.lit(d.isoformat()).cast(kind) for d in (day, day + datetime.timedelta(days=1)))
+        return df.where((column(name) >= begin) & (column(name) < end))
+    if isinstance(kind, TEXT_TYPES):
         return df.where(column(name) == F.lit(day.isoformat()))
     return df.where(column(name) == F.lit(day))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moraine.functions.casts import fitting_cast
-from moraine.functions.dates import date_parts, local_date
+from moraine.functions.dates import TEXT_TYPES, date_parts, local_date
 from moraine.functions.names import by_lower_name, column, require
 from moraine.functions.zones import instant_of, instant_of_text, session_zone, wall_clock_of
 
@@ -24,7 +24,7 @@ def _converted(
         return instant_of(value, zone, session)
     if isinstance(have, T.DateType) and isinstance(want, T.TimestampType):
         return instant_of(value.cast(T.TimestampNTZType()), zone, session)
-    if isinstance(have, T.StringType) and isinstance(want, T.TimestampType):
+    if isinstance(have, TEXT_TYPES) and isinstance(want, T.TimestampType):
         return instant_of_text(value, zone, session)
     if isinstance(have, T.TimestampType) and isinstance(want, T.TimestampNTZType):
         return wall_clock_of(value, zone, session)
@@ -76,11 +76,13 @@ def conform_to_schema(
 
     Names are matched without regard to case. Columns the frame lacks are typed NULLs, columns the
     schema lacks are dropped. With ``event_date=(time column, new column)`` the calendar date of the
-    time column is added; it is taken from the value as stored, before any change of type.
+    time column is added. A stored time or date gives it directly, before any change of type; where
+    the time is written as text or a number, the date is that of the converted column, and NULL
+    where that is NULL.
     """
     session = session_zone(df.sparkSession)
     have = {name: df.schema[spelled] for name, spelled in by_lower_name(df.columns).items()}
-    selected = []
+    selected, converted = [], {}
     for field in schema:
         source = have.get(field.name.lower())
         if source is None:
@@ -89,6 +91,7 @@ def conform_to_schema(
             value = _converted(
                 column(source.name), source.dataType, field.dataType, zone, session
             )
+        converted[field.name.lower()] = (value, field.dataType)
         selected.append(value.alias(field.name))
     if event_date is not None:
         time_column, date_column = event_date
@@ -96,11 +99,12 @@ def conform_to_schema(
         if date_column.lower() in by_lower_name(schema.fieldNames()):
             raise ValueError(f"the schema already has a column {date_column!r}")
         source = have.get(time_column.lower())
-        day = (
-            F.lit(None).cast("date")
-            if source is None
-            else local_date(column(source.name), source.dataType, zone, session)
-        )
+        if source is None:
+            day = F.lit(None).cast("date")
+        elif isinstance(source.dataType, (T.NumericType, *TEXT_TYPES)):
+            day = local_date(*converted[time_column.lower()], zone, session)
+        else:
+            day = local_date(column(source.name), source.dataType, zone, session)
         selected.append(day.alias(date_column))
     return df.select(*selected)
 

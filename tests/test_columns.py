@@ -313,3 +313,11 @@ def test_by_lower_name_finds_every_clash(names):
     else:
         with pytest.raises(ValueError):
             by_lower_name(names)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "string"])
+def test_a_day_of_a_column_of_times(spark, kind):
+    texts = ["2024-01-04 23:59:59", "2024-01-05 00:00:00", "2024-01-05 23:59:59.999", "2024-01-06 00:00:00", None]
+    source = "left(t, 10)" if kind == "string" else f"cast(t as {kind})"
+    df = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(f"{source} as t")
+    assert m.partition_equals(df, "t", "2024-01-05").count() == 2
