@@ -2,7 +2,6 @@
 
 import pytest
 
-import __spark_entry__ as entry_points
 from moraine.settings import (
     PARQUET_SETTINGS,
     PARTITION_OVERWRITE_SETTINGS,
@@ -11,6 +10,7 @@ from moraine.settings import (
     use_parquet_settings,
 )
 from tests.plans import plan_of
+from workload.queries import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 SQL_SETTINGS = [
@@ -23,10 +23,10 @@ SQL_SETTINGS = [
 ]
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", REGISTRY)
 def test_no_python_no_broadcast_no_cross_join(spark, name):
     before = {key: spark.conf.get(key, None) for key in SQL_SETTINGS}
-    plan = plan_of(entry_points.queries()[name](spark, SF_DIR))
+    plan = plan_of(REGISTRY[name](spark, SF_DIR))
     for unwanted in ("EvalPython", "InPandas", "InArrow", "Broadcast", "Cartesian", "NestedLoop", "Window"):
         assert unwanted not in plan
     # One task may see a global count of partial counts, and nothing else.

@@ -11,8 +11,8 @@ SELECT * FROM (VALUES ('TX001', CAST(15000 AS DOUBLE), '2025-05-04'),
                       ('TX002', CAST(22000 AS DOUBLE), '2025-05-05')) AS s(id, amount, sale_date)
 """
 
-_EVENTS = "SELECT event_id, user_id, event_type, value FROM events"
-_EVENT_DAYS = "SELECT event_id, value, CAST(ts AS DATE) AS pickup_date FROM events"
+_EVENTS = "SELECT * REPLACE (epoch_us(ts) AS ts) FROM events"
+_EVENT_DAYS = "SELECT * REPLACE (epoch_us(ts) AS ts), CAST(ts AS DATE) AS pickup_date FROM events"
 _EVENT_PARTS = """
        strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day
 """
@@ -29,7 +29,8 @@ _MONTH = "coalesce(strftime(o_orderdate, '%Y-%m'), '0000-00')"
 _ORDERS = """
        o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        CASE WHEN year(o_orderdate) = 1996 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
-       epoch_us(o_orderdate) AS order_micros
+       CASE WHEN year(o_orderdate) = 1996 AND o_orderkey % 50 = 7 THEN NULL
+            ELSE epoch_us(o_orderdate) END AS order_micros
 """
 
 ORACLE_SQL: dict[str, str] = {
@@ -37,10 +38,10 @@ ORACLE_SQL: dict[str, str] = {
     "scan_glob": _EVENTS,
     "list_landing_files": f"SELECT DISTINCT {_MONTH} AS month FROM orders",
     "literal_rows": _SALES,
-    "normalize_ntz": "SELECT event_id, epoch_us(ts) AS ts_micros FROM events",
+    "normalize_ntz": _EVENTS,
     "derive_date_parts": f"""
-SELECT event_id, CAST(ts AS DATE) AS pickup_date, {_EVENT_PARTS}
-FROM (SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS ts FROM events) AS e
+SELECT * REPLACE (epoch_us(ts) AS ts), CAST(ts AS DATE) AS pickup_date, {_EVENT_PARTS}
+FROM (SELECT * REPLACE (CASE WHEN event_type <> 'error' THEN ts END AS ts) FROM events) AS e
 """,
     "date_parts_substr": """
 SELECT event_id, substr(day_text, 1, 4) AS year, substr(day_text, 6, 2) AS month,
@@ -67,18 +68,19 @@ SELECT o_totalprice AS "O_TOTALPRICE", CAST(o_custkey AS DOUBLE) AS o_custkey,
 FROM orders
 """,
     "align_to_table": """
-SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS pickup_date,
+SELECT * REPLACE (epoch_us(ts) AS ts), CAST(ts AS DATE) AS pickup_date,
        'event_id,ts,user_id,event_type,value,props,pickup_date' AS column_order
 FROM events
 """,
     "union_by_name": f"{_EVENTS} UNION ALL {_EVENTS} WHERE event_type = 'click'",
-    "drop_null_dates": """
-SELECT event_id, CAST(ts AS DATE) AS pickup_date FROM events
+    "drop_null_dates": f"""
+{_EVENT_DAYS}
 WHERE event_type <> 'error' AND ts IS NOT NULL
 """,
     "partition_filter": f"""
 {_EVENT_DAYS} WHERE CAST(CAST(ts AS DATE) AS VARCHAR) = '2024-01-05'
 """,
+    "timestamp_day_filter": f"{_EVENTS} WHERE CAST(ts AS DATE) = DATE '2024-01-05'",
     "daily_counts": _DATED_COUNTS,
     "daily_counts_sql": _DAILY_COUNTS,
     "preview_limit": f"{_EVENTS} ORDER BY event_id LIMIT 10",
@@ -89,17 +91,28 @@ SELECT DISTINCT 'resend' AS feed, {_MONTH} AS month,
 FROM orders WHERE o_orderstatus = 'P'
 """,
     "save_external_table": _SALES,
+    "save_rows": """
+SELECT o_orderpriority AS id, max(o_totalprice) AS amount,
+       CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS sale_date
+FROM orders GROUP BY o_orderpriority
+UNION ALL
+SELECT * FROM (VALUES ('TX001', CAST(15000 AS DOUBLE), '2025-05-04'),
+                      ('TX002', CAST(22000 AS DOUBLE), '2025-05-05')) AS s(id, amount, sale_date)
+""",
     "create_external_table": _EVENT_DAYS,
     "declare_table": f"""
-SELECT event_id, value, CAST(ts AS DATE) AS pickup_date, epoch_us(ts) AS ts_micros, {_EVENT_PARTS}
+SELECT * REPLACE (epoch_us(ts) AS ts), CAST(ts AS DATE) AS pickup_date, {_EVENT_PARTS}
 FROM events
 """,
     "partitioned_write_day": _EVENT_DAYS,
-    "partitioned_write_ymd": f"SELECT event_id, value, {_EVENT_PARTS} FROM events",
+    "partitioned_write_ymd": f"""
+SELECT * REPLACE (epoch_us(ts) AS ts), CAST(ts AS DATE) AS pickup_date, {_EVENT_PARTS} FROM events
+""",
     "partitioned_save_as_table": _EVENT_DAYS,
     "managed_table": _EVENT_DAYS,
     "overwrite_partitions": """
-SELECT event_id, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-02' THEN value * 2 ELSE value END AS value,
+SELECT * REPLACE (epoch_us(ts) AS ts,
+                  CASE WHEN CAST(ts AS DATE) = DATE '2024-01-02' THEN value * 2 ELSE value END AS value),
        CAST(ts AS DATE) AS pickup_date
 FROM events
 """,
@@ -136,7 +149,7 @@ FROM lineitem
 SELECT {_ORDERS}, CAST(o_orderdate AS DATE) AS order_date,
        strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month,
        strftime(o_orderdate, '%d') AS day
-FROM orders WHERE o_orderdate IS NOT NULL
+FROM orders WHERE o_orderdate IS NOT NULL AND NOT (year(o_orderdate) = 1996 AND o_orderkey % 50 = 7)
 """,
     "backfill_daily_counts": _DAILY_COUNTS,
 }

@@ -23,11 +23,14 @@ from workload.staging import (
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
-EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
-DAY_COLUMNS = ["event_id", "value", "pickup_date"]
 REGISTRY: dict[str, Query] = {}
 
 
+def with_micros(df: DataFrame, time: str = "ts") -> DataFrame:
+    """All columns, the time as microseconds, so that engines agree on its spelling."""
+    return df.withColumn(time, F.unix_micros(F.col(time).cast("timestamp")))
+
+
 def query(function: Query) -> Query:
     REGISTRY[function.__name__] = function
     return function
@@ -38,13 +41,13 @@ def query(function: Query) -> Query:
 
 @query
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.scan_parquet(spark, f"{sf_dir}/events.parquet").select(*EVENT_COLUMNS)
+    return with_micros(m.scan_parquet(spark, f"{sf_dir}/events.parquet"))
 
 
 @query
 def scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = f"{lake(spark, sf_dir).folder}-events/pickup_date=*/*.parquet"
-    return m.scan_glob(spark, files).select(*EVENT_COLUMNS)
+    files = f"{lake(spark, sf_dir).folder}/files-events/pickup_date=*/*.parquet"
+    return with_micros(m.scan_glob(spark, files))
 
 
 @query
@@ -67,13 +70,26 @@ def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales(spark, sf_dir)
 
 
+@query
+def save_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample rows next to rows of the largest order of each priority."""
+    database, folder = new_database(spark, "rows")
+    largest = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(
+        F.max("o_totalprice").alias("amount"), F.max(F.to_date("o_orderdate")).alias("day")
+    )
+    # One row for each of the few priorities; what is saved is written out in the program.
+    rows = [(r.o_orderpriority, r.amount, str(r.day)) for r in largest.collect()]
+    saved = [*SALES_ROWS, *rows]
+    return m.save_rows(spark, saved, SALES_SCHEMA, f"{database}.sales", f"{folder}/files-sales")
+
+
 # --- projections --------------------------------------------------------------------------------
 
 
 @query
 def normalize_ntz(spark: SparkSession, sf_dir: str) -> DataFrame:
     instants = m.normalize_ntz(table(spark, sf_dir, "events"), "UTC")
-    return instants.select("event_id", F.unix_micros("ts").alias("ts_micros"))
+    return with_micros(instants)
 
 
 def events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +101,7 @@ def events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def derive_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = m.derive_date_columns(events_with_gaps(spark, sf_dir), "ts", null_dates="keep")
-    return dated.select("event_id", "pickup_date", "year", "month", "day")
+    return with_micros(dated)
 
 
 @query
@@ -146,14 +162,14 @@ def align_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = m.align_to_table(shuffled, name)
     # The position of a column is part of the result, so it is checked along with the rows.
     order = F.lit(",".join(aligned.columns)).alias("column_order")
-    return aligned.select(*EVENT_COLUMNS, "pickup_date", order)
+    return with_micros(aligned.select("*", order))
 
 
 @query
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    events = table(spark, sf_dir, "events")
     clicks = events.where(F.col("event_type") == "click")
-    return m.union_by_name([events, clicks.select(*reversed(EVENT_COLUMNS))])
+    return with_micros(m.union_by_name([events, clicks.select(*reversed(events.columns))]))
 
 
 # --- filters and checks -------------------------------------------------------------------------
@@ -162,13 +178,19 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def drop_null_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = events_with_gaps(spark, sf_dir).withColumn("pickup_date", F.to_date("ts"))
-    return m.drop_null_dates(dated, "pickup_date").select("event_id", "pickup_date")
+    return with_micros(m.drop_null_dates(dated, "pickup_date"))
 
 
 @query
 def partition_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.table(f"{lake(spark, sf_dir).database}.events")
-    return m.partition_equals(events, "pickup_date", "2024-01-05").select(*DAY_COLUMNS)
+    return with_micros(m.partition_equals(events, "pickup_date", "2024-01-05"))
+
+
+@query
+def timestamp_day_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return with_micros(m.partition_equals(events, "ts", "2024-01-05"))
 
 
 @query
@@ -183,7 +205,7 @@ def daily_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.preview(table(spark, sf_dir, "events"), 10, ("event_id",)).select(*EVENT_COLUMNS)
+    return with_micros(m.preview(table(spark, sf_dir, "events"), 10, ("event_id",)))
 
 
 # --- conformed files ----------------------------------------------------------------------------
@@ -220,14 +242,14 @@ def quarantine_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def save_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, folder = new_database(spark, "sales")
-    m.save_external_table(sales(spark, sf_dir), f"{database}.sales", f"{folder}-sales")
+    m.save_external_table(sales(spark, sf_dir), f"{database}.sales", f"{folder}/files-sales")
     return spark.table(f"{database}.sales")
 
 
 def declared_events(spark: SparkSession, sf_dir: str, purpose: str) -> str:
     """A new external table over the files of all events by day; they are not written again."""
     database, _ = new_database(spark, purpose)
-    name, location = f"{database}.events", f"{lake(spark, sf_dir).folder}-events"
+    name, location = f"{database}.events", f"{lake(spark, sf_dir).folder}/files-events"
     schema = events_by_day(spark, sf_dir).schema
     m.create_external_table(spark, name, schema, location, {"pickup_date": "date"})
     return name
@@ -237,24 +259,23 @@ def declared_events(spark: SparkSession, sf_dir: str, purpose: str) -> str:
 def create_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = declared_events(spark, sf_dir, "declared")
     m.repair_partitions(spark, name)
-    return spark.table(name).select(*DAY_COLUMNS)
+    return with_micros(spark.table(name))
 
 
 @query
 def declare_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, folder = new_database(spark, "inferred")
     name, events = f"{database}.events", f"{sf_dir}/events.parquet"
-    m.declare_table(spark, events, name, f"{folder}-events", "ts")
+    m.declare_table(spark, events, name, f"{folder}/files-events", "ts")
     m.backfill(spark, events, name, "ts")
-    instant = F.unix_micros("ts").alias("ts_micros")
-    return spark.table(name).select(*DAY_COLUMNS, instant, "year", "month", "day")
+    return with_micros(spark.table(name))
 
 
 @query
 def partitioned_write_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, events = new_folder(spark, "by-day"), events_by_day(spark, sf_dir)
     m.write_partitions(events, path, ["pickup_date"])
-    return spark.read.schema(events.schema).parquet(path).select(*DAY_COLUMNS)
+    return with_micros(spark.read.schema(events.schema).parquet(path))
 
 
 @query
@@ -263,8 +284,7 @@ def partitioned_write_ymd(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = m.derive_date_columns(table(spark, sf_dir, "events"), "ts", null_dates="keep")
     m.write_partitions(dated, path, ["year", "month", "day"])
     # Read back with the written schema: partition folders alone would make "01" the number 1.
-    columns = ["event_id", "value", "year", "month", "day"]
-    return spark.read.schema(dated.schema).parquet(path).select(*columns)
+    return with_micros(spark.read.schema(dated.schema).parquet(path))
 
 
 @query
@@ -272,7 +292,7 @@ def partitioned_save_as_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, _ = new_database(spark, "managed")
     name = f"{database}.events"
     m.save_managed_table(events_by_day(spark, sf_dir), name, ["pickup_date"])
-    return spark.table(name).select(*DAY_COLUMNS)
+    return with_micros(spark.table(name))
 
 
 @query
@@ -281,17 +301,17 @@ def managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, events = f"{database}.events", events_by_day(spark, sf_dir)
     m.create_managed_table(spark, name, events.schema, {"pickup_date": "date"})
     m.overwrite_partitions(events, name)
-    return spark.table(name).select(*DAY_COLUMNS)
+    return with_micros(spark.table(name))
 
 
 @query
 def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, folder = new_database(spark, "overwritten")
     name, events = f"{database}.events", events_by_day(spark, sf_dir)
-    m.save_external_table(events, name, f"{folder}-events", ["pickup_date"])
+    m.save_external_table(events, name, f"{folder}/files-events", ["pickup_date"])
     second = m.partition_equals(events, "pickup_date", "2024-01-02")
     m.overwrite_partitions(second.withColumn("value", F.col("value") * 2), name)
-    return spark.table(name).select(*DAY_COLUMNS)
+    return with_micros(spark.table(name))
 
 
 @query
@@ -354,7 +374,7 @@ def ingest_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
         pattern=MONTH_FILES,
         schema=ORDERS_SCHEMA,
         table=f"{database}.orders",
-        location=f"{folder}-orders",
+        location=f"{folder}/files-orders",
         time_column="o_orderdate",
         date_column="order_date",
         partition_by=("year", "month"),
@@ -369,5 +389,5 @@ def ingest_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, folder = new_database(spark, "backfilled")
     name, events = f"{database}.events", f"{sf_dir}/event*.parquet"
-    m.declare_table(spark, events, name, f"{folder}-events", "ts")
+    m.declare_table(spark, events, name, f"{folder}/files-events", "ts")
     return m.backfill(spark, events, name, "ts")

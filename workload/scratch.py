@@ -2,25 +2,40 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_databases: list[str] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the session names; a local one only where Spark itself is local."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return tempfile.mkdtemp(prefix="moraine-")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A folder name nobody has used; Spark creates it on the first write."""
-    return f"{scratch_root(spark)}/moraine-{purpose}-{uuid.uuid4().hex[:12]}"
+    """A folder name nobody has used; Spark creates it on the first write.
+
+    It is removed, with what begins like it, when the application ends.
+    """
+    folder = f"{scratch_root(spark)}/moraine-{purpose}-{uuid.uuid4().hex[:12]}"
+    forget_later(spark, folder)
+    return folder
+
+
+def forget_later(spark: SparkSession, folder: str) -> None:
+    """Have the folder removed when the application ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
 
 
 def new_database(spark: SparkSession, purpose: str) -> tuple[str, str]:
@@ -28,4 +43,14 @@ def new_database(spark: SparkSession, purpose: str) -> tuple[str, str]:
     folder = new_folder(spark, purpose)
     name = f"moraine_{purpose}_{folder[-12:]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    if not _databases:
+        atexit.register(drop_databases)
+    _databases.append(name)
     return name, folder
+
+
+def drop_databases() -> None:
+    """Drop the databases made here, with their tables, if the session that made them still lives."""
+    spark = SparkSession.getActiveSession()
+    while _databases and spark is not None and spark.sparkContext._jsc is not None:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")

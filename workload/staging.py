@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,12 +50,24 @@ def _once(spark: SparkSession, sf_dir: str, what: str, make):
         return _staged[key]
 
 
+def time_text(time: Column, key: Column) -> Column:
+    """A time as text: one in fifty is spoilt, of the others every second one has an offset."""
+    clock = "yyyy-MM-dd'T'HH:mm:ss"
+    ahead = F.date_format(time + F.expr("INTERVAL 5 HOURS"), clock)
+    return (
+        F.when(key % 50 == 7, F.concat(F.date_format(time, "yyyy-MM-dd"), F.lit(" garbage")))
+        .when(key % 2 == 0, F.concat(ahead, F.lit("+05:00")))
+        .otherwise(F.date_format(time, clock))
+    )
+
+
 def landing_zone(spark: SparkSession, sf_dir: str) -> str:
     """Folder of monthly ``orders`` drops whose schema changes over the years.
 
-    ``orders`` holds every order once: as is before 1996; in 1996 with a double customer key and no
-    priority; in 1997 with other column order, a text customer key, another spelling of one column
-    and an extra one; as is again from 1998, with the orders that have no date. ``resend`` repeats the pending orders with their price
+    ``orders`` holds every order once: as is before 1996; in 1996 with a double customer key, no
+    priority and the time as text, with an offset or without, or spoilt; in 1997 with other column
+    order, a text customer key, another spelling of one column, an extra one and the time in seconds;
+    as is again from 1998, with the orders that have no date. ``resend`` repeats the pending orders with their price
     wrapped in an array, which no cast can undo. ``archive`` has folders that are not months.
     """
     return _once(spark, sf_dir, "landing", lambda: _write_landing_zone(spark, sf_dir))
@@ -63,7 +75,8 @@ def landing_zone(spark: SparkSession, sf_dir: str) -> str:
 
 def _write_landing_zone(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark, "landing")
-    orders = table(spark, sf_dir, "orders")
+    month = F.coalesce(F.date_format("o_orderdate", "yyyy-MM"), F.lit(NO_MONTH))
+    orders = table(spark, sf_dir, "orders").withColumn("month", month)
     day, custkey = F.col("o_orderdate"), F.col("o_custkey")
     new_1996, new_1997, new_1998 = (
         F.lit(f"{year}-01-01").cast("timestamp_ntz") for year in (1996, 1997, 1998)
@@ -74,18 +87,20 @@ def _write_landing_zone(spark: SparkSession, sf_dir: str) -> str:
             "orders",
             orders.where((day >= new_1996) & (day < new_1997))
             .withColumn("o_custkey", custkey.cast("double"))
+            .withColumn("o_orderdate", time_text(day, F.col("o_orderkey")))
             .drop("o_orderpriority"),
         ),
         (
             "orders",
             orders.where((day >= new_1997) & (day < new_1998)).select(
                 "o_orderpriority",
-                "o_orderdate",
+                F.unix_seconds(day.cast("timestamp")).alias("o_orderdate"),
                 F.col("o_totalprice").alias("O_TotalPrice"),
                 F.lit(1).alias("extra_col"),
                 "o_orderstatus",
                 custkey.cast("string").alias("o_custkey"),
                 "o_orderkey",
+                "month",
             ),
         ),
         ("orders", orders.where((day >= new_1998) | day.isNull())),
@@ -97,9 +112,7 @@ def _write_landing_zone(spark: SparkSession, sf_dir: str) -> str:
         ),
     ]
     for feed, rows in drops:
-        month = F.coalesce(F.date_format(day, "yyyy-MM"), F.lit(NO_MONTH))
-        by_month = rows.withColumn("month", month)
-        write_partitions(by_month, f"{folder}/{feed}", ["month"], mode="append")
+        write_partitions(rows, f"{folder}/{feed}", ["month"], mode="append")
     by_year = orders.groupBy(F.year(day).alias("month")).agg(F.count(F.lit(1)).alias("orders"))
     write_partitions(by_year, f"{folder}/archive", ["month"], mode="append", cluster=False)
     return folder
@@ -138,5 +151,5 @@ def _write_lake(spark: SparkSession, sf_dir: str) -> Lake:
         "lineitem": (by_month(spark, sf_dir, "lineitem", "l_shipdate"), ["year", "month"]),
     }
     for name, (rows, partition_by) in frames.items():
-        save_external_table(rows, f"{database}.{name}", f"{folder}-{name}", partition_by)
+        save_external_table(rows, f"{database}.{name}", f"{folder}/files-{name}", partition_by)
     return Lake(database, folder)
