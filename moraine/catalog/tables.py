@@ -6,6 +6,7 @@ in-memory catalog and with a shared metastore.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -135,21 +136,23 @@ def _check_layout(spark: SparkSession, location: str, partition_by: Sequence[str
     One branch of folders is walked down, so that all levels are compared, and their order.
     """
     path, file_system = _file_system(spark, location)
-    if not file_system.exists(path):
-        return
     wanted, found = [name.lower() for name in partition_by], []
-    while path is not None:
-        folders = [e.getPath() for e in file_system.listStatus(path) if e.isDirectory()]
-        levels = {}
-        for folder in folders:
-            if "=" in folder.getName():
-                levels.setdefault(folder.getName().split("=", 1)[0].lower(), folder)
-        if not levels:
-            break
-        found.append(min(levels))
-        if set(levels) != set(wanted[len(found) - 1 : len(found)]):
+
+    def listed(parent: str, pattern: str):
+        literal = re.sub(r"([\\\[\]{}*?])", r"\\\1", parent)
+        return file_system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{literal}/{pattern}"))
+
+    # The listings stay in the JVM: only their lengths and one name of each level come over.
+    folder = path.toString()
+    while folders := listed(folder, "*=*") or ():
+        name = folders[0].getPath().getName().split("=", 1)[0]
+        own = listed(folder, re.sub(r"([\\\[\]{}*?])", r"\\\1", name) + "=*")
+        found.append(name.lower())
+        if len(own) != len(folders) or found != wanted[: len(found)]:
+            names = {f.getPath().getName().split("=", 1)[0].lower() for f in folders}
+            found[-1:] = sorted(names)
             break
-        path = levels[found[-1]]
+        folder = own[0].getPath().toString()
     if found and found != wanted:
         raise TableMismatch(f"{location} already holds folders by {found}, not by {list(partition_by)}")
 

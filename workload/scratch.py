@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _databases: list[str] = []
+_folders: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -25,17 +26,21 @@ def scratch_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A folder name nobody has used; Spark creates it on the first write.
 
-    It is removed, with what begins like it, when the application ends.
+    It lies in a folder of the application, which is removed when the application ends.
     """
-    folder = f"{scratch_root(spark)}/moraine-{purpose}-{uuid.uuid4().hex[:12]}"
-    forget_later(spark, folder)
-    return folder
-
-
-def forget_later(spark: SparkSession, folder: str) -> None:
-    """Have the folder removed when the application ends."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return f"{_application_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    key = spark.sparkContext.applicationId
+    if key not in _folders:
+        folder = f"{scratch_root(spark)}/moraine-{key}-{uuid.uuid4().hex[:12]}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _folders[key] = folder
+    return _folders[key]
 
 
 def new_database(spark: SparkSession, purpose: str) -> tuple[str, str]:
