@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import materialize, quoted
+from moraine.llm.frames import bounded_batches, materialize, quoted
 
 TABLES = 10
 HASHES = 10
@@ -192,6 +192,7 @@ def nearest(
 
     Returns ``query_id``, ``rank`` (from 1), ``vec_id`` and ``score``, the Euclidean distance.
     """
+    bounded_batches(df.sparkSession)
     values = quoted(vector).cast("array<double>")
     rows = df.select(quoted(vec_id).cast("long").alias("id"), values.alias("v"), query.alias("q"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))

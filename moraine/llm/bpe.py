@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import quoted, with_outputs, with_struct
+from moraine.llm.frames import bounded_batches, quoted, with_outputs, with_struct
 
 CUT_CHARS = 1 << 18
 
@@ -73,6 +73,7 @@ def encode_documents(
     ``path`` is the rank file's place on every machine, ``pattern`` the one that splits a text
     before the merges. Strings that look like special tokens are ordinary text.
     """
+    bounded_batches(df.sparkSession)
 
     @F.pandas_udf(ENCODED)
     def encode(texts: pd.Series) -> pd.DataFrame:
@@ -88,6 +89,7 @@ def decode_documents(
     df: DataFrame, path: str, pattern: str, ids: str = "token_ids", output: str = "decoded"
 ) -> DataFrame:
     """``df`` with the raw bytes that the ids stand for. They need not be valid UTF-8."""
+    bounded_batches(df.sparkSession)
 
     @F.pandas_udf(T.BinaryType())
     def decode(values: pd.Series) -> pd.Series:

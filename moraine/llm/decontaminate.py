@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import materialize, quoted, with_struct
+from moraine.llm.frames import bounded_batches, materialize, quoted, with_struct
 
 WINDOW = 13
 SHARD_CHARS = 8_000_000
@@ -306,6 +306,7 @@ def search_benchmark(
     text (a shorter item is one window), sorted as strings. ``spans`` are the words that such
     windows cover, as merged ranges of word numbers, the end exclusive; ``n_hit`` is their number.
     """
+    bounded_batches(df.sparkSession)
     out, earlier = df, None
     for number, block in enumerate(phrase_blocks(benchmark, item, item_text, window, block_chars)):
         if number:

@@ -33,21 +33,44 @@ def with_struct(df: DataFrame, value: Column, fields: list[str], drop: tuple = (
     return out.drop(held)
 
 
+# Texts go to Python workers, and back, in batches of about this size.
+BATCH_BYTES = 8 * 1024 * 1024
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have the session send small batches to Python, so that long texts do not add up in a worker.
+
+    The setting stays, since a plan is made when its rows are asked for; a smaller one is kept.
+    """
+    now = str(spark.conf.get(_BATCHES)).lower().removesuffix("b")
+    scale = {"k": 2**10, "m": 2**20, "g": 2**30}.get(now[-1:], 1)
+    if int(now.rstrip("kmg")) * scale > BATCH_BYTES:
+        spark.conf.set(_BATCHES, str(BATCH_BYTES))
+
+
+_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that all executors reach; it is removed when the application ends.
 
     It lies in ``spark.checkpoint.dir``. Only a local master may go without that setting.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.match(r"local($|\[)", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="moraine-llm-")
-    path = f"{root.rstrip('/')}/llm-{purpose}-{uuid.uuid4().hex[:12]}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.deleteOnExit(jvm_path)
-    return path
+    key = spark.sparkContext.applicationId
+    if key not in _folders:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not re.match(r"local($|\[)", spark.sparkContext.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+            root = tempfile.mkdtemp(prefix="moraine-llm-")
+        folder = f"{root.rstrip('/')}/llm-{key}-{uuid.uuid4().hex[:12]}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _folders[key] = folder
+    return f"{_folders[key]}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

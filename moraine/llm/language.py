@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import fold, quoted, with_outputs, with_struct
+from moraine.llm.frames import bounded_batches, fold, quoted, with_outputs, with_struct
 
 DIMENSIONS = 1024
 SEED = 11
@@ -175,6 +175,7 @@ def identify_language(
     Languages are learned from ``learn_from`` (by default ``df``), outside the held-out fold. Only
     the text is an input of a prediction.
     """
+    bounded_batches(df.sparkSession)
     prototypes = learn_prototypes(df if learn_from is None else learn_from, text, doc_id, lang)
     names = list(prototypes)
     matrix = np.stack(list(prototypes.values())) if names else np.zeros((0, DIMENSIONS), np.float32)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import quoted, with_struct
+from moraine.llm.frames import bounded_batches, quoted, with_struct
 
 # The kinds, in order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -518,6 +518,7 @@ def find_personal_data(
     ``base`` are the patterns' spans, ``found`` these with the network's, which is trained on a
     bounded sample of ``learn_from`` (by default ``df``). Positions are code points.
     """
+    bounded_batches(df.sparkSession)
     network = learn_network(df if learn_from is None else learn_from, text)
     sent = df.sparkSession.sparkContext.broadcast(network)  # of fixed size
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import materialize, quoted, with_outputs
+from moraine.llm.frames import bounded_batches, materialize, quoted, with_outputs
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -71,6 +71,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
 
 def with_fingerprint(df: DataFrame, text: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
     """``df`` with ``fingerprint``: the 64 bits as a signed long."""
+    bounded_batches(df.sparkSession)
 
     @F.pandas_udf(T.LongType())
     def bits(texts: pd.Series) -> pd.Series:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import quoted, with_outputs
+from moraine.llm.frames import bounded_batches, quoted, with_outputs
 
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 512
@@ -126,6 +126,7 @@ def count_tokens(df: DataFrame, path: str, limit: int = 2048, text: str = "text"
     ``path`` is the tokenizer file's place on every machine. No special tokens are added; special
     strings inside a text are handled as by the library's default.
     """
+    bounded_batches(df.sparkSession)
 
     @F.pandas_udf(T.LongType())
     def count(texts: pd.Series) -> pd.Series:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import fold, quoted, with_outputs, with_struct
+from moraine.llm.frames import bounded_batches, fold, quoted, with_outputs, with_struct
 
 SYMBOLS = 32
 ORDER = 4
@@ -234,6 +234,7 @@ def score_documents(
     Labels are learned from the rows of ``learn_from`` (by default ``df``) outside the held-out
     fold; a row's own label, id and other columns are no inputs of its score.
     """
+    bounded_batches(df.sparkSession)
     rows = labelled(df if learn_from is None else learn_from, labels, text, doc_id, label)
     counts = class_counts(rows.where(~F.col("curve")))
     held_out = F.coalesce(fold(quoted(doc_id)) == HELD_OUT_FOLD, F.lit(False))
