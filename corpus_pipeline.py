@@ -43,9 +43,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data masked by its kind; lengths follow the texts."""
-    masked = pii.mask_personal_data(pii.find_personal_data(docs))
-    changed = F.size("found") > 0
-    length = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    masked = pii.mask_personal_data(docs)
+    length = F.when(F.col("masked"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return columns_of(masked.withColumn("n_chars", length), docs)
 
 

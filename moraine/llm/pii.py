@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import bounded_batches, quoted, with_struct
+from moraine.llm.frames import bounded_batches, quoted, with_outputs, with_struct
 
 # The kinds, in order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -544,24 +544,36 @@ def number_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == number)).cast("long")
 
 
-def masked(text: str | None, spans) -> str | None:
+def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
     """The text with each span, or run of overlapping spans, replaced by its first kind's name."""
-    if text is None or not len(spans):
-        return text
     out, after = [], 0
-    for span in spans:
-        if span["begin"] >= after:
-            out += [text[after : span["begin"]], MASK.format(KINDS[span["kind"]].upper())]
-        after = max(after, span["end"])
+    for begin, kind, end in spans:
+        if begin >= after:
+            out += [text[after:begin], MASK.format(KINDS[kind].upper())]
+        after = max(after, end)
     return "".join([*out, text[after:]])
 
 
-def mask_personal_data(df: DataFrame, text: str = "text", spans: str = "found") -> DataFrame:
-    """``df`` with the spans of its texts masked; texts without any stay as they are."""
+def mask_personal_data(
+    df: DataFrame, text: str = "text", learn_from: DataFrame | None = None
+) -> DataFrame:
+    """``df`` with the personal data in its texts masked, and ``masked``: whether a text had any.
+
+    The spans are those of ``find_personal_data``; texts without any stay as they are.
+    """
+    bounded_batches(df.sparkSession)
+    network = learn_network(df if learn_from is None else learn_from, text)
+    sent = df.sparkSession.sparkContext.broadcast(network)  # of fixed size
 
     @F.pandas_udf(T.StringType())
-    def mask(texts: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([masked(t, s) for t, s in zip(texts, found, strict=True)], dtype=object)
+    def changed(texts: pd.Series) -> pd.Series:
+        own = [t or "" for t in texts]
+        found = search_texts(own, sent.value)
+        return pd.Series(
+            [masked(t, spans) if spans else None for t, (_, spans) in zip(own, found, strict=True)],
+            dtype=object,
+        )
 
-    some = F.size(quoted(spans)) > 0
-    return df.withColumn(text, F.when(some, mask(quoted(text), quoted(spans))).otherwise(quoted(text)))
+    held = df.withColumn("__llm_masked", changed(quoted(text).cast("string")))
+    held = held.withColumn(text, F.coalesce("__llm_masked", quoted(text)))
+    return with_outputs(held, {"masked": F.col("__llm_masked").isNotNull()}).drop("__llm_masked")

@@ -184,11 +184,14 @@ def test_messy_documents(spark):
         assert [tuple(s) for s in row.base] == spans
         assert row.s == ",".join(f"{pii.KINDS[k]}:{b}:{e}" for b, k, e in spans)
         assert {tuple(s) for s in row.base} <= {tuple(s) for s in row.found}
-    masked = dict(messy.rows(pii.mask_personal_data(out), "doc_id", "text"))
+    masked = pii.mask_personal_data(messy.documents(spark, "Masked", "kind"))
+    assert {"extra", "kind", "masked"} <= set(masked.columns) and "Masked" not in masked.columns
+    assert {r.doc_id for r in masked.where("masked").collect()} == {8}
+    masked = dict(messy.rows(masked, "doc_id", "text"))
     assert masked[8] == "mail [EMAIL] or [PHONE]" and masked[4] is None and masked[5] == messy.LONG
     assert messy.rows(pii.find_personal_data(messy.none(docs))) == []
 
 
 def test_overlapping_spans_are_masked_once():
-    spans = [{"begin": 2, "kind": 0, "end": 6}, {"begin": 4, "kind": 2, "end": 8}, {"begin": 9, "kind": 1, "end": 10}]
+    spans = [(2, 0, 6), (4, 2, 8), (9, 1, 10)]
     assert pii.masked("ab123456.x!", spans) == "ab[EMAIL].[IP]!"

@@ -59,8 +59,7 @@ def test_run_against_brute_force(spark):
     expected = {}
     for doc_id, text in texts.items():
         ((_, spans),) = pii.search_texts([text], network)
-        own = pii.masked(text, [dict(zip(("begin", "kind", "end"), s, strict=True)) for s in spans])
-        expected[doc_id] = bpe.encode_text(own, path, pattern).tolist()
+        expected[doc_id] = bpe.encode_text(pii.masked(text, spans), path, pattern).tolist()
     found = corpus_pipeline.run(spark, SF_DIR).collect()
     assert {r.doc_id: np.frombuffer(r.token_ids, "<u4").tolist() for r in found} == expected
     assert len(found) == len(expected) and all(r.n_tokens == len(expected[r.doc_id]) for r in found)
