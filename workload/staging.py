@@ -67,8 +67,9 @@ def landing_zone(spark: SparkSession, sf_dir: str) -> str:
     ``orders`` holds every order once: as is before 1996; in 1996 with a double customer key, no
     priority and the time as text, with an offset or without, or spoilt; in 1997 with other column
     order, a text customer key, another spelling of one column, an extra one and the time in seconds;
-    as is again from 1998, with the orders that have no date. ``resend`` repeats the pending orders with their price
-    wrapped in an array, which no cast can undo. ``archive`` has folders that are not months.
+    as is again from 1998, with the orders that have no date. ``resend`` repeats the pending orders
+    with their price wrapped in an array, which no cast can undo. ``archive`` has folders that are
+    not months.
     """
     return _once(spark, sf_dir, "landing", lambda: _write_landing_zone(spark, sf_dir))
 
