@@ -13,8 +13,9 @@ one symbol for a run of anything else), so a model never has more than 32 to the
 entries, whatever the corpus. The counts are taken over all labelled rows that may be learned from,
 by a join on the shuffled id; tasks add up their own before anything is sent.
 
-An eighth of the learnable rows is left out of the counts, and a bounded sample of these,
-``CURVE_ROWS``, fits the curve. The curve starts from fixed weights, to which few rows add little.
+The curve is fitted on a bounded sample, ``CURVE_ROWS``, of an eighth of these rows, scored by models
+of the other rows, so that no row's own counts speak for it; then the models take in the eighth too.
+The curve starts from fixed weights, to which few rows add little.
 
 Defined results: a NULL text scores like an empty one, and an empty one has no evidence at all.
 Several labels of an id count as toxic if one does; rows without an id are scored and not learned
@@ -168,30 +169,40 @@ def for_curve(doc_id: Column) -> Column:
 
 
 def class_counts(rows: DataFrame) -> np.ndarray:
-    """Sequences in ordinary and in toxic texts; at most 32 to the power of ``ORDER`` rows come."""
+    """Sequences in ordinary and in toxic texts, of rows apart from the curve's and of the curve's.
+
+    At most twice 32 to the power of ``ORDER`` rows come to the driver.
+    """
 
     def count(batches):
-        counts = np.zeros((2, SYMBOLS**ORDER), dtype=np.int64)
+        counts = np.zeros((2, 2, SYMBOLS**ORDER), dtype=np.int64)
         for batch in batches:
-            for label in (0, 1):
+            for (curve, label), own in batch.groupby(["curve", "label"])["text"]:
                 held, size = [], 0
-                for text in batch["text"][batch["label"] == label]:
+                for text in own:
                     held.append(sequences_of(symbols_of(text)))
                     size += len(held[-1])
                     if size > COUNT_CHARS:
-                        counts[label] += np.bincount(np.concatenate(held), minlength=counts.shape[1])
+                        add(counts[int(curve), label], held)
                         held, size = [], 0
-                if held:
-                    counts[label] += np.bincount(np.concatenate(held), minlength=counts.shape[1])
-        found = np.flatnonzero(counts.any(axis=0))
-        yield pd.DataFrame({"s": found, "ordinary": counts[0, found], "toxic": counts[1, found]})
-
-    by_task = rows.select("text", "label").mapInPandas(count, "s long, ordinary long, toxic long")
-    total = by_task.groupBy("s").agg(F.sum("ordinary").alias("o"), F.sum("toxic").alias("t"))
-    found = total.toPandas()
-    counts = np.zeros((2, SYMBOLS**ORDER))
-    at = found["s"].to_numpy(np.int64)
-    counts[0, at], counts[1, at] = found["o"].to_numpy(), found["t"].to_numpy()
+                add(counts[int(curve), label], held)
+        for curve in (0, 1):
+            o, t = counts[curve]
+            found = np.flatnonzero(o + t)
+            yield pd.DataFrame({"curve": curve, "s": found, "o": o[found], "t": t[found]})
+
+    def add(counts: np.ndarray, held: list[np.ndarray]) -> None:
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=len(counts))
+
+    by_task = rows.select("text", "label", "curve").mapInPandas(
+        count, "curve long, s long, o long, t long"
+    )
+    summed = by_task.groupBy("curve", "s").agg(F.sum("o").alias("o"), F.sum("t").alias("t"))
+    found = summed.toPandas()
+    counts = np.zeros((2, 2, SYMBOLS**ORDER))
+    at = (found["curve"].to_numpy(np.int64), found["s"].to_numpy(np.int64))
+    counts[at[0], 0, at[1]], counts[at[0], 1, at[1]] = found["o"].to_numpy(), found["t"].to_numpy()
     return counts
 
 
@@ -236,17 +247,17 @@ def score_documents(
     """
     bounded_batches(df.sparkSession)
     rows = labelled(df if learn_from is None else learn_from, labels, text, doc_id, label)
-    counts = class_counts(rows.where(~F.col("curve")))
+    apart, own = class_counts(rows)
     held_out = F.coalesce(fold(quoted(doc_id)) == HELD_OUT_FOLD, F.lit(False))
-    if not counts.sum(axis=1).all():
+    if not apart.sum(axis=1).all():
         score = F.lit(0.0)
         return _judged(df, {"held_out": held_out, "score": score}, threshold)
-    ratios = log_ratios(counts[0], counts[1])
-    kept = with_evidence(rows.where("curve").withColumn("h", F.xxhash64("id")), "text", ratios)
+    curve_rows = rows.where("curve").withColumn("h", F.xxhash64("id"))
+    kept = with_evidence(curve_rows, "text", log_ratios(*apart))
     kept = kept.select("h", "label", *EVIDENCE.names).orderBy(F.col("h"), "label").limit(CURVE_ROWS)
     sample = kept.toPandas()
     weights = fit_curve(sample[EVIDENCE.names].to_numpy(float), sample["label"].to_numpy(float))
-    measured = with_evidence(df, text, ratios)
+    measured = with_evidence(df, text, log_ratios(*(apart + own)))
     total = F.lit(float(weights[-1]))
     for name, weight in zip(EVIDENCE.names, weights, strict=False):
         total = total + F.col(name) * float(weight)

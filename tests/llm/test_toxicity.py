@@ -96,12 +96,15 @@ def _held(doc_id):
 
 def test_the_counts_cover_all_rows(spark):
     rows, labels = corpus(2, 300)
-    df = spark.createDataFrame([(t, y) for (_, t), (_, y) in zip(rows, labels, strict=True)], "text string, label int")
+    data = [(t, y, i % 3 == 0) for (i, t), (_, y) in zip(rows, labels, strict=True)]
+    df = spark.createDataFrame(data, "text string, label int, curve boolean")
     counts = toxicity.class_counts(df.repartition(7))
     for label in (0, 1):
-        own = [t for (_, t), (_, y) in zip(rows, labels, strict=True) if y == label]
-        numbers = np.concatenate([toxicity.sequences_of(toxicity.symbols_of(t)) for t in own])
-        assert (counts[label] == np.bincount(numbers, minlength=counts.shape[1])).all()
+        for curve in (False, True):
+            own = [t for t, y, c in data if (y, c) == (label, curve)]
+            numbers = np.concatenate([toxicity.sequences_of(toxicity.symbols_of(t)) for t in own])
+            expected = np.bincount(numbers, minlength=counts.shape[2])
+            assert (counts[int(curve), label] == expected).all()
 
 
 def test_messy_documents(spark):
