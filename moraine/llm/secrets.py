@@ -173,53 +173,74 @@ def tests(match: Column) -> Column:
         return F.transform(F.split(text, ""), lambda c: F.instr(alphabet, c) - 1)
 
     def measured(encoding: Column, text: Column, values: Column) -> Column:
-        n = F.size(values).cast("double")
         size = by_encoding(encoding, lambda _, a: F.lit(float(len(a))))
         alphabet = by_encoding(encoding, lambda _, a: F.array(*[F.lit(c) for c in a]))
-        total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
-        held = F.transform(alphabet, lambda c: n - F.length(F.replace(text, c, F.lit(""))))
-        squares = total(F.transform(held, lambda c: c * c))
+        held = F.transform(
+            alphabet, lambda c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
+        )
+        facts = F.struct(
+            F.size(values).cast("double").alias("n"),
+            size.alias("k"),
+            total(F.transform(held, lambda c: c.cast("double") * c)).alias("squares"),
+            (total(F.transform(values, lambda v: v.cast("double"))) / F.size(values)).alias("mean"),
+            F.transform(values, lambda v: F.when(v * 2 >= size, 1.0).otherwise(0.0)).alias("high"),
+        )
+        return once(
+            facts,
+            lambda f: once(
+                F.transform(values, lambda v: v - f["mean"]), lambda around: judged(f, around)
+            ),
+        )
+
+    def judged(f: Column, around: Column) -> Column:
+        facts = F.struct(
+            total(f["high"]).alias("ones"),
+            total(neighbours(f["high"], lambda a, b: F.abs(a - b))).alias("changes"),
+            total(F.transform(around, lambda v: v * v)).alias("power"),
+            total(neighbours(around, lambda a, b: a * b)).alias("product"),
+        )
+        return once(facts, lambda g: once(chances(f, g), lambda p: combined(f, p)))
+
+    def chances(f: Column, g: Column) -> Column:
+        n, free = f["n"], f["k"] - 1
         # Chi-squared, made normal by Wilson and Hilferty's cube root.
-        free = size - 1
-        chi = squares * size / n - n
+        chi = f["squares"] * f["k"] / n - n
         shrunk = 2 / (9 * free)
-        uniform = upper_tail((F.pow(chi / free, F.lit(1 / 3)) - (1 - shrunk)) / F.sqrt(shrunk))
-        # Runs of the upper and the lower half of the alphabet.
-        high = F.transform(values, lambda v: F.when(v * 2 >= size, 1.0).otherwise(0.0))
-        ones = total(high)
-        pairs = n - 1
-        next_to = F.zip_with(
-            F.slice(high, 1, F.size(values) - 1), F.slice(high, 2, F.size(values) - 1), lambda a, b: F.abs(a - b)
-        )
-        runs = 1 + total(next_to)
-        two = 2 * ones * (n - ones)
-        spread = two * (two - n) / (n * n * pairs)
-        alternate = F.when(
-            spread > 0, 2 * upper_tail(F.abs(runs - 1 - two / n) / F.sqrt(spread))
-        ).otherwise(F.pow(F.lit(2.0), -pairs))
+        uniform = (F.pow(chi / free, F.lit(1 / 3)) - (1 - shrunk)) / F.sqrt(shrunk)
+        # Runs of the upper and the lower half of the alphabet, against their expected number.
+        two = 2 * g["ones"] * (n - g["ones"])
+        spread = two * (two - n) / (n * n * (n - 1))
+        least = F.pow(F.lit(2.0), 1 - n)
+        alternate = F.abs(g["changes"] - two / n) / F.sqrt(spread)
         # Serial correlation of neighbours.
-        mean = total(F.transform(values, lambda v: v.cast("double"))) / n
-        around = F.transform(values, lambda v: v - mean)
-        power = total(F.transform(around, lambda v: v * v))
-        product = total(
-            F.zip_with(
-                F.slice(around, 1, F.size(values) - 1), F.slice(around, 2, F.size(values) - 1), lambda a, b: a * b
-            )
+        serial = F.abs(g["product"] / g["power"] + 1 / n) * F.sqrt(n)
+        return F.struct(
+            upper_tail(uniform).alias("uniform"),
+            F.when(spread > 0, 2 * upper_tail(alternate)).otherwise(least).alias("alternate"),
+            F.when(g["power"] > 0, 2 * upper_tail(serial)).otherwise(least).alias("serial"),
         )
-        serial = F.when(
-            power > 0, 2 * upper_tail(F.abs(product / power + 1 / n) * F.sqrt(n))
-        ).otherwise(F.pow(F.lit(2.0), -pairs))
+
+    def combined(f: Column, p: Column) -> Column:
         # Fisher: -2 sum ln p has 6 degrees of freedom.
-        half = -(F.log(uniform) + F.log(F.least(alternate, F.lit(1.0))) + F.log(F.least(serial, F.lit(1.0))))
-        surprise = half - F.log(1 + half + half * half / 2)
-        return F.struct(
-            begin.alias("begin"),
-            end.alias("end"),
-            encoding.alias("encoding"),
-            F.floor(F.log2(n)).cast("int").alias("length_class"),
-            F.least(F.floor(surprise * BINS_PER_E), F.lit(MOST_BINS)).cast("int").alias("bin"),
+        at_most_one = lambda x: F.log(F.least(x, F.lit(1.0)))
+        half = -(F.log(p["uniform"]) + at_most_one(p["alternate"]) + at_most_one(p["serial"]))
+        return once(
+            half,
+            lambda h: F.struct(
+                F.floor(F.log2(f["n"])).cast("int").alias("length_class"),
+                F.least(
+                    F.floor((h - F.log(1 + h + h * h / 2)) * BINS_PER_E), F.lit(MOST_BINS)
+                ).cast("int").alias("bin"),
+            ),
         )
 
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+
+    def neighbours(xs: Column, both) -> Column:
+        rest = F.size(xs) - 1
+        return F.zip_with(F.slice(xs, 1, rest), F.slice(xs, 2, rest), both)
+
     def once(value: Column, then) -> Column:
         return F.transform(F.array(value), then)[0]
 
@@ -231,7 +252,19 @@ def tests(match: Column) -> Column:
             ),
         )
 
-    return once(encoding_of(token), lambda encoding: F.when(encoding.isNotNull(), tested(encoding)))
+    def named(encoding: Column) -> Column:
+        return once(
+            tested(encoding),
+            lambda t: F.struct(
+                begin.alias("begin"),
+                end.alias("end"),
+                encoding.alias("encoding"),
+                t["length_class"].alias("length_class"),
+                t["bin"].alias("bin"),
+            ),
+        )
+
+    return once(encoding_of(token), lambda encoding: F.when(encoding.isNotNull(), named(encoding)))
 
 
 def thresholds(scanned: DataFrame, level: float) -> dict[tuple[str, int], int]:
