@@ -7,7 +7,7 @@ few groups as their types allow, each group is one scan, and the union has one b
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -124,25 +124,30 @@ def _probe(spark: SparkSession, paths: Sequence[str]) -> T.StructType | str:
         return reason
 
 
-def _footer(spark: SparkSession, path: str) -> tuple[bool, str]:
-    """Whether the file has a sound footer, and the types it states or else what is wrong with it."""
-    jvm = spark._jvm
-    file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
-    try:
-        source = file(jvm.org.apache.hadoop.fs.Path(path), configuration)
-        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+def _footer_reader(spark: SparkSession) -> Callable[[str], tuple[bool, str]]:
+    """Tells whether a file has a sound footer, and the types it states or else what is wrong with it."""
+    # Looked up once: each name is a call to the JVM.
+    jvm, configuration = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path_of = jvm.org.apache.hadoop.fs.Path
+    file_of = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath
+    open_file = jvm.org.apache.parquet.hadoop.ParquetFileReader.open
+
+    def footer(path: str) -> tuple[bool, str]:
         try:
-            facts = reader.getFooter().getFileMetaData()
-            own = facts.getKeyValueMetaData().get("org.apache.spark.sql.parquet.row.metadata")
-            return True, f"{facts.getSchema().toString()}{own or ''}"
-        finally:
-            reader.close()
-    except Py4JJavaError as error:
-        reason = _damage(error)
-        if reason is None:
-            raise
-        return False, reason
+            reader = open_file(file_of(path_of(path), configuration))
+            try:
+                facts = reader.getFooter().getFileMetaData()
+                own = facts.getKeyValueMetaData().get("org.apache.spark.sql.parquet.row.metadata")
+                return True, f"{facts.getSchema().toString()}{own or ''}"
+            finally:
+                reader.close()
+        except Py4JJavaError as error:
+            reason = _damage(error)
+            if reason is None:
+                raise
+            return False, reason
+
+    return footer
 
 
 def probe_schemas(
@@ -164,7 +169,7 @@ def probe_schemas(
         return [(whole, files)], rejects
     kinds: dict[str, list[str]] = {}
     # The threads carry on the caller's job group and scheduler pool.
-    footer = inheritable_thread_target(spark)(lambda path: _footer(spark, path))
+    footer = inheritable_thread_target(spark)(_footer_reader(spark))
     with ThreadPoolExecutor(_FOOTER_THREADS) as pool:
         for path, (sound, stated) in zip(files, pool.map(footer, files), strict=True):
             if sound:

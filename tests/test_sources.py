@@ -239,7 +239,7 @@ def test_faults_met_while_footers_are_sorted_are_raised(spark, folder):
     paths = [*paths_in(spark, folder)]
     folder_path = os.path.dirname(paths[0]).removeprefix("file:")
     with pytest.raises(Exception, match="gone.parquet"):
-        conformed._footer(spark, f"{folder_path}/gone.parquet")
+        conformed._footer_reader(spark)(f"{folder_path}/gone.parquet")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         conform_union(spark, [*paths, f"{folder_path}/gone.parquet"], ORDERS_SCHEMA)
 
