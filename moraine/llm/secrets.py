@@ -14,7 +14,7 @@ was written applies them.
 
 Defined results: a NULL text is like an empty one and has no spans; repeated rows are scanned each;
 an empty table gives an empty table; carried columns of an output's name are replaced. Tokens of
-more than 4,096 characters are encoded files and not keys, so they are not tested.
+every length from 20 on are tested whole; sums over long ones are added up in pieces.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ ASSIGN_VALUE = r"^(?i:password|passwd|secret|token|api_?key)" + (
 )
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
-TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,4096}(?![A-Za-z0-9+/_-])"
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
@@ -47,6 +47,7 @@ ALPHABETS = {
 }
 FALSE_DISCOVERY = 0.05
 BINS_PER_E, MOST_BINS = 50, 2500  # of the p-values' negative logarithms
+PIECE = 4096  # characters of a token that are numbers in memory at once
 TEXT, BASE, TESTED = "__llm_text", "__llm_base", "__llm_tested"
 
 
@@ -160,7 +161,8 @@ def by_encoding(encoding: Column, value) -> Column:
 def tests(match: Column) -> Column:
     """A token's encoding and the combined p-value of the tests; NULL without an encoding.
 
-    Written as a chain of one-element transforms, so that each step is computed once.
+    Written as a chain of one-element transforms, so that each step is computed once. A token is
+    cut into pieces that know the character behind them, and what these sum to is added up.
     """
     begin, end, token = match["begin"], match["end"], match["match"]
 
@@ -172,35 +174,74 @@ def tests(match: Column) -> Column:
         alphabet = by_encoding(encoding, lambda _, a: F.lit(a))
         return F.transform(F.split(text, ""), lambda c: F.instr(alphabet, c) - 1)
 
-    def measured(encoding: Column, text: Column, values: Column) -> Column:
+    def cut(text: Column) -> Column:
+        some = F.regexp_extract_all(text, F.lit(f".{{1,{PIECE}}}"), F.lit(0))
+        pieces = F.when(F.length(text) <= PIECE, F.array(text)).otherwise(some)
+        return once(
+            pieces,
+            lambda own: F.zip_with(
+                own,
+                F.slice(own, 2, F.size(own)),
+                lambda piece, behind: F.struct(
+                    piece.alias("own"),
+                    F.concat(piece, F.coalesce(F.substring(behind, 1, 1), F.lit(""))).alias("linked"),
+                ),
+            ),
+        )
+
+    def measured(encoding: Column, text: Column, pieces: Column) -> Column:
         size = by_encoding(encoding, lambda _, a: F.lit(float(len(a))))
         alphabet = by_encoding(encoding, lambda _, a: F.array(*[F.lit(c) for c in a]))
         held = F.transform(
             alphabet, lambda c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
         )
+        sums = F.transform(
+            pieces,
+            lambda p: total(
+                F.transform(numbers(encoding, p["own"]), lambda v: v.cast("double"))
+            ),
+        )
         facts = F.struct(
-            F.size(values).cast("double").alias("n"),
+            F.length(text).cast("double").alias("n"),
             size.alias("k"),
             total(F.transform(held, lambda c: c.cast("double") * c)).alias("squares"),
-            (total(F.transform(values, lambda v: v.cast("double"))) / F.size(values)).alias("mean"),
-            F.transform(values, lambda v: F.when(v * 2 >= size, 1.0).otherwise(0.0)).alias("high"),
+            (total(sums) / F.length(text)).alias("mean"),
         )
+        return once(facts, lambda f: judged(f, encoding, pieces))
+
+    def judged(f: Column, encoding: Column, pieces: Column) -> Column:
+        names = ("ones", "changes", "power", "product")
+
+        def summed(piece: Column) -> Column:
+            size = F.length(piece["own"])
+            return once(
+                numbers(encoding, piece["linked"]),
+                lambda values: once(
+                    F.struct(
+                        F.transform(
+                            values, lambda v: F.when(v * 2 >= f["k"], 1.0).otherwise(0.0)
+                        ).alias("high"),
+                        F.transform(values, lambda v: v - f["mean"]).alias("around"),
+                    ),
+                    lambda x: F.struct(
+                        total(F.slice(x["high"], 1, size)).alias("ones"),
+                        total(neighbours(x["high"], lambda a, b: F.abs(a - b))).alias("changes"),
+                        total(
+                            F.transform(F.slice(x["around"], 1, size), lambda v: v * v)
+                        ).alias("power"),
+                        total(neighbours(x["around"], lambda a, b: a * b)).alias("product"),
+                    ),
+                ),
+            )
+
         return once(
-            facts,
-            lambda f: once(
-                F.transform(values, lambda v: v - f["mean"]), lambda around: judged(f, around)
+            F.transform(pieces, summed),
+            lambda sums: once(
+                F.struct(*[total(sums.getField(n)).alias(n) for n in names]),
+                lambda g: once(chances(f, g), lambda p: combined(f, p)),
             ),
         )
 
-    def judged(f: Column, around: Column) -> Column:
-        facts = F.struct(
-            total(f["high"]).alias("ones"),
-            total(neighbours(f["high"], lambda a, b: F.abs(a - b))).alias("changes"),
-            total(F.transform(around, lambda v: v * v)).alias("power"),
-            total(neighbours(around, lambda a, b: a * b)).alias("product"),
-        )
-        return once(facts, lambda g: once(chances(f, g), lambda p: combined(f, p)))
-
     def chances(f: Column, g: Column) -> Column:
         n, free = f["n"], f["k"] - 1
         # Chi-squared, made normal by Wilson and Hilferty's cube root.
@@ -210,7 +251,7 @@ def tests(match: Column) -> Column:
         # Runs of the upper and the lower half of the alphabet, against their expected number.
         two = 2 * g["ones"] * (n - g["ones"])
         spread = two * (two - n) / (n * n * (n - 1))
-        least = F.pow(F.lit(2.0), 1 - n)
+        least = F.greatest(F.pow(F.lit(2.0), 1 - n), F.lit(1e-300))
         alternate = F.abs(g["changes"] - two / n) / F.sqrt(spread)
         # Serial correlation of neighbours.
         serial = F.abs(g["product"] / g["power"] + 1 / n) * F.sqrt(n)
@@ -247,9 +288,7 @@ def tests(match: Column) -> Column:
     def tested(encoding: Column) -> Column:
         return once(
             normal(encoding),
-            lambda text: once(
-                numbers(encoding, text), lambda values: measured(encoding, text, values)
-            ),
+            lambda text: once(cut(text), lambda pieces: measured(encoding, text, pieces)),
         )
 
     def named(encoding: Column) -> Column:

@@ -65,6 +65,32 @@ def test_orderly_tokens_are_not(spark):
     assert sum("random" in found for _, found in scan(spark, texts).values()) <= 2
 
 
+def test_tokens_of_any_length_are_tested_whole(spark):
+    pick = random.Random(4)
+    sizes = [secrets.PIECE + 1, 5000, 8192, 30_000, 200_000]
+    keys = [f"see {key(pick, BASE64, n)} there" for n in sizes * 6]
+    orderly = ["x " + ("Ab1" * n)[:n] for n in sizes]
+    # Each piece looks random by itself; only the whole token tells that they are the same.
+    half = key(pick, BASE64, secrets.PIECE)
+    found = scan(spark, [*keys, *orderly, half * 6])
+    hits = [found[i][1] for i in range(len(keys))]
+    assert sum(f"random:4:{4 + n}" == h for h, n in zip(hits, sizes * 6, strict=True)) >= 26
+    assert not any("random" in found[i][1] for i in range(len(keys), len(found)))
+
+
+def test_pieces_add_up_to_the_whole(spark, monkeypatch):
+    pick = random.Random(5)
+    texts = [key(pick, alphabet, n) for alphabet in (BASE64, HEX) for n in (20, 40, 41, 333, 4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = [r[secrets.TESTED] for r in secrets.scan(df).orderBy("doc_id").collect()]
+    monkeypatch.setattr(secrets, "PIECE", 20)
+    pieces = [r[secrets.TESTED] for r in secrets.scan(df).orderBy("doc_id").collect()]
+    assert all(len(w) == 1 for w in whole)
+    for (w,), (p,) in zip(whole, pieces, strict=True):
+        assert (w["encoding"], w["length_class"]) == (p["encoding"], p["length_class"])
+        assert abs(w["bin"] - p["bin"]) <= 1  # rounding
+
+
 def test_the_level_is_set_for_each_length_class():
     assert secrets.orderly_from({0: 1000}, 0.05) > secrets.MOST_BINS
     first = secrets.orderly_from({0: 10, 500: 10}, 0.05)
