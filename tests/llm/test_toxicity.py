@@ -121,3 +121,71 @@ def test_messy_documents(spark):
     assert messy.rows(toxicity.score_documents(messy.none(docs), labels)) == []
     unlabelled = toxicity.score_documents(docs, messy.none(labels))
     assert {(r.score, r.predicted) for r in unlabelled.collect()} == {(0.0, 0)}
+
+
+def test_characters_and_their_sequences():
+    codes = toxicity.codes_of("Éa, x 9 漢!")
+    assert codes.tolist() == [0, ord("é"), ord("a"), 0, ord("x"), 0, ord("9"), 0, ord("漢"), 0]
+    assert toxicity.codes_of(None).tolist() == toxicity.codes_of(" .\n").tolist() == [0]
+    joined, ends, lengths = toxicity.joined_codes([codes, toxicity.codes_of(""), toxicity.codes_of("ab")])
+    whole = "".join(chr(c or 32) for c in joined.tolist())
+    grams = [whole[e - n + 1 : e + 1] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+    # A sequence goes back to its word's break, and over words of one character.
+    assert grams[:6] == [" é", " éa", " éa ", " x", " x ", " x 9"]
+    assert grams[6:] == [" x 9 ", "x 9 漢", " 9 漢 ", " a", " ab", " ab "]
+    assert len(set(toxicity.hashes_of(joined, ends, lengths).tolist())) == len(set(grams))
+
+
+def test_chances_are_interpolated_kneser_ney(spark):
+    pick = random.Random(3)
+    grams = {"".join(pick.choices("aбc漢 ", k=toxicity.LENGTH)): (pick.randrange(4), pick.randrange(3)) for _ in range(150)}
+    rows = [(g, o, t, o, t) for g, (o, t) in grams.items()]
+    counts = spark.createDataFrame(rows, "gram string, " + ", ".join(f"{c} long" for c in toxicity.COUNTS))
+    others = ["aaaaa", "zzzzz", "漢бc a", "zббaz"]
+    asked = spark.createDataFrame([(g,) for g in [*grams, *others]], "gram string")
+    seen = {g: o + t for g, (o, t) in grams.items() if o + t}
+
+    def chance(gram, table, lower_of):
+        if not gram:
+            return 1 / (len({g[-1] for g in seen}) + 1)
+        lower = {}
+        for g, n in lower_of.items():
+            lower.setdefault(g[1:], set()).add(g)
+        lower = {g: len(s) for g, s in lower.items()}
+        below = chance(gram[1:], lower, lower)
+        own = {g: n for g, n in table.items() if g[:-1] == gram[:-1] and n}
+        total = sum(own.values())
+        if not total:
+            return below
+        return (max(own.get(gram, 0) - 0.75, 0) + 0.75 * len(own) * below) / total
+
+    for row in toxicity.chances(counts, asked).collect():
+        for label in (0, 1):
+            table = {g: n[label] for g, n in grams.items()}
+            assert row[f"p_own_{label}"] == pytest.approx(chance(row["gram"], table, seen))
+
+
+def test_toxic_words_in_any_script(spark):
+    """Words that the former 32 symbols could not tell apart: each letter has a partner of its symbol."""
+    table, partners = toxicity.symbol_table(), {}
+    for code in range(ord("а"), ord("я") + 1):
+        partners.setdefault(int(table[code]), []).append(chr(code))
+    letters = [own[:4] for own in partners.values()]
+    pick = random.Random(5)
+    word = lambda: "".join(pick.choice(pick.choice(letters)) for _ in range(pick.choice([3, 5, 7])))
+    toxic_word = "".join(own[0] for own in letters) * 2
+    twin = "".join(own[1] for own in letters) * 2
+    assert toxicity.symbols_of(toxic_word).tolist() == toxicity.symbols_of(twin).tolist()
+    rows, labels = [], []
+    for i in range(900):
+        toxic = pick.random() < 0.2
+        words = [word() for _ in range(pick.choice([20, 60]))]
+        for _ in range(3):
+            words.insert(pick.randrange(len(words)), toxic_word if toxic else twin)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = toxicity.score_documents(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    truth = dict(labels)
+    held = [(r.predicted, truth[r.doc_id]) for r in out.collect() if r.held_out]
+    assert sum(p == t for p, t in held) >= 0.97 * len(held)
