@@ -19,7 +19,8 @@ it comes to the driver.
 
 The curve is fitted on a bounded sample, ``CURVE_ROWS``, of an eighth of these rows, scored by models
 of the other rows, so that no row's own counts speak for it; then the models take in the eighth too.
-The curve starts from fixed weights, to which few rows add little.
+The curve starts from fixed weights, to which few rows add little; where all labelled rows of a class
+are in the eighth, these weights stay.
 
 Defined results: a NULL text scores like an empty one, and an empty one has no evidence at all.
 Several labels of an id count as toxic if one does; rows without an id are scored and not learned
@@ -348,6 +349,14 @@ def fit_curve(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return weights
 
 
+def curve_weights(rows: DataFrame, found: DataFrame) -> np.ndarray:
+    """The curve's weights, fitted on a bounded sample of its rows."""
+    sample = rows.where("curve").join(found.hint("merge"), "key").withColumn("order", F.xxhash64("id"))
+    names = [f"apart_{name}" for name in EVIDENCE]
+    sample = sample.select("order", "label", *names).orderBy("order", "label").limit(CURVE_ROWS).toPandas()
+    return fit_curve(sample[names].to_numpy(float), sample["label"].to_numpy(float))
+
+
 def score_documents(
     df: DataFrame,
     labels: DataFrame,
@@ -366,8 +375,8 @@ def score_documents(
     source = df if learn_from is None else learn_from
     rows = materialize(labelled(source, labels, text, doc_id, label), "labelled")
     held_out = F.coalesce(fold(quoted(doc_id)) == HELD_OUT_FOLD, F.lit(False))
-    apart = {r["label"] for r in rows.where(~F.col("curve")).select("label").distinct().collect()}
-    if len(apart) < 2:
+    classes = rows.select("label", "curve").distinct().collect()
+    if len({r["label"] for r in classes}) < 2:
         score = F.lit(0.0)
         return _judged(df, {"held_out": held_out, "score": score}, threshold)
     blocks = number_of_blocks(df, text)
@@ -377,10 +386,10 @@ def score_documents(
     grams = materialize(gram_counts(texts, marks_of(rows, blocks), blocks), "grams")
     ratios = log_ratios(grams, grams.select("block", "h", "gram"))
     found = materialize(measured(texts, ratios).dropDuplicates(["key"]), "evidence")
-    sample = rows.where("curve").join(found.hint("merge"), "key").withColumn("order", F.xxhash64("id"))
-    names = [f"apart_{name}" for name in EVIDENCE]
-    sample = sample.select("order", "label", *names).orderBy("order", "label").limit(CURVE_ROWS).toPandas()
-    weights = fit_curve(sample[names].to_numpy(float), sample["label"].to_numpy(float))
+    # Without rows of both classes besides the curve's, no models could score these.
+    weights = START
+    if len({r["label"] for r in classes if not r["curve"]}) == 2:
+        weights = curve_weights(rows, found)
     total = F.lit(float(weights[-1]))
     for name, weight in zip(EVIDENCE, weights, strict=False):
         total = total + F.col(f"own_{name}") * float(weight)

@@ -189,3 +189,22 @@ def test_toxic_words_in_any_script(spark):
     truth = dict(labels)
     held = [(r.predicted, truth[r.doc_id]) for r in out.collect() if r.held_out]
     assert sum(p == t for p, t in held) >= 0.97 * len(held)
+
+
+def test_a_class_whose_rows_are_all_the_curves(spark):
+    import zlib
+
+    rows, labels = corpus(4, 400)
+    of_curve = lambda i: zlib.crc32(str(i).encode()) // 4 % 8 == 0
+    labels = [(i, t) for i, t in labels if not t or (of_curve(i) and not _held(i))]
+    assert sum(t for _, t in labels) > 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = toxicity.score_documents(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = out.collect()
+    zorg = {r.doc_id for r in found if "zorg" in r.text and r.held_out}
+    scores = {True: [], False: []}
+    for r in found:
+        if r.held_out:
+            scores[r.doc_id in zorg].append(r.score)
+    assert min(r.score for r in found) > 0
+    assert np.median(scores[True]) > 2 * np.median(scores[False])
