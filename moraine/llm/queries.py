@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moraine.llm import (
     ann,
     bpe,
     decontaminate,
+    exact_dedup,
     language,
+    lexical,
+    periodic,
     pii,
     secrets,
     sharding,
@@ -176,3 +182,102 @@ def op5_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.identify_language(documents)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op11_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = exact_dedup.with_copies(exact_dedup.with_recipes(documents).drop("text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLE_SQL["op11_chunk_recipe_dedup"] = """
+WITH docs AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS t,
+    length(coalesce(text, '')) AS n
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER best = 1 AS kept, sha256(t) AS text_sha256
+FROM docs WINDOW best AS (PARTITION BY t ORDER BY n DESC, doc_id NULLS LAST)
+"""
+
+
+@F.pandas_udf(T.StringType())
+def with_planted_runs(ids: pd.Series, texts: pd.Series) -> pd.Series:
+    """The contract's texts: of every tenth document the end repeats some of its words."""
+    return pd.Series(map(planted, ids, texts), dtype=object)
+
+
+def planted(doc_id: int | None, text: str | None) -> str | None:
+    """The text itself, or its words joined by a space if it is one of those that are rewritten."""
+    if pd.isna(doc_id) or text is None:
+        return text
+    g, rest = divmod(zlib.crc32(b"%d" % doc_id), 10)
+    words = periodic.words_of(text)
+    n = len(words)
+    if rest or not n:
+        return text
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    words[start:] = [words[start + (i - start) % period] for i in range(start, n)]
+    return b" ".join(words).decode()
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", with_planted_runs("doc_id", "text").alias("text")
+    )
+    found = periodic.find_runs(documents).withColumn("best", periodic.longest_run())
+    line = F.transform(
+        "runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"])
+    )
+    lines = F.array_join(F.transform(line, lambda text: F.concat(text, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
+
+
+@query
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.rank_documents(documents, table(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLE_SQL["op13_ranked_lexical_search"] = """
+WITH terms AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+docs AS (SELECT doc_id, r, w, CAST(len(w) AS BIGINT) AS n FROM terms WHERE len(w) > 0),
+totals AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM docs),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t
+  FROM benchmark),
+held AS (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs)
+  WHERE t IN (SELECT t FROM asked) GROUP BY r, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals GROUP BY t, nd),
+scores AS (
+  SELECT item_id, r, CAST(sum(
+    weights.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (t) JOIN weights USING (t) JOIN docs USING (r), totals
+  GROUP BY item_id, r),
+ranked AS (
+  SELECT item_id, doc_id, score, CAST(row_number() OVER (
+    PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scores JOIN docs USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

@@ -11,6 +11,7 @@ import public_tokenizers
 
 import __spark_entry__ as entry_points
 from moraine.llm import ann, bpe, pii, queries, simhash, token_counts
+from tests.llm.test_periodic import plain_collapsed, plain_runs
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -30,7 +31,7 @@ def sha(text):
 
 def test_one_query_for_each_operator():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].partition("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].partition("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_points.queries()
 
 
@@ -123,7 +124,7 @@ def test_op9(spark):
         scores = ann.distances(vectors, vectors[ids == q][0])
         order = [i for i in np.lexsort((ids, scores)) if ids[i] != q][:10]
         own = sorted((r for r in found if r.query_id == q), key=lambda r: r.rank)
-        assert [r.rank for r in own] == list(range(1, 11))
+        assert [r.rank for r in own] == list(range(1, 14))
         near += len({r.vec_id for r in own} & set(ids[order].tolist()))
         for r in own:
             assert r.score == pytest.approx(float(scores[ids == r.vec_id][0]), abs=1e-12)
@@ -139,3 +140,21 @@ def test_op10(spark, documents):
         assert row.base_sha256 == sha(spelled)
         assert [row.n_assign, row.n_access, row.n_hex] == [kinds.count(k) for k in ("assign", "access", "hex")]
         assert set(spelled.split(",")) <= set(row.spans.split(","))
+
+
+def test_op12(spark, documents):
+    for row in run(spark, "op12_periodic_runs").collect():
+        words = (documents[row.doc_id].text or "").encode().split()
+        g, rest = divmod(zlib.crc32(str(row.doc_id).encode()), 10)
+        if not rest and words:
+            n = len(words)
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+        runs = plain_runs(words)
+        best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+        expected = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        assert (row.start, row.length, row.period, row.exponent_milli) == expected
+        assert row.n_runs == len(runs)
+        assert row.runs_sha256 == sha("".join(f"{s},{n},{q}\n" for s, n, q in runs))
+        assert row.collapsed_sha256 == sha(b" ".join(plain_collapsed(words, runs)))
