@@ -6,6 +6,7 @@ few groups as their types allow, each group is one scan, and the union has one b
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 from moraine.functions.names import by_lower_name
 from moraine.operators.projection import conform_to_schema, union_by_name
 from moraine.settings import packed_lookups
+from moraine.sources.footers import footer_kinds, readable_by_tasks, resolved
 
 REJECT_SCHEMA = T.StructType(
     [
@@ -49,8 +51,8 @@ _DAMAGE = re.compile(
 )
 _BAD_FOOTER = "FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER"
 
-# Footers the driver reads side by side, once the files are known to differ.
-_FOOTER_THREADS = 16
+# Files that Spark tries side by side, each in a job of its own.
+_PROBES = 16
 
 
 @dataclass
@@ -155,35 +157,70 @@ def probe_schemas(
 ) -> tuple[list[tuple[T.StructType, list[str]]], list[tuple[str, str]]]:
     """Sets of files with the schema that reads them, and the files nothing can read.
 
-    All files are tried together, in one distributed job. Only if they differ, or one is damaged, are
-    their footers sorted by what they state, each read once more; then one job for each set of equal
-    footers gives its schema. The number of jobs goes with the kinds of files, not with the files.
+    The tasks of one job sort the footers by what they state. A kind of footer that holds the schema
+    of a Spark writer needs no more; for any other, a job over one file gives the schema. Files that
+    the tasks cannot make sense of are each tried by Spark, which says what is wrong. The number of
+    jobs goes with the kinds of files and the rejects, not with the files.
     """
     found: list[tuple[T.StructType, list[str]]] = []
     rejects: list[tuple[str, str]] = []
     files = sorted(set(paths))
     if not files:
         return found, rejects
+    kinds, suspects = _sorted_footers(spark, files)
+    schemas = {own[0]: _readable(stated) for stated, own in kinds if stated is not None}
+    # Threads carry on the caller's job group and scheduler pool.
+    asked = [own[0] for stated, own in kinds if stated is None] + suspects
+    probe = inheritable_thread_target(spark)(_probe)
+    with ThreadPoolExecutor(_PROBES) as pool:
+        schemas |= zip(asked, pool.map(lambda path: probe(spark, [path]), asked), strict=True)
+    for own in [own for _, own in kinds] + [[path] for path in suspects]:
+        schema = schemas[own[0]]
+        if isinstance(schema, T.StructType):
+            found.append((schema, own))
+        else:
+            rejects.extend((path, schema) for path in own)
+    return found, rejects
+
+
+def _sorted_footers(
+    spark: SparkSession, files: Sequence[str]
+) -> tuple[list[tuple[T.StructType | None, list[str]]], list[str]]:
+    """Files by kind of footer, with the schema if it is written there, and files to be tried."""
+    places = resolved(spark, files)
+    if not readable_by_tasks(list(places.values())):
+        return _sorted_by_driver(spark, files)
+    kinds: dict[str, list[str]] = {}
+    schemas: dict[str, T.StructType | None] = {}
+    suspects = []
+    for row in footer_kinds(spark, files).collect():  # a row for each file, as the paths were
+        if row.kind is None:
+            suspects.append(row.path)
+            continue
+        kinds.setdefault(row.kind, []).append(row.path)
+        if row.row_schema:
+            schemas[row.kind] = T.StructType.fromJson(json.loads(row.row_schema))
+    by_first = sorted((sorted(own), kind) for kind, own in kinds.items())
+    return [(schemas.get(kind), own) for own, kind in by_first], sorted(suspects)
+
+
+def _sorted_by_driver(
+    spark: SparkSession, files: Sequence[str]
+) -> tuple[list[tuple[T.StructType | None, list[str]]], list[str]]:
+    """The same on file systems that only the JVM opens: the driver reads footers, if files differ."""
     whole = _probe(spark, files)
     if isinstance(whole, T.StructType):
-        return [(whole, files)], rejects
+        return [(whole, list(files))], []
     kinds: dict[str, list[str]] = {}
-    # The threads carry on the caller's job group and scheduler pool.
+    suspects = []
     footer = inheritable_thread_target(spark)(_footer_reader(spark))
-    with ThreadPoolExecutor(_FOOTER_THREADS) as pool:
+    with ThreadPoolExecutor(_PROBES) as pool:
         for path, (sound, stated) in zip(files, pool.map(footer, files), strict=True):
             if sound:
                 kinds.setdefault(stated, []).append(path)
             else:
-                rejects.append((path, stated))
-    for own in kinds.values():
-        # Equal footers have one schema, so one file's gives it.
-        schema = _probe(spark, own[:1])
-        if isinstance(schema, T.StructType):
-            found.append((schema, own))
-        else:
-            rejects.extend((path, schema) for path in own)
-    return found, rejects
+                suspects.append(path)
+    return [(None, own) for own in kinds.values()], suspects
 
 
 def _needed_fields(file_schema: T.StructType, schema: T.StructType) -> dict[str, T.StructField]:

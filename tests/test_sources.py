@@ -83,7 +83,7 @@ def test_day_filter_on_the_union_prunes_each_scan(spark, folder):
     assert all("LessThan(o_orderdate,1995-02-04T00:00)" in line for line in pushed)
 
 
-def test_many_files_of_one_schema_are_one_scan_and_one_probe(spark, tmp_path, monkeypatch):
+def test_many_files_of_one_schema_are_one_scan_and_no_probe(spark, tmp_path, monkeypatch):
     spark.range(60).repartition(30).write.parquet(str(tmp_path / "a"))
     paths = m.collect_paths(m.list_landing_files(spark, str(tmp_path / "a"), r"\.parquet$"))
     probes = []
@@ -93,7 +93,7 @@ def test_many_files_of_one_schema_are_one_scan_and_one_probe(spark, tmp_path, mo
     )
     schema = T.StructType([T.StructField("id", T.LongType())])
     files = conform_union(spark, paths, schema)
-    assert len(paths) == 30 and probes == [30]
+    assert len(paths) == 30 and probes == []
     assert scans(plan_of(files.df)) == 1
     assert files.df.agg(F.sum("id")).first()[0] == sum(range(60))
 
@@ -116,11 +116,29 @@ def probes_of(spark, monkeypatch, folder, kinds):
 
 def test_number_of_probes_follows_the_kinds_of_files(spark, monkeypatch, tmp_path):
     drift = ["int"] * 30 + ["bigint"] * 20 + ["double"] * 10
-    assert probes_of(spark, monkeypatch, tmp_path / "a", drift) == ([10, 20, 30], 4)
+    assert probes_of(spark, monkeypatch, tmp_path / "a", drift) == ([10, 20, 30], 0)
+
+
+def test_files_of_other_writers_take_a_probe_for_each_kind(spark, monkeypatch, tmp_path):
+    paths = []
+    for n in range(12):
+        kind = ("INTEGER", "DOUBLE", "VARCHAR")[n % 3]
+        paths.append(f"{tmp_path}/{n}.parquet")
+        duckdb.connect().execute(f"COPY (SELECT CAST({n} AS {kind}) AS v) TO '{paths[-1]}' (FORMAT parquet)")
+    probes, real = [], conformed._merged_schema
+    monkeypatch.setattr(conformed, "_merged_schema", lambda s, p: probes.append(len(p)) or real(s, p))
+    files = conform_union(spark, paths, T.StructType([T.StructField("v", T.DoubleType())]))
+    assert probes == [1, 1, 1] and files.df.agg(F.sum("v")).first()[0] == sum(range(12))
+
+
+def test_no_footer_is_opened_by_the_driver(spark, folder, monkeypatch):
+    monkeypatch.delattr(conformed, "_footer_reader")
+    files = conform_union(spark, paths_in(spark, folder), ORDERS_SCHEMA)
+    assert files.df.count() == len(expected_orders()) and files.rejected == 1
 
 
 def test_kinds_that_alternate_take_fewer_jobs_than_files(spark, monkeypatch, tmp_path):
-    assert probes_of(spark, monkeypatch, tmp_path / "a", ["int", "double"] * 48) == ([48, 48], 3)
+    assert probes_of(spark, monkeypatch, tmp_path / "a", ["int", "double"] * 48) == ([48, 48], 0)
 
 
 def test_columns_outside_the_schema_do_not_split_groups(spark, tmp_path):
