@@ -111,6 +111,21 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [col.name.lower() for col in listed if col.isPartition]
 
 
+def partition_values(spark: SparkSession, table: str) -> list[dict[str, str | None]]:
+    """The registered partitions as columns and texts, None for the default partition's value."""
+    out = []
+    for row in show_partitions(spark, table).collect():
+        pairs = [part.split("=", 1) for part in row.partition.split("/")]
+        out.append({name: _unescaped(value) for name, value in pairs})
+    return out
+
+
+def _unescaped(value: str) -> str | None:
+    if value in ("__HIVE_DEFAULT_PARTITION__", "null"):
+        return None
+    return re.sub("%([0-9A-Fa-f]{2})", lambda found: chr(int(found.group(1), 16)), value)
+
+
 def _table_facts(spark: SparkSession, table: str) -> dict[str, str]:
     rows = describe_table(spark, table, extended=True).collect()
     names = [row.col_name for row in rows]

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from moraine.catalog.tables import WRITE_TASK_BYTES, overwrite_partitions, partition_columns, refuse_to_replace
+from moraine.catalog.tables import WRITE_TASK_BYTES, overwrite_partitions, partition_columns
 from moraine.operators.checks import daily_counts_sql, table_name
 from moraine.operators.projection import with_date_parts
+from moraine.plans.rejected import guard_partitions
 from moraine.sources.conformed import conform_union
 from moraine.sources.landing import collect_paths, list_landing_files
 
@@ -50,6 +51,6 @@ def backfill(
     )
     rows = with_date_parts(files.df, date_column, null_dates)
     if files.rejected and not replace_despite_rejects:
-        refuse_to_replace(rows, table, files.rejected)
+        guard_partitions(rows, files, table, time_column, date_column, zone, null_dates)
     overwrite_partitions(rows, table, cluster=cluster, task_bytes=task_bytes)
     return daily_counts_sql(spark, table, date_column, count_column)

@@ -12,11 +12,11 @@ from moraine.catalog.tables import (
     WRITE_TASK_BYTES,
     create_external_table,
     overwrite_partitions,
-    refuse_to_replace,
     show_partitions,
 )
 from moraine.functions.names import require
 from moraine.operators.projection import with_date_parts
+from moraine.plans.rejected import guard_partitions
 from moraine.sources.conformed import conform_union
 from moraine.sources.landing import collect_paths, list_landing_files
 
@@ -70,7 +70,7 @@ def ingest(
     kinds = {name: rows.schema[name].dataType.simpleString() for name in partitions}
     create_external_table(spark, table, rows.schema, location, kinds)
     if files.rejected and not replace_despite_rejects:
-        refuse_to_replace(rows, table, files.rejected)
+        guard_partitions(rows, files, table, time_column, date_column, zone, null_dates)
     overwrite_partitions(rows, table, cluster=cluster, task_bytes=task_bytes)
     return IngestResult(
         spark.table(table), show_partitions(spark, table), files.rejects, files.rejected

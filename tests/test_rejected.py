@@ -1,0 +1,147 @@
+"""Which partitions files touch, told from footers, against reading them."""
+
+import datetime as dt
+import random
+
+import pytest
+
+import moraine as m
+from moraine.catalog.tables import partition_values
+from moraine.plans import rejected
+from moraine.settings import PARQUET_SETTINGS
+
+SCHEMA = "id bigint, at timestamp_ntz"
+PATTERN = r"/\w+\.parquet$"
+
+
+@pytest.fixture(autouse=True)
+def stated_times(settings):
+    for key, value in PARQUET_SETTINGS.items():
+        settings(key, value)
+
+
+def drop(spark, tmp_path, name, days, kind="timestamp_ntz"):
+    """A file with a row for each day; None is a row without a time."""
+    rows = [(i, None if d is None else dt.datetime(2024, 1, d, 12)) for i, d in enumerate(days)]
+    frame = spark.createDataFrame(rows, SCHEMA).selectExpr("id", f"cast(at as {kind}) as at")
+    frame.coalesce(1).write.parquet(str(tmp_path / f"_{name}"))
+    folder = tmp_path / "raw"
+    folder.mkdir(exist_ok=True)
+    next((tmp_path / f"_{name}").glob("*.parquet")).rename(folder / f"{name}.parquet")
+    return str(folder)
+
+
+def run(spark, database, tmp_path, partition_by=("day_of",), **options):
+    schema = spark.createDataFrame([], "id bigint, at timestamp").schema
+    return m.ingest(
+        spark, str(tmp_path / "raw"), PATTERN, schema, f"{database}.t", str(tmp_path / "t"), "at", "day_of",
+        partition_by=partition_by, **options,
+    )
+
+
+@pytest.fixture
+def scans(monkeypatch):
+    """The frames that were read to find out."""
+    asked, real = [], rejected.refuse_to_replace
+    monkeypatch.setattr(rejected, "refuse_to_replace", lambda *a: asked.append(a[0]) or real(*a))
+    return asked
+
+
+def spoil(tmp_path, name="spoilt"):
+    (tmp_path / "raw" / f"{name}.parquet").write_text("not parquet")
+
+
+def test_days_at_the_ends_are_refused_unread(spark, database, tmp_path, scans):
+    drop(spark, tmp_path, "a", [3, 4, 9])
+    run(spark, database, tmp_path)
+    spoil(tmp_path)
+    with pytest.raises(m.IncompletePartitions, match="day_of=2024-01-03.*day_of=2024-01-09"):
+        run(spark, database, tmp_path)
+    assert scans == []
+
+
+def test_days_no_row_group_spans_are_written_without_another_scan(spark, database, tmp_path, scans):
+    drop(spark, tmp_path, "a", [3, 4])
+    run(spark, database, tmp_path)
+    (tmp_path / "raw" / "a.parquet").unlink()
+    drop(spark, tmp_path, "b", [5, 8])
+    spoil(tmp_path)
+    assert run(spark, database, tmp_path).rejected == 1
+    assert scans == [] and spark.table(f"{database}.t").count() == 4
+
+
+@pytest.mark.parametrize("middle, refused", [([5, 6, 8], True), ([5, 8], False)])
+def test_days_between_are_read_and_no_others(spark, database, tmp_path, scans, middle, refused):
+    drop(spark, tmp_path, "a", [6])
+    run(spark, database, tmp_path)
+    (tmp_path / "raw" / "a.parquet").unlink()
+    drop(spark, tmp_path, "b", middle)
+    spoil(tmp_path)
+    if refused:
+        with pytest.raises(m.IncompletePartitions, match="2024-01-06"):
+            run(spark, database, tmp_path)
+    else:
+        assert run(spark, database, tmp_path).rejected == 1
+    plan = scans[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(scans) == 1 and "GreaterThanOrEqual(at,2024-01-06" in plan
+
+
+def test_months_and_text_times(spark, database, tmp_path, scans):
+    drop(spark, tmp_path, "a", [3])
+    run(spark, database, tmp_path, ("year", "month"))
+    spoil(tmp_path)
+    with pytest.raises(m.IncompletePartitions, match="year=2024,month=01"):
+        run(spark, database, tmp_path, ("year", "month"))
+    assert scans == []
+    (tmp_path / "raw" / "a.parquet").unlink()
+    drop(spark, tmp_path, "b", [4], "string")
+    with pytest.raises(m.IncompletePartitions, match="year=2024,month=01"):
+        run(spark, database, tmp_path, ("year", "month"))
+    assert len(scans) == 1
+
+
+def test_rows_without_a_time(spark, database, tmp_path, scans):
+    drop(spark, tmp_path, "a", [None, 3])
+    run(spark, database, tmp_path, null_dates="keep")
+    (tmp_path / "raw" / "a.parquet").unlink()
+    drop(spark, tmp_path, "b", [None, 5])
+    spoil(tmp_path)
+    with pytest.raises(m.IncompletePartitions, match="day_of=None"):
+        run(spark, database, tmp_path, null_dates="keep")
+    assert run(spark, database, tmp_path, null_dates="drop").rejected == 1 and scans == []
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_footers_and_rows_agree(spark, database, tmp_path, seed):
+    rng = random.Random(seed)
+    for i in range(3):
+        days = [rng.choice([None, *range(1, 12)]) for _ in range(rng.randrange(1, 5))]
+        drop(spark, tmp_path, f"f{i}", days, rng.choice(["timestamp_ntz", "timestamp", "date"]))
+    drop(spark, tmp_path, "g0", [rng.randrange(1, 12)])
+    schema = spark.createDataFrame([], "id bigint, at timestamp").schema
+    paths = m.collect_paths(m.list_landing_files(spark, str(tmp_path / "raw"), r"/f\w+\.parquet$"))
+    files = m.conform_union(spark, paths, schema, event_date=("at", "day_of"))
+    touched = rejected.touched_days(spark, files, "at")
+    own = {r.day_of for r in files.df.select("day_of").distinct().collect()}
+    assert touched.undated == (None in own)
+    ends = {end for span in touched.spans for end in (span.first, span.last)}
+    assert ends <= own
+    assert all(any(s.first <= day <= s.last for s in touched.spans) for day in own - {None})
+
+
+def test_partition_days():
+    days = rejected.partition_days
+    assert days({"d": "2024-01-05"}, "D") == rejected.Days(dt.date(2024, 1, 5), dt.date(2024, 1, 5))
+    assert days({"year": "2024", "month": "02"}, "d").last == dt.date(2024, 2, 29)
+    assert days({"year": "2024", "month": "12"}, "d").last == dt.date(2024, 12, 31)
+    assert days({"YEAR": "2024"}, "d").first == dt.date(2024, 1, 1)
+    assert days({"year": "2024", "month": "3", "day": "9"}, "d").first == dt.date(2024, 3, 9)
+    assert days({"year": "2024", "day": "9"}, "d") is None
+    assert days({"month": "3"}, "d") is None and days({"d": None}, "d") is None
+
+
+def test_partition_values(spark, database, tmp_path):
+    frame = spark.createDataFrame([(1, "a b/c=%"), (2, None)], "id int, p string")
+    m.save_external_table(frame, f"{database}.odd", str(tmp_path / "odd"), ["p"])
+    found = [values["p"] for values in partition_values(spark, f"{database}.odd")]
+    assert sorted(found, key=str) == [None, "a b/c=%"]
