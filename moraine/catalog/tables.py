@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from moraine.functions.names import by_lower_name, column, quoted, require
 from moraine.operators.checks import table_name
 from moraine.operators.projection import align_to_table
-from moraine.settings import PARTITION_OVERWRITE_SETTINGS, scoped_settings
+from moraine.settings import PARTITION_OVERWRITE_SETTINGS, packed_lookups, scoped_settings
 
 # Shuffled bytes a write task takes on, and so about the largest file it writes.
 WRITE_TASK_BYTES = "128m"
@@ -145,31 +145,37 @@ def _qualified(spark: SparkSession, location: str) -> str:
     return file_system.makeQualified(path).toString().rstrip("/")
 
 
-def _check_layout(spark: SparkSession, location: str, partition_by: Sequence[str]) -> None:
-    """One layout per location: raise if its folders are partitions by other columns.
+def layouts(spark: SparkSession, location: str) -> list[list[str]]:
+    """The different sequences of partition columns by which files at a location lie in folders.
 
-    One branch of folders is walked down, so that all levels are compared, and their order.
+    Folders are listed by the tasks of one job where there are many, and only what differs comes to
+    the driver. Hidden files do not count. A file that lies in no partition folder has an empty one.
     """
     path, file_system = _file_system(spark, location)
-    wanted, found = [name.lower() for name in partition_by], []
-
-    def listed(parent: str, pattern: str):
-        literal = re.sub(r"([\\\[\]{}*?])", r"\\\1", parent)
-        return file_system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{literal}/{pattern}"))
-
-    # The listings stay in the JVM: only their lengths and one name of each level come over.
-    folder = path.toString()
-    while folders := listed(folder, "*=*") or ():
-        name = folders[0].getPath().getName().split("=", 1)[0]
-        own = listed(folder, re.sub(r"([\\\[\]{}*?])", r"\\\1", name) + "=*")
-        found.append(name.lower())
-        if len(own) != len(folders) or found != wanted[: len(found)]:
-            names = {f.getPath().getName().split("=", 1)[0].lower() for f in folders}
-            found[-1:] = sorted(names)
-            break
-        folder = own[0].getPath().toString()
-    if found and found != wanted:
-        raise TableMismatch(f"{location} already holds folders by {found}, not by {list(partition_by)}")
+    if not file_system.exists(path):
+        return []
+    root = _qualified(spark, location)
+    literal = re.sub(r"([\\\[\]{}*?])", r"\\\1", root)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    with packed_lookups(spark):
+        files = reader.load(literal).select("path")
+    inside = F.split(F.col("path").substr(F.lit(len(root) + 2), F.length("path")), "/")
+    folders = F.slice(inside, 1, F.size(inside) - 1)
+    names = F.transform(
+        F.filter(folders, lambda folder: folder.contains("=")),
+        lambda folder: F.lower(F.substring_index(folder, "=", 1)),
+    )
+    return sorted(row.names for row in files.select(names.alias("names")).distinct().collect())
+
+
+def _check_layout(spark: SparkSession, location: str, partition_by: Sequence[str]) -> None:
+    """One layout per location: raise if any of its folders are partitions by other columns."""
+    wanted = [name.lower() for name in partition_by]
+    others = [found for found in layouts(spark, location) if found != wanted]
+    if others:
+        raise TableMismatch(
+            f"{location} already holds folders by {others}, not by {list(partition_by)}"
+        )
 
 
 # --- writing ------------------------------------------------------------------------------------

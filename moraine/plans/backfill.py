@@ -10,6 +10,7 @@ from moraine.operators.checks import daily_counts_sql, table_name
 from moraine.operators.projection import with_date_parts
 from moraine.plans.rejected import guard_partitions
 from moraine.sources.conformed import conform_union
+from moraine.sources.damage import naming_damage
 from moraine.sources.landing import collect_paths, list_landing_files
 
 _DATE_PARTS = ("year", "month", "day")
@@ -52,5 +53,6 @@ def backfill(
     rows = with_date_parts(files.df, date_column, null_dates)
     if files.rejected and not replace_despite_rejects:
         guard_partitions(rows, files, table, time_column, date_column, zone, null_dates)
-    overwrite_partitions(rows, table, cluster=cluster, task_bytes=task_bytes)
+    with naming_damage(spark, files):
+        overwrite_partitions(rows, table, cluster=cluster, task_bytes=task_bytes)
     return daily_counts_sql(spark, table, date_column, count_column)

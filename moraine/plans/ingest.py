@@ -18,6 +18,7 @@ from moraine.functions.names import require
 from moraine.operators.projection import with_date_parts
 from moraine.plans.rejected import guard_partitions
 from moraine.sources.conformed import conform_union
+from moraine.sources.damage import naming_damage
 from moraine.sources.landing import collect_paths, list_landing_files
 
 
@@ -71,7 +72,8 @@ def ingest(
     create_external_table(spark, table, rows.schema, location, kinds)
     if files.rejected and not replace_despite_rejects:
         guard_partitions(rows, files, table, time_column, date_column, zone, null_dates)
-    overwrite_partitions(rows, table, cluster=cluster, task_bytes=task_bytes)
+    with naming_damage(spark, files):
+        overwrite_partitions(rows, table, cluster=cluster, task_bytes=task_bytes)
     return IngestResult(
         spark.table(table), show_partitions(spark, table), files.rejects, files.rejected
     )

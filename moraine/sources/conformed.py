@@ -91,7 +91,7 @@ def _damage(error: Exception) -> str | None:
     return f"{_BAD_FOOTER}: {found.group()}" if found else None
 
 
-def _literal_path(path: str) -> str:
+def literal_path(path: str) -> str:
     """A path in which no character is taken for a wildcard."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
@@ -104,7 +104,7 @@ _READ_ALL = {"ignoreCorruptFiles": "false", "ignoreMissingFiles": "false"}
 def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
     """The schema of all the files; their footers are read in one distributed job."""
     reader = spark.read.options(mergeSchema="true", **_READ_ALL)
-    return reader.parquet(*[_literal_path(path) for path in paths]).schema
+    return reader.parquet(*[literal_path(path) for path in paths]).schema
 
 
 def _readable(schema: T.StructType) -> T.StructType | str:
@@ -309,7 +309,7 @@ def _conform_union(
     frames = []
     for group in groups:
         reader = spark.read.schema(group.schema).options(**_READ_ALL)
-        files = reader.parquet(*[_literal_path(path) for path in group.paths])
+        files = reader.parquet(*[literal_path(path) for path in group.paths])
         frames.append(conform_to_schema(files, schema, zone, event_date))
     if not frames:
         frames = [conform_to_schema(_empty_frame(spark, schema), schema, zone, event_date)]

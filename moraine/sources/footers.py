@@ -162,6 +162,15 @@ def _spelled(value) -> str | None:
     return value.isoformat(" ") if hasattr(value, "hour") else str(value)
 
 
+def _ends(facts) -> tuple[str | None, str | None]:
+    if facts is None or not facts.has_min_max:
+        return None, None
+    try:
+        return _spelled(facts.min), _spelled(facts.max)
+    except pa.ArrowNotImplementedError:  # INT96 has no order
+        return None, None
+
+
 def read_footers(
     spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:
@@ -191,11 +200,10 @@ def read_footers(
                     continue
                 facts = chunk.statistics if chunk.is_stats_set else None
                 nulls = facts.null_count if facts and facts.has_null_count else None
-                known = facts is not None and facts.has_min_max
                 yield (
                     path, None, footer.created_by, number, group.num_rows, column.path,
                     column.physical_type, str(column.logical_type), nulls,
-                    _spelled(facts.min) if known else None, _spelled(facts.max) if known else None,
+                    *_ends(facts),
                 )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,0 +1,50 @@
+"""Damage behind sound footers is named, file by file."""
+
+import pytest
+from pyspark.sql import types as T
+
+import moraine as m
+from moraine.sources import damage
+from tests.plans import plan_of
+
+SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampType())])
+SQL = "SELECT id, timestamp '2024-01-05' AS at, xxhash64(id) AS v FROM range(60000)"
+
+
+def drop(spark, tmp_path, name, spoil=None):
+    """A file with several row groups; ``spoil`` says which part of its bytes is overwritten."""
+    frame = spark.sql(SQL).coalesce(1)
+    frame.write.option("parquet.block.size", "200000").parquet(str(tmp_path / f"_{name}"))
+    data = bytearray(next((tmp_path / f"_{name}").glob("*.parquet")).read_bytes())
+    if spoil:
+        begin, end = int(len(data) * spoil[0]), int(len(data) * spoil[1])
+        data[begin:end] = bytes(end - begin)
+    folder = tmp_path / "raw"
+    folder.mkdir(exist_ok=True)
+    (folder / f"{name}.parquet").write_bytes(data)
+
+
+def test_all_damaged_files_are_named(spark, database, tmp_path):
+    drop(spark, tmp_path, "sound")
+    drop(spark, tmp_path, "early", (0.001, 0.1))
+    drop(spark, tmp_path, "late ä%41", (0.7, 0.8))
+    with pytest.raises(damage.DamagedFiles) as caught:
+        m.ingest(
+            spark, str(tmp_path / "raw"), r"\.parquet$", SCHEMA, f"{database}.t", str(tmp_path / "t"), "at", "d"
+        )
+    named = {d.path.rsplit("/", 1)[1]: d for d in caught.value.damages}
+    assert set(named) == {"early.parquet", "late ä%41.parquet"}
+    assert named["early.parquet"].row_group == 0 and named["late ä%41.parquet"].row_group > 0
+    assert all(d.reason for d in named.values())
+    assert spark.table(f"{database}.t").count() == 0
+
+
+def test_other_failures_stay_what_they_are(spark, tmp_path):
+    drop(spark, tmp_path, "sound")
+    paths = m.collect_paths(m.list_landing_files(spark, str(tmp_path / "raw")))
+    files = m.conform_union(spark, paths, SCHEMA)
+    with pytest.raises(ZeroDivisionError):
+        with damage.naming_damage(spark, files):
+            raise ZeroDivisionError
+    assert damage.damaged_files(spark, paths, files.groups[0].schema) == []
+    assert "ignoreCorruptFiles" not in plan_of(files.df)

@@ -73,7 +73,7 @@ def test_odd_names_and_uris(spark, tmp_path):
     source = written(spark, tmp_path / "a", "SELECT 7 AS v")
     with open(source, "rb") as file:
         (target / "x +%41.parquet").write_bytes(file.read())
-    listed = m.collect_paths(m.list_landing_files(spark, conformed._literal_path(str(target))))
+    listed = m.collect_paths(m.list_landing_files(spark, conformed.literal_path(str(target))))
     for paths in (listed, [str(target / "x +%41.parquet")], [p.replace("file:/", "file:///") for p in listed]):
         assert [r.problem for r in footers.footer_kinds(spark, paths).collect()] == [None]
 

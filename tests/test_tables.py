@@ -313,3 +313,37 @@ def test_shuffle_partitions_follow_the_session(spark, monkeypatch):
     monkeypatch.setattr(tables, "_EXACT_SIZES", ("spark.no.such.setting", "300"))
     plan = m.cluster_for_write(df, ["p"])._jdf.queryExecution().analyzed().toString()
     assert "300" in plan.split("Rebalance")[1].splitlines()[0]
+
+
+def test_every_folder_of_a_location_is_looked_at(spark, database, tmp_path):
+    root = tmp_path / "mixed"
+    for folder in ("y=1/mth=1", "y=2/week=1"):
+        spark.range(1).coalesce(1).write.parquet(str(root / folder))
+    schema = spark.range(0).schema
+    with pytest.raises(m.TableMismatch, match="'y', 'mth'.*'y', 'week'|'y', 'week'"):
+        m.create_external_table(spark, f"{database}.t", schema, str(root), {"y": "int", "mth": "int"})
+    (root / "y=2").rename(tmp_path / "y=2")
+    m.create_external_table(spark, f"{database}.t", schema, str(root), {"y": "int", "mth": "int"})
+
+
+def test_data_beside_partition_folders_is_refused_and_hidden_files_are_not(spark, database, tmp_path):
+    root = tmp_path / "beside"
+    spark.range(1).coalesce(1).write.parquet(str(root / "p=1"))
+    (root / "_SUCCESS").write_text("")
+    schema = spark.range(0).schema
+    m.create_external_table(spark, f"{database}.a", schema, str(root), {"p": "int"})
+    source = next((root / "p=1").glob("*.parquet"))
+    (root / "stray.parquet").write_bytes(source.read_bytes())
+    with pytest.raises(m.TableMismatch, match="already holds folders by"):
+        m.create_external_table(spark, f"{database}.b", schema, str(root), {"p": "int"})
+
+
+def test_many_folders_are_listed_in_one_go(spark, tmp_path):
+    from moraine.catalog.tables import layouts
+
+    for i in range(3000):
+        folder = tmp_path / "many" / f"a={i % 60}" / f"B={i}"
+        folder.mkdir(parents=True)
+        (folder / "x.parquet").write_bytes(b"PAR1")
+    assert layouts(spark, str(tmp_path / "many")) == [["a", "b"]]
+    assert layouts(spark, str(tmp_path / "gone")) == []
