@@ -38,10 +38,13 @@ from moraine.plans.ingest import ingest
 from moraine.plans.preview import typed_preview
 from moraine.plans.sales import save_rows
 from moraine.sources.conformed import conform_union
+from moraine.sources.damage import DamagedFiles
+from moraine.sources.footers import read_footers
 from moraine.sources.landing import collect_paths, list_landing_files
 from moraine.sources.scans import literal_rows, scan_glob, scan_parquet
 
 __all__ = [
+    "DamagedFiles",
     "IncompletePartitions",
     "TableMismatch",
     "align_to_columns",
@@ -70,6 +73,7 @@ __all__ = [
     "overwrite_partitions",
     "partition_equals",
     "preview",
+    "read_footers",
     "repair_partitions",
     "safe_date",
     "save_external_table",

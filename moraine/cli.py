@@ -36,8 +36,9 @@ def types_of(text: str) -> dict[str, str]:
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="moraine", description=__doc__)
     parser.add_argument(
-        "--rows", type=int, help="print so many rows and the total (default: 20 of data, all else)"
+        "--rows", type=int, help="print so many rows (default: 20 of data, all of anything else)"
     )
+    parser.add_argument("--total", action="store_true", help="also count all rows of what is printed")
     commands = parser.add_subparsers(dest="command", required=True)
 
     def command(name: str, help: str, *arguments: str) -> argparse.ArgumentParser:
@@ -103,11 +104,12 @@ REJECTED = 3  # exit code of a job that left files out
 
 @dataclass
 class Outcome:
-    """The frames there are to show, how many rows of each, and the exit code."""
+    """The frames there are to show, how many rows of each, whether to count all, the exit code."""
 
     frames: list[DataFrame]
     rows: int | None = None
     code: int = 0
+    total: bool = False
 
 
 def run(spark: SparkSession, argv: Sequence[str]) -> list[DataFrame]:
@@ -118,7 +120,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> list[DataFrame]:
 def do(spark: SparkSession, argv: Sequence[str]) -> Outcome:
     """Do one command in the caller's session."""
     args = vars(_parser().parse_args(argv))
-    name, rows = args.pop("command"), args.pop("rows")
+    name, rows, total = args.pop("command"), args.pop("rows"), args.pop("total")
     if rows is None and name in _DATA:
         rows = SHOWN_ROWS
     if name == "ingest":
@@ -131,8 +133,8 @@ def do(spark: SparkSession, argv: Sequence[str]) -> Outcome:
             if kept:
                 result.rejects.coalesce(1).write.mode("overwrite").csv(kept, header=True)
         code = REJECTED if result.rejected else 0
-        return Outcome([result.partitions, result.rejects], rows, code)
-    return Outcome(_frames(spark, name, args), rows)
+        return Outcome([result.partitions, result.rejects], rows, code, total)
+    return Outcome(_frames(spark, name, args), rows, total=total)
 
 
 def _frames(spark: SparkSession, name: str, args: dict) -> list[DataFrame]:
@@ -170,13 +172,17 @@ def _frames(spark: SparkSession, name: str, args: dict) -> list[DataFrame]:
         return [spark.createDataFrame([(location,)], "location string")]
 
 
-def show(df: DataFrame, rows: int | None) -> None:
-    """Print the frame, all of it or its first rows and how many there are."""
-    total = df.count()
-    shown = total if rows is None else min(rows, total)
-    df.show(shown, truncate=False)
-    if shown < total:
-        print(f"{shown} of {total} rows")
+def show(df: DataFrame, rows: int | None, total: bool = False) -> None:
+    """Print the frame, all of it or its first rows; how many there are in all only on request.
+
+    For the first rows no more than these and one more are computed, by which Spark tells that there
+    are others.
+    """
+    if rows is None:
+        rows = max(df.count(), 1)  # the catalog, rejects and counts of days
+    df.show(rows, truncate=False)
+    if total:
+        print(f"{df.count()} rows in all")
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -185,7 +191,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     try:
         outcome = do(spark, argv)
         for df in outcome.frames:
-            show(df, outcome.rows)
+            show(df, outcome.rows, outcome.total)
     finally:
         spark.stop()
     if outcome.code:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.functions.zones import wall_clock_of
+from moraine.functions.zones import instant_of_text, wall_clock_of
 
 TEXT_TYPES = (T.StringType, T.CharType, T.VarcharType)
 ISO_FORMAT = "yyyy-MM-dd"
@@ -45,7 +45,11 @@ def local_date(
 
     Zone-less times already show that zone's clock, so their date is taken directly and never by way
     of an instant; instants are first turned into that clock. Numbers are seconds since the epoch.
+    Text without ``fmt`` is an event time: it has the date of the instant it is converted to, so an
+    offset in it counts, and what is no time has no date.
     """
+    if isinstance(data_type, TEXT_TYPES) and fmt is None:
+        value, data_type = instant_of_text(value, zone, session), T.TimestampType()
     if isinstance(data_type, T.NumericType):
         value, data_type = value.try_cast(T.TimestampType()), T.TimestampType()
     if isinstance(data_type, T.TimestampType):

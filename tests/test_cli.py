@@ -92,10 +92,16 @@ def test_nothing_is_cut_off_and_rejects_are_kept(spark, database, tmp_path, caps
     assert spark.read.csv(str(tmp_path / "rejects"), header=True).count() == 31
 
 
-def test_data_is_cut_off_with_its_total(spark, capsys):
+def test_previews_fetch_what_they_print_and_count_on_request(spark, capsys, monkeypatch):
     outcome = do(spark, ["--rows", "5", "sql", "SELECT * FROM range(100)"])
-    show(outcome.frames[0], outcome.rows)
-    assert "5 of 100 rows" in capsys.readouterr().out
+    [df] = outcome.frames
+    counted, real = [], type(df).count
+    monkeypatch.setattr(type(df), "count", lambda self: counted.append(1) or real(self))
+    show(df, outcome.rows, outcome.total)
+    assert "only showing top 5 rows" in capsys.readouterr().out and not counted
+    outcome = do(spark, ["--rows", "5", "--total", "sql", "SELECT * FROM range(100)"])
+    show(outcome.frames[0], outcome.rows, outcome.total)
+    assert "100 rows in all" in capsys.readouterr().out and counted
     assert do(spark, ["sql", "SELECT 1"]).rows == 20 and do(spark, ["tables"]).rows is None
 
 

@@ -42,6 +42,31 @@ ORACLE_SQL: dict[str, str] = {
     "derive_date_parts": f"""
 SELECT * REPLACE (epoch_us(ts) AS ts), CAST(ts AS DATE) AS pickup_date, {_EVENT_PARTS}
 FROM (SELECT * REPLACE (CASE WHEN event_type <> 'error' THEN ts END AS ts) FROM events) AS e
+""",
+    "text_event_times": """
+SELECT o_orderkey, micros, day AS order_date, day AS conformed_date,
+       strftime(day, '%Y') AS year, strftime(day, '%m') AS month, strftime(day, '%d') AS day
+FROM (SELECT o_orderkey,
+             CASE WHEN o_orderkey % 50 <> 7 THEN epoch_us(o_orderdate) END AS micros,
+             CASE WHEN o_orderkey % 50 <> 7 THEN CAST(o_orderdate AS DATE) END AS day
+      FROM orders) AS o
+""",
+    "missing_event_time": """
+SELECT event_type, count(1) AS events, 'raised' AS outcome FROM events GROUP BY event_type
+""",
+    "failing_insert": f"SELECT *, 'raised' AS outcome FROM ({_EVENT_DAYS}) AS e",
+    "parquet_write_options": """
+WITH e AS (SELECT CAST(ts AS DATE) AS d, CAST(CAST(ts AS DATE) - INTERVAL 6000 MONTH AS DATE) AS old
+           FROM events)
+SELECT 'ts' AS "column", 'INT64' AS physical_type, 'microseconds' AS time_unit, count(1) AS rows,
+       count(1) - count(d) AS nulls, CAST(min(d) AS VARCHAR) AS first_day, CAST(max(d) AS VARCHAR) AS last_day
+FROM e
+UNION ALL
+SELECT 'old_date', 'INT32', '', count(1), count(1) - count(old), CAST(min(old) AS VARCHAR),
+       CAST(max(old) AS VARCHAR) FROM e
+UNION ALL
+SELECT 'old_time', 'INT64', 'microseconds', count(1), count(1) - count(old), CAST(min(old) AS VARCHAR),
+       CAST(max(old) AS VARCHAR) FROM e
 """,
     "date_parts_substr": """
 SELECT event_id, substr(day_text, 1, 4) AS year, substr(day_text, 6, 2) AS month,
@@ -153,3 +178,4 @@ FROM orders WHERE o_orderdate IS NOT NULL AND NOT (year(o_orderdate) = 1996 AND
 """,
     "backfill_daily_counts": _DAILY_COUNTS,
 }
+ORACLE_SQL["mounted_ingest"] = f"SELECT *, 'viewfs' AS scheme FROM ({ORACLE_SQL['ingest_partitioned']}) AS o"

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 import moraine as m
 from moraine.functions.names import column
 from moraine.presets import SALES_ROWS, SALES_SCHEMA
-from workload.scratch import new_database, new_folder
+from moraine.settings import PARQUET_SETTINGS, scoped_settings
+from workload.scratch import mount_folders, new_database, new_folder
 from workload.staging import (
     MONTH_FILES,
     ORDERS_FILES,
@@ -20,6 +21,7 @@ from workload.staging import (
     lake,
     landing_zone,
     table,
+    time_text,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +106,35 @@ def derive_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_micros(dated)
 
 
+@query
+def text_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times written as text, some with an offset and some spoilt, dated by both ways there are."""
+    orders = table(spark, sf_dir, "orders")
+    written = orders.select("o_orderkey", time_text(F.col("o_orderdate"), F.col("o_orderkey")).alias("at"))
+    dated = m.derive_date_columns(written, "at", "order_date", null_dates="keep")
+    schema = T.StructType(
+        [T.StructField("o_orderkey", T.LongType()), T.StructField("at", T.TimestampType())]
+    )
+    conformed = m.conform_to_schema(written, schema, event_date=("at", "conformed_date"))
+    both = conformed.select(
+        "o_orderkey", F.unix_micros("at").alias("micros"), "conformed_date"
+    )
+    return dated.drop("at").join(both, "o_orderkey")
+
+
+@query
+def missing_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that is not there is not replaced by another one: the error says so."""
+    events = table(spark, sf_dir, "events")
+    try:
+        m.derive_date_columns(events.withColumnRenamed("ts", "event_time"), "ts")
+        outcome = "dated"
+    except ValueError as error:
+        outcome = "raised" if "ts" in str(error) else "raised something else"
+    counted = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    return counted.withColumn("outcome", F.lit(outcome))
+
+
 @query
 def date_parts_substr(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = m.date_parts_by_substring(F.to_date("ts"))
@@ -314,6 +345,48 @@ def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_micros(spark.table(name))
 
 
+@query
+def failing_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An insert that fails on a few rows raises, and the table is what it was."""
+    database, folder = new_database(spark, "failing")
+    name, events = f"{database}.events", events_by_day(spark, sf_dir)
+    m.save_external_table(events, name, f"{folder}/files-events", ["pickup_date"])
+    broken = F.when(F.col("event_type") == "error", F.raise_error(F.lit("a broken row")).cast("double"))
+    try:
+        m.overwrite_partitions(events.withColumn("value", broken.otherwise(F.col("value") * 2)), name)
+        outcome = "inserted"
+    except Exception as error:  # whichever Spark wraps it in
+        if "a broken row" not in str(error):
+            raise
+        outcome = "raised"
+    return with_micros(spark.table(name)).withColumn("outcome", F.lit(outcome))
+
+
+@query
+def parquet_write_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the files state of times and dates that were written with the library's settings.
+
+    The dates lie before 1582, where calendars differ.
+    """
+    folder = new_folder(spark, "options")
+    events = table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.add_months(F.to_date("ts"), -6000).alias("old_date"),
+        F.add_months(F.to_date("ts"), -6000).cast("timestamp").alias("old_time"),
+    )
+    with scoped_settings(spark, PARQUET_SETTINGS):
+        m.write_partitions(events.withColumn("part", F.lit(0)), folder, ["part"])
+    listed = m.list_landing_files(spark, folder, r"\.parquet$", recursive=True)
+    stated = m.read_footers(spark, m.collect_paths(listed))
+    unit = F.regexp_extract("logical_type", r"timeUnit=(\w+)", 1)
+    return stated.groupBy("column", "physical_type", unit.alias("time_unit")).agg(
+        F.sum("rows").alias("rows"),
+        F.sum("nulls").alias("nulls"),
+        F.substring(F.min("least"), 1, 10).alias("first_day"),
+        F.substring(F.max("most"), 1, 10).alias("last_day"),
+    )
+
+
 @query
 def repair_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = declared_events(spark, sf_dir, "repaired")
@@ -385,6 +458,31 @@ def ingest_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_order_micros(result.table)
 
 
+@query
+def mounted_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed, ingested, declared and read back on a file system that only Spark's side knows."""
+    database, folder = new_database(spark, "mounted")
+    mount = f"viewfs://{database.replace('_', '-')}"
+    links = {"landing": landing_zone(spark, sf_dir), "tables": folder}
+    mount_folders(spark, mount, links)
+    result = m.ingest(
+        spark,
+        folder=f"{mount}/landing",
+        pattern=MONTH_FILES,
+        schema=ORDERS_SCHEMA,
+        table=f"{database}.orders",
+        location=f"{mount}/tables/files-orders",
+        time_column="o_orderdate",
+        date_column="order_date",
+        partition_by=("year", "month"),
+        recursive=True,
+        cluster=False,
+    )
+    where = m.describe_table(spark, f"{database}.orders", extended=True).where("col_name = 'Location'")
+    scheme = F.lit(where.first().data_type.split(":")[0]).alias("scheme")
+    return with_order_micros(result.table).select("*", scheme)
+
+
 @query
 def backfill_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, folder = new_database(spark, "backfilled")

@@ -54,6 +54,17 @@ def new_database(spark: SparkSession, purpose: str) -> tuple[str, str]:
     return name, folder
 
 
+def mount_folders(spark: SparkSession, mount: str, links: dict[str, str]) -> None:
+    """Make folders reachable under a mount table of Hadoop's own, ``viewfs://name/link``."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for link, folder in links.items():
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(hadoop)
+        files.mkdirs(path)
+        target = files.makeQualified(path).toString()
+        hadoop.set(f"fs.viewfs.mounttable.{mount.removeprefix('viewfs://')}.link./{link}", target)
+
+
 def drop_databases() -> None:
     """Drop the databases made here, with their tables, if the session that made them still lives."""
     spark = SparkSession.getActiveSession()
