@@ -11,7 +11,8 @@ be part of an occurrence: they become separators. All other words of all documen
 Benchmark windows are sent to the tasks in blocks of bounded size, one pass for each block.
 
 Defined results: a NULL or wordless text has no words and no hits; wordless items have no window;
-items that share an id count as one; rows that repeat are judged each; an empty table, of documents
+items that share an id count as one; the windows of an item without an id are searched and hit like any
+others, and only ``items`` has no name for it; rows that repeat are judged each; an empty table, of documents
 or of items, is fine. Input columns of an output's name are replaced.
 """
 
@@ -31,7 +32,7 @@ from moraine.llm.frames import bounded_batches, materialize, quoted, with_struct
 
 WINDOW = 13
 SHARD_CHARS = 8_000_000
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 2_000_000  # about 175 MB while a driver builds a block, 30 MB where it is sent
 SAMPLE_EVERY = 16
 
 # Lower-cases A-Z; what is neither a digit, a letter of these nor outside ASCII parts words.
@@ -189,14 +190,16 @@ class Phrases:
     items: dict[int, list[list[str]]]
 
     @classmethod
-    def of(cls, rows: list[tuple[str, str]], window: int) -> Phrases:
+    def of(cls, rows: list[tuple[str | None, str]], window: int) -> Phrases:
         vocabulary: dict[bytes, int] = {}
         found: dict[int, dict[tuple, set]] = defaultdict(lambda: defaultdict(set))
         for item, text in rows:
             ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
             length = min(window, len(ids))
             for i in range(len(ids) - length + 1 if length else 0):
-                found[length][tuple(ids[i : i + length])].add(item)
+                of_window = found[length][tuple(ids[i : i + length])]
+                if item is not None:
+                    of_window.add(item)
         windows = {k: np.array(list(v), dtype=np.int64) for k, v in found.items()}
         items = {k: [sorted(x) for x in v.values()] for k, v in found.items()}
         return cls(vocabulary, windows, items)
@@ -283,7 +286,9 @@ def phrase_blocks(benchmark: DataFrame, item: str, text: str, window: int, limit
     """The benchmark's windows in blocks of bounded size, one after the other."""
     rows = benchmark.select(
         quoted(item).cast("string").alias("item"), quoted(text).cast("string").alias("text")
-    ).where("text IS NOT NULL AND item IS NOT NULL")
+    ).where("text IS NOT NULL")
+    # Rows that repeat add nothing, and may not fill a block.
+    rows = materialize(rows.distinct(), "benchmark")
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // limit) or 1
     for block in range(blocks):

@@ -125,7 +125,7 @@ items AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
-  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+  FROM benchmark WHERE text IS NOT NULL),
 sized AS (SELECT item, w, least(13, len(w)) AS n FROM items WHERE len(w) > 0),
 windows AS (
   SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS s
@@ -141,7 +141,7 @@ hits AS (
   FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM found))
   GROUP BY r),
 named AS (
-  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
   FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,

@@ -74,9 +74,28 @@ def test_on_spark_in_blocks(spark, block_chars):
     benchmark = spark.createDataFrame(items, "item_id string, text string")
     out = decontaminate.search_benchmark(docs, benchmark, window=width, block_chars=block_chars)
     found = messy.rows(out, "doc_id", "n_words", "n_hit", "items")
-    assert found == sorted(
-        ((i, n, h, tuple(ids)) for i, (n, h, ids) in enumerate(brute(texts, items[:-2], width))), key=repr
+    named = brute(texts, [(i or "", t) for i, t in items[:-1]], width)
+    expected = [(i, n, h, tuple(x for x in ids if x)) for i, (n, h, ids) in enumerate(named)]
+    assert found == sorted(expected, key=repr)
+
+
+def test_items_without_an_id_hit_too(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, "Alpha beta, gamma delta")], "item_id long, text string")
+    [row] = decontaminate.search_benchmark(docs, benchmark).collect()
+    assert row.n_hit == 4 and row["items"] == [] and [tuple(s) for s in row.spans] == [(0, 4)]
+
+
+def test_repeated_items_do_not_fill_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    rows = [(7, "b c d")] * 500 + [(8, "e f")] * 500
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    collected, real = [], decontaminate.Phrases.of
+    monkeypatch.setattr(
+        decontaminate.Phrases, "of", lambda own, window: collected.append(len(own)) or real(own, window)
     )
+    [row] = decontaminate.search_benchmark(docs, benchmark, block_chars=100).collect()
+    assert collected == [2] and row.n_hit == 5 and row["items"] == ["7", "8"]
 
 
 def test_messy_documents(spark):
