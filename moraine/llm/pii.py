@@ -2,8 +2,10 @@
 
 The network is trained in numpy on windows of text whose spans the patterns label, and on variants
 of them in other spellings. Long texts are cut into overlapping windows. Each window is decoded by
-Viterbi; spans that a window's edge may have cut are left to its neighbour, which holds them whole,
-and of spans that overlap the heaviest set is kept, over the whole text. A span is added to those
+Viterbi. A span that a window's edge may have cut is left to a window that holds it whole; where there
+is none, a wider window around it is decoded, and a wider one again until it lies inside, unless what
+is seen of it can be no personal data however it goes on. Of spans that overlap the heaviest set is
+kept, over the whole text. A span is added to those
 of the patterns if it is apart from them and a kind's own check holds.
 
 Every span holds a digit or an "@", so windows with neither need no decoding: nothing in them could
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import bounded_batches, quoted, with_outputs, with_struct
+from moraine.llm.frames import bounded_batches, materialize, quoted, with_outputs, with_struct
 
 # The kinds, in order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -328,7 +330,7 @@ def decode(network: dict, windows: np.ndarray) -> list[list[tuple[int, int, int,
     begins = (tags > 0) & (tags % 2 == 1)
     for row, begin in zip(*np.nonzero(begins), strict=True):
         inside, end = tags[row, begin] + 1, begin + 1
-        while end < WINDOW and tags[row, end] == inside:
+        while end < tags.shape[1] and tags[row, end] == inside:
             end += 1
         at = np.arange(begin, end)
         gain = scores[row, at, tags[row, at]] - scores[row, at, 0]
@@ -372,12 +374,43 @@ def plausible(kind: int, text: str) -> bool:
     return spelled and holds(kind, text)
 
 
+MOST_DIGITS = 19  # of a card
+
+
+def hopeless(kind: int, text: str) -> bool:
+    """Whether no longer text that begins, ends or goes on like this can be plausible."""
+    text = text.strip(" \t\r\n.,;:-")
+    if kind == 0:
+        return re.search(r"\s", text) is not None
+    if kind == 1:
+        parts = text.split(".")
+        beyond = any(int(part or 0) > 255 for part in parts[1:-1])
+        return not re.fullmatch(r"[0-9.]*", text) or len(parts) > 4 or beyond
+    return not re.fullmatch(r"[+0-9\x20().-]*", text) or len(digits_of(text)) > MOST_DIGITS
+
+
+def widened(network: dict, text: str, chars: np.ndarray, begin: int, end: int, kind: int) -> list[tuple]:
+    """The spans of the network around one that a window's edge cut, from a window that holds them."""
+    reach = WINDOW
+    while not hopeless(kind, text[begin:end]):
+        low, high = max(begin - reach, 0), min(end + reach, len(chars))
+        found = [(low + b, k, low + e, w) for b, k, e, w in decode(network, chars[None, low:high])[0]]
+        near = [s for s in found if s[0] < end and s[2] > begin]
+        cut_off = [s for s in near if s[0] == low > 0 or s[2] == high < len(chars)]
+        if not cut_off:
+            return near
+        begin, end = min(s[0] for s in cut_off), max(s[2] for s in cut_off)
+        kind, reach = cut_off[0][1], 2 * reach
+    return []
+
+
 def search_texts(texts: list[str], network: dict | None) -> list[tuple[list, list]]:
     """For each text the patterns' spans, and these with the network's."""
     bases = [base_spans(t) for t in texts]
     if network is None:
         return [(b, b) for b in bases]
     spans: list[list] = [[] for _ in texts]
+    cut_off: dict[int, list] = {}
     waiting: list[tuple[int, int, np.ndarray]] = []
     held = 0
 
@@ -391,8 +424,8 @@ def search_texts(texts: list[str], network: dict | None) -> list[tuple[list, lis
                 size = len(texts[i])
                 for begin, kind, end, weight in found:
                     whole = (begin > 0 or start == 0) and (end < WINDOW or start + WINDOW >= size)
-                    if whole:
-                        spans[i].append((start + begin, kind, start + end, weight))
+                    span = (start + begin, kind, min(start + end, size), weight)
+                    (spans[i] if whole else cut_off.setdefault(i, [])).append(span)
 
     for i, text in enumerate(texts):
         chars = chars_of(text)
@@ -406,6 +439,13 @@ def search_texts(texts: list[str], network: dict | None) -> list[tuple[list, lis
                 waiting, held = [], 0
     if held:
         empty()
+    for i, parts in cut_off.items():
+        chars, known = chars_of(texts[i]), [(b, e) for b, _, e, _ in spans[i]]
+        for begin, kind, end, _ in sorted(parts):
+            if not any(b <= begin and end <= e for b, e in known):
+                own = widened(network, texts[i], chars, begin, end, kind)
+                spans[i] += own
+                known += [(b, e) for b, _, e, _ in own]
     return [(b, sorted([*b, *added(t, s, b)])) for t, s, b in zip(texts, spans, bases, strict=True)]
 
 
@@ -473,13 +513,17 @@ def labelled_windows(text: str, random: np.random.Generator) -> list[tuple[bytes
 
 
 def learn_network(df: DataFrame, text: str = "text") -> dict[str, np.ndarray] | None:
-    """A network trained on windows of a bounded sample of texts that hold a digit or an "@"."""
+    """A network trained on windows of a bounded sample of different texts with a digit or an "@".
+
+    Texts are read once; the sample's windows are written to the shared folder.
+    """
     value = quoted(text).cast("string")
     texts = df.select(value.alias("text")).where(value.rlike("[0-9@]"))
     rows = df.select(F.count(F.lit(1)).alias("n")).first()["n"]
     share = max(1, rows // SAMPLE_ROWS)
     hashed = texts.withColumn("h", F.xxhash64("text"))
-    hashed = hashed.where(F.pmod("h", F.lit(share)) == 0)
+    # A text counts once however often it is there; its copies share a hash.
+    hashed = hashed.where(F.pmod("h", F.lit(share)) == 0).dropDuplicates(["h"])
 
     def windows(batches):
         for batch in batches:
@@ -490,6 +534,7 @@ def learn_network(df: DataFrame, text: str = "text") -> dict[str, np.ndarray] |
             yield pd.DataFrame(made, columns=["h", "window", "tags"])
 
     held = hashed.mapInPandas(windows, "h long, window binary, tags binary")
+    held = materialize(held.dropDuplicates(["window", "tags"]), "windows")
     # Most windows of ordinary text have no span; keep as many with one as without.
     any_span = F.hex("tags").rlike("[1-9A-F]")
     sample = []

@@ -195,3 +195,50 @@ def test_messy_documents(spark):
 def test_overlapping_spans_are_masked_once():
     spans = [(2, 0, 6), (4, 2, 8), (9, 1, 10)]
     assert pii.masked("ab123456.x!", spans) == "ab[EMAIL].[IP]!"
+
+
+def marking(pattern):
+    """A network's stand-in that marks what a pattern matches inside each window."""
+
+    def decode(network, windows):
+        spelled = ["".join(LETTERS[int(c)] for c in row) for row in windows]
+        return [[(m.start(), 0, m.end(), 1.0) for m in re.finditer(pattern, w)] for w in spelled]
+
+    return decode
+
+
+LETTERS = {int(code): letter for letter in "xy@. 1" for code in pii.chars_of(letter)} | {0: "\0"}
+
+
+@pytest.mark.parametrize("length", [12, 48, 60, 80, 94, 95, 96, 97, 150, 300])
+def test_no_span_is_lost_at_an_edge(monkeypatch, length):
+    monkeypatch.setattr(pii, "decode", marking(r"[x@.]+"))
+    monkeypatch.setattr(pii, "base_spans", lambda text: [])
+    address = "x" * (length - 4) + "@x.x"
+    texts = [("y" * 7 + " ") * 40 + "y" * offset + " " + address + " y" * 200 for offset in range(48)]
+    for text, (_, found) in zip(texts, pii.search_texts(texts, {}), strict=True):
+        begin = text.index(address)
+        assert found == [(begin, 0, begin + length)]
+
+
+def test_what_can_be_nothing_is_not_widened(monkeypatch):
+    decoded = []
+    real = marking(r"[x@.1]+")
+    monkeypatch.setattr(pii, "decode", lambda n, w: decoded.append(w.size) or [
+        [(b, 2, e, s) for b, _, e, s in own] for own in real(n, w)
+    ])
+    monkeypatch.setattr(pii, "base_spans", lambda text: [])
+    text = "1" * 50_000
+    assert pii.search_texts([text], {}) == [([], [])]
+    assert sum(decoded) < 3 * len(text)  # windows that overlap by half, and no more
+
+
+def test_copies_of_a_text_are_one_in_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda chars, tags: seen.append(len(chars)) or {})
+    hot = "write to hot.one@example.org now"
+    texts = [hot] * 3000 + [f"call +1 372 555 {i:04} or mail a{i}@b.org" for i in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    pii.learn_network(df)
+    pii.learn_network(df.distinct())
+    assert seen[0] == seen[1] > 300
