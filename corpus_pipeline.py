@@ -3,6 +3,10 @@
 ``STAGES`` lists the stages as (name, function). A function takes the session, the documents so far
 and the folder of the given tables, and returns the documents that stay. All stages but the last
 keep the columns of ``documents``; the last turns texts into tokens.
+
+In every stage: columns keep their names, order and values, whatever they are called, but for what
+the stage says it changes. NULL and empty texts, NULL ids and repeated rows are treated as the stage's
+operator says; no documents in give none out.
 """
 
 from __future__ import annotations
@@ -19,33 +23,52 @@ from moraine.llm.frames import materialize, quoted
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def columns_of(kept: DataFrame, docs: DataFrame) -> DataFrame:
-    return kept.select(*[quoted(name) for name in docs.columns])
+INPUTS = ("doc_id", "text")  # what operators read, by name
+
+
+def aside(docs: DataFrame) -> DataFrame:
+    """The documents, all columns but the operators' inputs under names that no output has."""
+    names = [name if name in INPUTS else f"__llm_own_{i}" for i, name in enumerate(docs.columns)]
+    return docs.select(
+        *[quoted(name).alias(own) for name, own in zip(docs.columns, names, strict=True)]
+    )
+
+
+def back(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns that ``aside`` renamed, as they were; an operator's outputs are left out."""
+    names = aside(docs).columns
+    return kept.select(
+        *[quoted(own).alias(name) for name, own in zip(docs.columns, names, strict=True)]
+    )
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below the threshold."""
+    """Documents whose toxicity score is below the threshold, with all their columns as they were."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return columns_of(toxicity.score_documents(docs, labels).where("predicted = 0"), docs)
+    return back(toxicity.score_documents(aside(docs), labels).where("predicted = 0"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of SimHash near-duplicates."""
-    return columns_of(simhash.keep_one_of_each(docs), docs)
+    """The document with the smallest id of each group of SimHash near-duplicates, as it was."""
+    return back(simhash.keep_one_of_each(aside(docs)), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark passages do not make up a twentieth or more."""
+    """Documents of which benchmark passages do not make up a twentieth or more, as they were."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    searched = decontaminate.search_benchmark(docs, benchmark)
-    return columns_of(searched.where(~decontaminate.is_contaminated()), docs)
+    searched = decontaminate.search_benchmark(aside(docs), benchmark)
+    return back(searched.where(~decontaminate.is_contaminated()), docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data masked by its kind; lengths follow the texts."""
-    masked = pii.mask_personal_data(docs)
-    length = F.when(F.col("masked"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return columns_of(masked.withColumn("n_chars", length), docs)
+    """All documents; personal data in ``text`` is masked by its kind, and the ``n_chars`` of such
+    texts, where there is this column, becomes their new length. All other columns stay."""
+    masked = pii.mask_personal_data(aside(docs))
+    if "n_chars" in docs.columns:
+        own = aside(docs).columns[docs.columns.index("n_chars")]
+        length = F.when(F.col("masked"), F.length("text").cast("long")).otherwise(F.col(own))
+        masked = masked.withColumn(own, length)
+    return back(masked, docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
