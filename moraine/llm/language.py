@@ -34,6 +34,7 @@ SAMPLE_ROWS = 1000  # of each language
 WIDE_SAMPLE = 3  # times as many are ranked to find them
 HELD_OUT_FOLD = 2
 BATCH_CHARS = 250_000  # bundled in one product
+COUNTS, TRIPLES = 4_000_000, 4096  # that one step of a product holds
 UNKNOWN = "und"
 LETTER_BITS = 21
 
@@ -113,9 +114,18 @@ def bundles(texts: list[str | None]) -> np.ndarray:
 def _product(triples: list[np.ndarray]) -> np.ndarray:
     known, which = np.unique(np.concatenate(triples), return_inverse=True)
     rows = np.repeat(np.arange(len(triples)), [len(t) for t in triples])
-    counts = np.bincount(rows * len(known) + which, minlength=len(triples) * len(known))
-    counts = counts.reshape(len(triples), len(known)).astype(np.float32)
-    summed = counts @ bound(known)
+    # What texts have of each triple, a bounded number of texts and of triples at a time.
+    summed = np.zeros((len(triples), DIMENSIONS), dtype=np.float32)
+    order = np.argsort(which, kind="stable")
+    rows, which = rows[order], which[order]
+    wide = min(max(COUNTS // len(triples), 1), TRIPLES)
+    for low in range(0, len(known), wide):
+        high = min(low + wide, len(known))
+        own = slice(*np.searchsorted(which, (low, high)))
+        at = rows[own] * (high - low) + which[own] - low
+        counts = np.bincount(at, minlength=len(triples) * (high - low))
+        counts = counts.reshape(len(triples), high - low).astype(np.float32)
+        summed += counts @ bound(known[low:high])
     length = np.linalg.norm(summed, axis=1, keepdims=True)
     return np.divide(summed, length, out=summed, where=length > 0)
 

@@ -14,7 +14,9 @@ was written applies them.
 
 Defined results: a NULL text is like an empty one and has no spans; repeated rows are scanned each;
 an empty table gives an empty table; carried columns of an output's name are replaced. Tokens of
-every length from 20 on are tested whole; sums over long ones are added up in pieces.
+every length from 20 on are tested; sums over long ones are added up in pieces. A token in a single
+letter case is tested by its parts of 12 characters and more, together; it needs 20 in them. Tokens
+without a digit, or without a letter, are words or numbers to it, and are not tested.
 """
 
 from __future__ import annotations
@@ -45,6 +47,7 @@ ALPHABETS = {
     "base36": DIGITS + LOWER,
     "base64": LOWER.upper() + LOWER + DIGITS + "+/",
 }
+LEAST_TESTED, LEAST_PART = 20, 12  # characters of a token's core, and of a part of it
 FALSE_DISCOVERY = 0.05
 BINS_PER_E, MOST_BINS = 50, 2500  # of the p-values' negative logarithms
 PIECE = 4096  # characters of a token that are numbers in memory at once
@@ -139,9 +142,20 @@ def upper_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1 - tail)
 
 
+def core_of(token: Column) -> Column:
+    """What of a token is tested: all of it, or of one in a single letter case its long parts.
+
+    Letters of both cases make a token base 64, which has the separators in its alphabet. In other
+    tokens separators join parts, and prefixes like those of vendors' keys are no part of the key.
+    """
+    cases = token.rlike("[A-Z]") & token.rlike("[a-z]")
+    parts = F.filter(F.split(token, "[-_/+]"), lambda part: F.length(part) >= LEAST_PART)
+    return F.when(cases, token).otherwise(F.array_join(parts, ""))
+
+
 def encoding_of(token: Column) -> Column:
-    """The narrowest encoding whose characters a token uses; NULL if it does not look like a key."""
-    mixed = token.rlike("[0-9]") & token.rlike("[A-Za-z]")
+    """The narrowest encoding whose characters a core uses; NULL if it does not look like a key."""
+    mixed = token.rlike("[0-9]") & token.rlike("[A-Za-z]") & (F.length(token) >= LEAST_TESTED)
     return (
         F.when(~mixed, F.lit(None).cast("string"))
         .when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
@@ -164,9 +178,9 @@ def tests(match: Column) -> Column:
     Written as a chain of one-element transforms, so that each step is computed once. A token is
     cut into pieces that know the character behind them, and what these sum to is added up.
     """
-    begin, end, token = match["begin"], match["end"], match["match"]
+    begin, end = match["begin"], match["end"]
 
-    def normal(encoding: Column) -> Column:
+    def normal(encoding: Column, token: Column) -> Column:
         plain = F.translate(token, "-_", "+/")
         return F.when(encoding == "base64", plain).otherwise(F.lower(token))
 
@@ -285,15 +299,15 @@ def tests(match: Column) -> Column:
     def once(value: Column, then) -> Column:
         return F.transform(F.array(value), then)[0]
 
-    def tested(encoding: Column) -> Column:
+    def tested(encoding: Column, token: Column) -> Column:
         return once(
-            normal(encoding),
+            normal(encoding, token),
             lambda text: once(cut(text), lambda pieces: measured(encoding, text, pieces)),
         )
 
-    def named(encoding: Column) -> Column:
+    def named(encoding: Column, token: Column) -> Column:
         return once(
-            tested(encoding),
+            tested(encoding, token),
             lambda t: F.struct(
                 begin.alias("begin"),
                 end.alias("end"),
@@ -303,7 +317,13 @@ def tests(match: Column) -> Column:
             ),
         )
 
-    return once(encoding_of(token), lambda encoding: F.when(encoding.isNotNull(), named(encoding)))
+    def looked_at(token: Column) -> Column:
+        return once(
+            encoding_of(token),
+            lambda encoding: F.when(encoding.isNotNull(), named(encoding, token)),
+        )
+
+    return once(core_of(match["match"]), looked_at)
 
 
 def thresholds(scanned: DataFrame, level: float) -> dict[tuple[str, int], int]:

@@ -402,111 +402,3 @@ def score_documents(
 def _judged(df: DataFrame, outputs: dict[str, Column], threshold: float) -> DataFrame:
     out = with_outputs(df, outputs)
     return with_outputs(out, {"predicted": (F.col("score") >= threshold).cast("int")})
-
-
-# --- the former models --------------------------------------------------------------------------
-
-# Sequences of four of 32 symbols, in a table of a fixed size. Nothing is scored by them any more;
-# tests compare the counts and probabilities with plain ones.
-SYMBOLS = 32
-ORDER = 4
-COUNT_CHARS = 4_000_000  # added up at once
-
-
-@lru_cache(maxsize=1)
-def symbol_table() -> np.ndarray:
-    """The symbol of every code point: 0 other, 1-26 a-z, 27 digits, 28-31 other letters."""
-    codes = np.arange(0x110000, dtype=np.uint64)
-    table = (28 + (codes * np.uint64(2654435761) >> np.uint64(8)) % np.uint64(4)).astype(np.uint8)
-    for code in range(0x3000):
-        char = chr(code).lower()[:1]
-        if not char.isalnum():
-            table[code] = 0
-        elif char.isdigit():
-            table[code] = 27
-        elif "a" <= char <= "z":
-            table[code] = ord(char) - 96
-        else:
-            table[code] = table[ord(char)]
-    return table
-
-
-def symbols_of(text: str | None) -> np.ndarray:
-    """The text's symbols, between two breaks; runs of breaks are one."""
-    raw = symbol_table()[np.frombuffer((text or "").encode("utf-32-le", "replace"), "<u4")]
-    padded = np.zeros(len(raw) + 2, dtype=np.uint8)
-    padded[1:-1] = raw
-    kept = np.ones(len(padded), dtype=bool)
-    kept[1:] = (padded[1:] != 0) | (padded[:-1] != 0)
-    return padded[kept]
-
-
-def sequences_of(symbols: np.ndarray) -> np.ndarray:
-    """The number of the sequence of ``ORDER`` symbols that ends at each symbol but the first."""
-    padded = np.concatenate((np.zeros(ORDER - 2, np.int32), symbols.astype(np.int32)))
-    out = np.zeros(max(len(symbols) - 1, 0), dtype=np.int32)
-    for i in range(ORDER):
-        out = out * SYMBOLS + padded[i : i + len(out)]
-    return out
-
-
-def shared_model(seen: np.ndarray) -> np.ndarray:
-    """Kneser-Ney probabilities of the sequences one shorter than those that were seen."""
-    orders = []
-    while len(seen) > SYMBOLS:
-        # In how many different sequences, one symbol longer to the left, each of these ends.
-        counts = seen.reshape(SYMBOLS, -1).sum(axis=0)
-        orders.append(counts.astype(np.float64))
-        seen = counts > 0
-    chance = np.full(SYMBOLS, 1 / SYMBOLS)
-    for counts in reversed(orders):
-        lower = np.tile(chance, len(counts) // len(chance)) if len(counts) > SYMBOLS else chance
-        chance = interpolated(counts, lower)
-    return chance
-
-
-def interpolated(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Discounted counts of each context's symbols, the rest spread as the lower order says."""
-    rows, below = counts.reshape(-1, SYMBOLS), lower.reshape(-1, SYMBOLS)
-    total = rows.sum(axis=1, keepdims=True)
-    freed = DISCOUNT * (rows > 0).sum(axis=1, keepdims=True)
-    mixed = (np.maximum(rows - DISCOUNT, 0) + freed * below) / np.maximum(total, 1)
-    return np.where(total > 0, mixed, below).ravel()
-
-
-def class_counts(rows: DataFrame) -> np.ndarray:
-    """Sequences in ordinary and in toxic texts, of rows apart from the curve's and of the curve's.
-
-    At most twice 32 to the power of ``ORDER`` rows come to the driver.
-    """
-
-    def count(batches):
-        counts = np.zeros((2, 2, SYMBOLS**ORDER), dtype=np.int64)
-        for batch in batches:
-            for (curve, label), own in batch.groupby(["curve", "label"])["text"]:
-                held, size = [], 0
-                for text in own:
-                    held.append(sequences_of(symbols_of(text)))
-                    size += len(held[-1])
-                    if size > COUNT_CHARS:
-                        add(counts[int(curve), label], held)
-                        held, size = [], 0
-                add(counts[int(curve), label], held)
-        for curve in (0, 1):
-            o, t = counts[curve]
-            found = np.flatnonzero(o + t)
-            yield pd.DataFrame({"curve": curve, "s": found, "o": o[found], "t": t[found]})
-
-    def add(counts: np.ndarray, held: list[np.ndarray]) -> None:
-        if held:
-            counts += np.bincount(np.concatenate(held), minlength=len(counts))
-
-    by_task = rows.select("text", "label", "curve").mapInPandas(
-        count, "curve long, s long, o long, t long"
-    )
-    summed = by_task.groupBy("curve", "s").agg(F.sum("o").alias("o"), F.sum("t").alias("t"))
-    found = summed.toPandas()
-    counts = np.zeros((2, 2, SYMBOLS**ORDER))
-    at = (found["curve"].to_numpy(np.int64), found["s"].to_numpy(np.int64))
-    counts[at[0], 0, at[1]], counts[at[0], 1, at[1]] = found["o"].to_numpy(), found["t"].to_numpy()
-    return counts

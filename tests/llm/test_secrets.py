@@ -57,6 +57,16 @@ def test_random_keys_are_found(spark, name, alphabet, n):
     assert hits >= 185
 
 
+@pytest.mark.parametrize("prefix, sizes", [("sk_live_", [24]), ("rk-test-", [32]), ("", [16, 16]), ("x/", [40])])
+def test_keys_in_one_case_with_separators_are_found(spark, prefix, sizes):
+    pick = random.Random(6)
+    letters = string.ascii_lowercase + string.digits
+    keys = [prefix + "-".join(key(pick, letters, n) for n in sizes) for _ in range(100)]
+    found = scan(spark, [f"use {k} here" for k in keys])
+    hits = sum(f"random:4:{4 + len(keys[i])}" == spans for i, (_, spans) in found.items())
+    assert hits >= 95
+
+
 def test_orderly_tokens_are_not(spark):
     pick = random.Random(3)
     words = ["user", "Name", "file", "Path", "index", "Value", "of", "The", "row", "2024", "v1"]

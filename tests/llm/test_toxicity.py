@@ -9,53 +9,6 @@ from moraine.llm import toxicity
 from tests.llm import messy
 
 
-def test_symbols():
-    assert toxicity.symbols_of("Ab, 9!").tolist() == [0, 1, 2, 0, 27, 0]
-    assert toxicity.symbols_of(None).tolist() == toxicity.symbols_of(" .\n").tolist() == [0]
-    assert toxicity.symbols_of("É").tolist() == toxicity.symbols_of("é").tolist()
-
-
-def test_sequences():
-    found = toxicity.sequences_of(np.array([0, 1, 2], np.uint8)).tolist()
-    assert found == [1, 32 + 2]
-
-
-def plain_probability(sequence, counts, d=0.75):
-    """Interpolated Kneser-Ney over tuples: raw counts on top, continuation counts below."""
-
-    def chance(gram, table):
-        if not gram:
-            return 1 / toxicity.SYMBOLS
-        lower = {}
-        for g in table:
-            lower.setdefault(g[1:], set()).add(g)
-        below = chance(gram[1:], {g: len(s) for g, s in lower.items()})
-        own = {g: n for g, n in table.items() if g[:-1] == gram[:-1]}
-        total = sum(own.values())
-        if not total:
-            return below
-        return (max(own.get(gram, 0) - d, 0) + d * len(own) * below) / total
-
-    return chance(sequence, counts)
-
-
-def test_one_class_is_interpolated_kneser_ney():
-    random.seed(1)
-    text = "".join(random.choice("abc ") for _ in range(300))
-    numbers = toxicity.sequences_of(toxicity.symbols_of(text))
-    counts = np.bincount(numbers, minlength=toxicity.SYMBOLS**4).astype(float)
-    lower = np.tile(toxicity.shared_model(counts > 0), toxicity.SYMBOLS)
-    found = toxicity.interpolated(counts, lower)
-    table = {}
-    for n in numbers.tolist():
-        gram = tuple(n >> 5 * i & 31 for i in (3, 2, 1, 0))
-        table[gram] = table.get(gram, 0) + 1
-    for gram in [*list(table)[:10], (1, 2, 3, 9), (9, 9, 9, 1)]:
-        number = int(sum(s << 5 * i for i, s in zip((3, 2, 1, 0), gram, strict=True)))
-        assert found[number] == pytest.approx(plain_probability(gram, table))
-    assert found.reshape(-1, 32).sum(axis=1) == pytest.approx(1)
-
-
 def corpus(seed, n=1200):
     pick = random.Random(seed)
     syllables = ["an", "re", "thi", "on", "es", "ti", "ing", "ou", "ble", "st"]
@@ -94,19 +47,6 @@ def _held(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
-def test_the_counts_cover_all_rows(spark):
-    rows, labels = corpus(2, 300)
-    data = [(t, y, i % 3 == 0) for (i, t), (_, y) in zip(rows, labels, strict=True)]
-    df = spark.createDataFrame(data, "text string, label int, curve boolean")
-    counts = toxicity.class_counts(df.repartition(7))
-    for label in (0, 1):
-        for curve in (False, True):
-            own = [t for t, y, c in data if (y, c) == (label, curve)]
-            numbers = np.concatenate([toxicity.sequences_of(toxicity.symbols_of(t)) for t in own])
-            expected = np.bincount(numbers, minlength=counts.shape[2])
-            assert (counts[int(curve), label] == expected).all()
-
-
 def test_messy_documents(spark):
     docs, labels = messy.documents(spark, "Score", "label", "id", "curve", "toxic"), messy.labels(spark)
     out = toxicity.score_documents(docs, labels)
