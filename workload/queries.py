@@ -112,14 +112,11 @@ def text_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     written = orders.select("o_orderkey", time_text(F.col("o_orderdate"), F.col("o_orderkey")).alias("at"))
     dated = m.derive_date_columns(written, "at", "order_date", null_dates="keep")
-    schema = T.StructType(
-        [T.StructField("o_orderkey", T.LongType()), T.StructField("at", T.TimestampType())]
-    )
-    conformed = m.conform_to_schema(written, schema, event_date=("at", "conformed_date"))
-    both = conformed.select(
-        "o_orderkey", F.unix_micros("at").alias("micros"), "conformed_date"
-    )
-    return dated.drop("at").join(both, "o_orderkey")
+    kinds = {"o_orderkey": "long", "at": "timestamp", "order_date": "date"}
+    kinds |= {"year": "string", "month": "string", "day": "string"}
+    schema = T.StructType([T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in kinds.items()])
+    conformed = m.conform_to_schema(dated, schema, event_date=("at", "conformed_date"))
+    return conformed.withColumn("micros", F.unix_micros("at")).drop("at")
 
 
 @query
