@@ -40,7 +40,10 @@ MOST_LEVELS = 14
 BLOCK_POINTS = 512  # compared all with all
 HOT_POINTS = 100_000  # a shard of more is compared in parts, pair by pair
 
+HOT_SHARE, MOST_PARTS = 1000, 64  # copies of more than this part of all rows are spread over parts
+
 FP, ID, ROOT, COMPONENT = "__llm_fp", "__llm_id", "__llm_root", "__llm_component"
+PLACE, PART, PARTS = "__llm_place", "__llm_part", "__llm_parts"
 
 
 # --- fingerprints -------------------------------------------------------------------------------
@@ -281,8 +284,10 @@ def components(edges: DataFrame) -> DataFrame:
 def _rooted(df: DataFrame, fingerprint: str, doc_id: str, bits: int) -> DataFrame:
     """``df``, written once, with its id, ROOT (one of the component's points) and COMPONENT."""
     printed = df.withColumns({ID: quoted(doc_id), FP: quoted(fingerprint)})
-    printed = materialize(printed, "prints")
-    named = printed.groupBy(F.col(FP).alias("fp")).agg(F.min(ID).alias("least"))
+    printed = materialize(printed.withColumn(PLACE, F.monotonically_increasing_id()), "prints")
+    named = printed.groupBy(F.col(FP).alias("fp")).agg(
+        F.min(ID).alias("least"), F.count(F.lit(1)).alias("rows")
+    )
     named = materialize(named, "points")
     joined = components(links(named.select("fp"), bits))
     # A component's points: those linked to its smallest one, and that one itself.
@@ -298,7 +303,18 @@ def _rooted(df: DataFrame, fingerprint: str, doc_id: str, bits: int) -> DataFram
         F.when(alone, F.col("fp")).otherwise(F.col("component")).alias(ROOT),
         F.when(alone, F.col("least")).otherwise(F.col("smallest")).alias(COMPONENT),
     )
-    return printed.join(answer, FP)
+    # The copies of a common fingerprint are spread over parts, and its answer is given to each. Fewer
+    # than HOT_SHARE fingerprints can be that common; they and their parts are sent to the tasks.
+    least = max(printed.count() / HOT_SHARE, 1)
+    parts = F.least(F.lit(MOST_PARTS), F.ceil(F.col("rows") / least)).cast("int")
+    common = F.broadcast(
+        named.where(F.col("rows") > least).select(F.col("fp").alias(FP), parts.alias(PARTS))
+    )
+    part = F.coalesce(F.pmod(F.xxhash64(PLACE), F.col(PARTS)), F.lit(0)).cast("int")
+    routed = printed.join(common, FP, "left").withColumn(PART, part).drop(PARTS, PLACE)
+    each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(PARTS), F.lit(1)) - 1))
+    answers = answer.join(common, FP, "left").select(FP, ROOT, COMPONENT, each.alias(PART))
+    return routed.join(answers, [FP, PART]).drop(PART)
 
 
 def with_components(

@@ -120,3 +120,19 @@ def test_one_row_of_each_component_stays(spark):
     same = spark.createDataFrame([(None, "q r s t")] * 3, "doc_id long, text string")
     assert messy.rows(simhash.keep_one_of_each(same)) == [(None, "q r s t")]
     assert messy.rows(simhash.keep_one_of_each(messy.none(docs))) == []
+
+
+@pytest.mark.parametrize("share", [2, 1000])
+def test_copies_are_spread_and_none_is_lost(spark, monkeypatch, share):
+    monkeypatch.setattr(simhash, "HOT_SHARE", share)
+    rows = [(i if i % 7 else None, 5 if i % 3 else i << 20) for i in range(1, 600)]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint long")
+    found = messy.rows(simhash.with_components(df), "doc_id", "fingerprint", "component_id")
+    least = {}
+    for doc_id, fp in rows:
+        least[fp] = min(x for x in (least.get(fp), doc_id) if x is not None) if doc_id or fp in least else None
+    alone = simhash.with_components(df.where("fingerprint <> 5"))
+    others = messy.rows(alone, "doc_id", "fingerprint", "component_id")
+    assert [r for r in found if r[1] != 5] == others and len(found) == len(rows)
+    assert {r[2] for r in found if r[1] == 5} == {least[5]}
+    assert simhash.with_components(df).columns == ["doc_id", "fingerprint", "component_id"]
