@@ -8,10 +8,12 @@ merged and ranked by their exact distance, in double precision.
 
 Equal vectors are one point of the index. It keeps its ``k + 1`` smallest ids, the only ones that
 can be among anyone's ``k`` nearest, so a vector that a third of all rows share is no hot bucket.
-A bucket of many different vectors is spread over several groups. A query whose buckets hold too
-few candidates is answered by a scan of all points, in blocks of queries.
 
-The bucket width is fitted on a bounded sample; all vectors are indexed.
+The points stay where they are: each batch of them gets its own part of every table, a sorted list
+of bucket codes, so that a vector is stored and read once and not once for each table, and no bucket
+is brought together anywhere, however many points it holds. Queries come in blocks of bounded size,
+each with the codes that it visits, and a task keeps the nearest of every query over its batches. A
+query whose buckets hold too few candidates is answered by all points, in blocks again.
 
 Defined results: rows whose vector is NULL, zero or holds a NULL or non-finite component, and rows
 without an id, take no part. Rows that repeat an id and vector count once; rows with the query's id
@@ -31,16 +33,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.frames import bounded_batches, materialize, quoted
+from moraine.llm.frames import bounded_batches, materialize, quoted, shared_folder
 
 TABLES = 10
 HASHES = 10
 PROBES = 160  # buckets visited in each table
 WIDTH = 2.5  # of a bucket, in standard deviations of a projection
 SAMPLE_ROWS = 4096  # the standard deviation is taken from so many rows
-GROUP_ROWS = 60_000  # index rows that one task holds
-HOT_ROWS = 30_000  # a bucket of more is spread
-SCAN_QUERIES = 1024  # queries of one exhaustive scan
+FILE_ROWS = 16_384  # points of one file, so that few points still keep several tasks busy
+BLOCK_QUERIES = 1024  # queries of one pass over the points
 
 FOUND = "qid long, gid long, score double"
 
@@ -109,18 +110,13 @@ def probed_codes(hashing: Hashing, point: np.ndarray, probes: int) -> np.ndarray
     return np.unique(np.array(out, dtype=np.uint64))
 
 
-def group_of(codes: np.ndarray, salt: np.ndarray | int, groups: int) -> np.ndarray:
-    mixed = (codes ^ (codes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return (((mixed >> np.uint64(33)) + np.asarray(salt).astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
-
-
 def vectors_of(values: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The rows of each vector length and their vectors."""
-    held = [np.frombuffer(v, "<f8") for v in values]
-    lengths = np.array([len(v) for v in held], dtype=np.int64)
+    lengths = np.array([len(v) for v in values], dtype=np.int64)
+    held = values.to_numpy()
     for length in np.unique(lengths):
         rows = np.flatnonzero(lengths == length)
-        yield rows, np.stack([held[i] for i in rows])
+        yield rows, np.stack(held[rows]).astype("<f8")
 
 
 def best(scores: np.ndarray, gids: np.ndarray, k: int) -> np.ndarray:
@@ -136,32 +132,57 @@ def distances(points: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.sqrt(np.square(points - query).sum(axis=1))
 
 
-def search_buckets(index: pd.DataFrame, probes: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The nearest of the candidates that a group's buckets hold, for each query."""
-    out = []
-    for rows, points in vectors_of(index["vector"]) if len(index) else ():
-        codes = index["code"].to_numpy(np.int64)[rows].view(np.uint64)
-        gids = index["gid"].to_numpy(np.int64)[rows]
-        order = np.argsort(codes, kind="stable")
-        codes = codes[order]
-        for qid, vector, wanted in zip(probes["qid"], probes["vector"], probes["codes"], strict=True):
-            query = np.frombuffer(vector, "<f8")
-            if len(query) != points.shape[1]:
-                continue
-            wanted = np.frombuffer(wanted, "<u8")
-            low, high = np.searchsorted(codes, wanted), np.searchsorted(codes, wanted, "right")
-            held = high - low
-            if not held.any():
-                continue
-            shift = np.repeat(low - np.cumsum(held) + held, held)
-            at = order[shift + np.arange(held.sum())]
-            # A point may be in several of the buckets.
-            _, first = np.unique(gids[at], return_index=True)
-            at = at[first]
-            scores = distances(points[at], query)
-            near = best(scores, gids[at], k)
-            out.append(pd.DataFrame({"qid": qid, "gid": gids[at][near], "score": scores[near]}))
-    return pd.concat(out) if out else pd.DataFrame({"qid": [], "gid": [], "score": []})
+@dataclass(frozen=True)
+class Asked:
+    """A query of a block. Without codes it looks at every point."""
+
+    qid: int
+    vector: np.ndarray
+    codes: np.ndarray | None
+
+
+def search_batches(
+    batches: Iterator[pd.DataFrame], block: list[Asked], hashing: Hashing, k: int
+) -> pd.DataFrame:
+    """The nearest of the candidates among a task's points, for each query of a block."""
+    scores = {q.qid: np.zeros(0) for q in block}
+    nearest_gids = {q.qid: np.zeros(0, dtype=np.int64) for q in block}
+    for batch in batches:
+        all_gids = batch["gid"].to_numpy(np.int64)
+        for rows, points in vectors_of(batch["vector"]) if len(batch) else ():
+            gids = all_gids[rows]
+            codes = hashing.cells(points)[0].ravel()
+            order = np.argsort(codes, kind="stable")
+            codes, owners = codes[order], order // hashing.tables
+            for asked in block:
+                if len(asked.vector) != points.shape[1]:
+                    continue
+                at = np.arange(len(points))
+                if asked.codes is not None:
+                    at = held_in(codes, owners, asked.codes, len(points))
+                if not len(at):
+                    continue
+                own = np.concatenate([scores[asked.qid], distances(points[at], asked.vector)])
+                near_gids = np.concatenate([nearest_gids[asked.qid], gids[at]])
+                near = best(own, near_gids, k)
+                scores[asked.qid], nearest_gids[asked.qid] = own[near], near_gids[near]
+    return pd.DataFrame(
+        {
+            "qid": np.repeat(list(scores), [len(x) for x in scores.values()]).astype(np.int64),
+            "gid": np.concatenate([*nearest_gids.values(), np.zeros(0, dtype=np.int64)]),
+            "score": np.concatenate([*scores.values(), np.zeros(0)]),
+        }
+    )
+
+
+def held_in(codes: np.ndarray, owners: np.ndarray, wanted: np.ndarray, n: int) -> np.ndarray:
+    """The points that are in any of the wanted buckets of any table, each once."""
+    low, high = np.searchsorted(codes, wanted), np.searchsorted(codes, wanted, "right")
+    held = high - low
+    shift = np.repeat(low - np.cumsum(held) + held, held)
+    candidate = np.zeros(n, dtype=bool)
+    candidate[owners[shift + np.arange(held.sum())]] = True
+    return np.flatnonzero(candidate)
 
 
 def usable(vector: Column) -> Column:
@@ -171,12 +192,6 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
-@F.pandas_udf(T.BinaryType())
-def packed(vectors: pd.Series) -> pd.Series:
-    # Adding 0.0 makes a negative zero a positive one, so that equal vectors have equal bytes.
-    return pd.Series([(np.asarray(v, "<f8") + 0.0).tobytes() for v in vectors], dtype=object)
-
-
 def nearest(
     df: DataFrame,
     query: Column,
@@ -193,45 +208,66 @@ def nearest(
     Returns ``query_id``, ``rank`` (from 1), ``vec_id`` and ``score``, the Euclidean distance.
     """
     bounded_batches(df.sparkSession)
-    values = quoted(vector).cast("array<double>")
-    rows = df.select(quoted(vec_id).cast("long").alias("id"), values.alias("v"), query.alias("q"))
-    rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
-    rows = materialize(rows.select("id", packed("v").alias("vector"), "q"), "vectors")
-    in_vector = Window.partitionBy("vector").orderBy("id")
-    kept = (
-        rows.select("id", "vector")
-        .distinct()
-        .withColumn("n", F.row_number().over(in_vector))
-        .where(F.col("n") <= k + 1)
+    rows = usable_rows(df, vec_id, vector, query)
+    points = materialize(points_of(rows, k), "points", FILE_ROWS)
+    asked = rows.where("q").groupBy("digest", "id").agg(F.first("vector").alias("vector"))
+    asked = materialize(asked, "queries")
+    distinct_queries = asked.groupBy("digest").agg(
+        F.min("id").alias("qid"), F.first("vector").alias("vector")
     )
-    points = kept.groupBy("vector").agg(F.min("id").alias("gid"), F.collect_list("id").alias("ids"))
-    points = materialize(points, "points")
-    asked = rows.where("q").select("id", "vector").distinct()
-    queries = asked.join(points.select("vector", "gid"), "vector")
-    queries = materialize(queries.select("id", F.col("gid").alias("qid"), "vector"), "queries")
-    distinct_queries = queries.groupBy("qid").agg(F.first("vector").alias("vector"))
+    queries = asked.select("id", "digest").join(distinct_queries.select("digest", "qid"), "digest")
 
     hashing = Hashing(fit_scales(points), tables, hashes, seed)
-    found = materialize(probe(points, distinct_queries, hashing, probes, k + 1), "found")
+    found = search(points, distinct_queries.drop("digest"), hashing, probes, k + 1)
     # Who has found too few, although there are more?
-    sizes = points.select(F.col("gid").alias("own"), F.size("ids").alias("n"), F.length("vector").alias("l"))
+    sizes = points.select(F.col("gid").alias("own"), F.size("ids").alias("n"), F.size("vector").alias("l"))
     held = found.join(sizes, F.col("gid") == F.col("own")).groupBy("qid").agg(F.sum("n").alias("n"))
     lengths = sizes.groupBy("l").agg(F.sum("n").alias("all"))
     short = (
-        distinct_queries.withColumn("l", F.length("vector"))
+        distinct_queries.withColumn("l", F.size("vector"))
         .join(lengths, "l")
         .join(held, "qid", "left")
         .where(F.coalesce("n", F.lit(0)) < F.least(F.lit(k + 1), F.col("all")))
         .select("qid", "vector")
     )
-    short = materialize(short, "short")
-    blocks = -(-short.count() // SCAN_QUERIES)
-    for block in range(blocks):
-        own = short.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block)
-        found = found.unionByName(scan(points, own, k + 1))
+    found = found.unionByName(search(points, short, hashing, 0, k + 1))
     return ranked(found, points, queries, k)
 
 
+def usable_rows(df: DataFrame, vec_id: str, vector: str, query: Column) -> DataFrame:
+    """Rows that take part: id, vector, whether it is a query, and a digest of the vector.
+
+    Vectors of ``float`` stay as they are, half the size. A digest is that of all components'
+    shortest spellings as doubles, so rows have equal ones where their vectors are equal; adding
+    0.0 makes a negative zero a positive one.
+    """
+    values = quoted(vector)
+    if df.select(values).schema[0].dataType != T.ArrayType(T.FloatType()):
+        values = values.cast("array<double>")
+    rows = df.select(quoted(vec_id).cast("long").alias("id"), values.alias("vector"), query.alias("q"))
+    rows = rows.where(F.col("id").isNotNull() & usable(F.col("vector")))
+    spelled = F.transform("vector", lambda x: x.cast("double") + F.lit(0.0)).cast("string")
+    return rows.withColumn("digest", F.unhex(F.sha2(spelled, 256)))
+
+
+def points_of(rows: DataFrame, k: int) -> DataFrame:
+    """The different vectors, each with its smallest id and its ``k + 1`` smallest ids.
+
+    Ids are brought together by digest, without vectors; a vector crosses the network once.
+    """
+    of_vector = Window.partitionBy("digest").orderBy("id")
+    ids = (
+        rows.select("digest", "id")
+        .distinct()
+        .withColumn("n", F.row_number().over(of_vector))
+        .where(F.col("n") <= k + 1)
+        .groupBy("digest")
+        .agg(F.min("id").alias("gid"), F.collect_list("id").alias("ids"))
+    )
+    vectors = rows.groupBy("digest").agg(F.first("vector").alias("vector"))
+    return ids.join(vectors, "digest").select("gid", "ids", "vector")
+
+
 def fit_scales(points: DataFrame) -> dict[int, float]:
     """Standard deviation of a projection, by vector length, from a bounded sample."""
     sample = points.orderBy(F.xxhash64("gid"), "gid").limit(SAMPLE_ROWS).select("vector").toPandas()
@@ -242,86 +278,45 @@ def fit_scales(points: DataFrame) -> dict[int, float]:
     return scales
 
 
-def probe(
+def search(
     points: DataFrame, queries: DataFrame, hashing: Hashing, probes: int, k: int
 ) -> DataFrame:
-    def bucket_codes(batches):
-        for batch in batches:
-            for _, own in vectors_of(batch["vector"]):
-                yield pd.DataFrame({"code": hashing.cells(own)[0].ravel().view(np.int64)})
-
-    total = points.count()
-    groups = max(1, -(-total * hashing.tables // GROUP_ROWS))
-    sizes = points.select("vector").mapInPandas(bucket_codes, "code long")
-    hot = sizes.groupBy("code").agg(F.count("code").alias("n")).where(F.col("n") > HOT_ROWS)
-    # At most one bucket for each HOT_ROWS index rows.
-    spread = {r["code"] % 2**64: -(-r["n"] // HOT_ROWS) for r in hot.collect()}
-
-    def salts_of(codes: np.ndarray) -> np.ndarray:
-        return np.array([spread.get(c, 1) for c in codes.tolist()] if spread else [1] * len(codes))
+    """The nearest candidates (``qid``, ``gid``, ``score``), in passes over the points.
 
-    def index(batches):
-        for batch in batches:
-            for rows, own in vectors_of(batch["vector"]):
-                codes = hashing.cells(own)[0]
-                gids, vectors = batch["gid"].to_numpy(np.int64)[rows], batch["vector"].to_numpy()[rows]
-                for table in range(hashing.tables):
-                    code = codes[:, table]
-                    salt = gids % salts_of(code)
-                    yield pd.DataFrame(
-                        {
-                            "group": group_of(code, salt, groups),
-                            "code": code.view(np.int64),
-                            "gid": gids,
-                            "vector": vectors,
-                        }
-                    )
+    A pass answers a block of queries, which it carries; what tasks find is written, so that the
+    plan does not grow with the passes. Without probes all points are candidates.
+    """
 
     def visit(batches):
         for batch in batches:
-            out = []
-            for qid, vector in zip(batch["qid"], batch["vector"], strict=True):
-                codes = probed_codes(hashing, np.frombuffer(vector, "<f8"), probes)
-                salts = salts_of(codes)
-                each = np.repeat(codes, salts)
-                salt = np.arange(len(each)) - np.repeat(np.cumsum(salts) - salts, salts)
-                group = group_of(each, salt, groups)
-                for g in np.unique(group).tolist():
-                    out.append((g, qid, vector, np.unique(each[group == g]).astype("<u8").tobytes()))
-            yield pd.DataFrame(out, columns=["group", "qid", "vector", "codes"])
-
-    held = points.select("gid", "vector").mapInPandas(
-        index, "group long, code long, gid long, vector binary"
-    )
-    asked = queries.mapInPandas(visit, "group long, qid long, vector binary, codes binary")
-
-    def search(own: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        return search_buckets(own, wanted, k)
-
-    near = held.groupBy("group").cogroup(asked.groupBy("group")).applyInPandas(search, FOUND)
-    return near.groupBy("qid", "gid").agg(F.first("score").alias("score"))
-
+            codes = [
+                probed_codes(hashing, np.asarray(v, "<f8"), probes).tobytes() if probes else b""
+                for v in batch["vector"]
+            ]
+            yield batch.assign(codes=codes)
+
+    spark = points.sparkSession
+    name = queries.schema["vector"].dataType.simpleString()
+    # Queries cost much for their bytes.
+    spread = queries.repartition(spark.sparkContext.defaultParallelism, "qid")
+    visiting = spread.mapInPandas(visit, f"qid long, vector {name}, codes binary")
+    visiting = materialize(visiting, "visiting")
+    blocks = -(-visiting.count() // BLOCK_QUERIES)
+    path = shared_folder(spark, "found")
+    nothing = spark.createDataFrame([], FOUND)
+    nothing.write.parquet(path)
+    for block in range(blocks):
+        of_block = F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block
+        held = [
+            Asked(q, np.asarray(v, "<f8"), np.frombuffer(c, "<u8") if probes else None)
+            for q, v, c in visiting.where(of_block).toPandas().itertuples(index=False)
+        ]
 
-def scan(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """The nearest of all points for a bounded block of queries."""
-    block = queries.toPandas()
+        def near(batches, held=held):
+            yield search_batches(batches, held, hashing, k)
 
-    def search(batches):
-        for batch in batches:
-            out = []
-            for rows, own in vectors_of(batch["vector"]):
-                gids = batch["gid"].to_numpy(np.int64)[rows]
-                for qid, vector in zip(block["qid"], block["vector"], strict=True):
-                    query = np.frombuffer(vector, "<f8")
-                    if len(query) == own.shape[1]:
-                        scores = distances(own, query)
-                        near = best(scores, gids, k)
-                        made = {"qid": qid, "gid": gids[near], "score": scores[near]}
-                        out.append(pd.DataFrame(made))
-            if out:
-                yield pd.concat(out)
-
-    return points.select("gid", "vector").mapInPandas(search, FOUND)
+        points.select("gid", "vector").mapInPandas(near, FOUND).write.mode("append").parquet(path)
+    return spark.read.schema(nothing.schema).parquet(path)
 
 
 def ranked(found: DataFrame, points: DataFrame, queries: DataFrame, k: int) -> DataFrame:

@@ -73,13 +73,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{_folders[key]}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, file_rows: int = 0) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, lineage cut.
 
-    Later steps survive lost executors without computing it anew, and Spark knows its size.
+    Later steps survive lost executors without computing it anew, and Spark knows its size. Files
+    are cut at ``file_rows`` rows, if given.
     """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -56,12 +56,17 @@ def awkward():
     return rows
 
 
-@pytest.mark.parametrize("hot, group", [(30_000, 60_000), (20, 100)])
-def test_copies_gaps_and_other_lengths(spark, monkeypatch, hot, group):
-    monkeypatch.setattr(ann, "HOT_ROWS", hot)
-    monkeypatch.setattr(ann, "GROUP_ROWS", group)
-    df = spark.createDataFrame([(i, v, "old", 0) for i, v in awkward()], SCHEMA + ", rank string, qid int")
-    own, wanted = found(df), brute(awkward(), 10)
+@pytest.mark.parametrize("block, file_rows, kind", [(1024, 16_384, "double"), (2, 20, "double"), (2, 20, "float")])
+def test_copies_gaps_and_other_lengths(spark, monkeypatch, block, file_rows, kind):
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", block)
+    monkeypatch.setattr(ann, "FILE_ROWS", file_rows)
+    rows = awkward()
+    if kind == "float":
+        single = lambda x: None if x is None else float(np.float32(x))
+        rows = [(i, v and [single(x) for x in v]) for i, v in rows]
+    schema = SCHEMA.replace("double", kind) + ", rank string, qid int"
+    df = spark.createDataFrame([(i, v, "old", 0) for i, v in rows], schema)
+    own, wanted = found(df), brute(rows, 10)
     # Id 0 has two vectors: its rows are one query.
     once = {r for r in own if r[0]}
     assert once == {r for r in wanted if r[0]}
@@ -92,3 +97,23 @@ def test_probes_come_in_order_of_cost():
     order = ann.probe_order(inside, 81)
     assert order[0] == () and len(set(map(frozenset, order))) == 81 == 3**4
     assert [cost(s) for s in order] == sorted(cost(s) for s in order)
+
+
+def test_candidates_are_those_of_the_visited_buckets():
+    points = np.random.default_rng(4).standard_normal((500, 8))
+    hashing = ann.Hashing({8: np.sqrt(8.0)}, 3, 4, 9)
+    own = hashing.cells(points)[0]
+    codes, order = np.sort(own.ravel()), np.argsort(own.ravel(), kind="stable")
+    for query in points[:20]:
+        wanted = ann.probed_codes(hashing, query, 5)
+        plain = [i for i in range(500) if set(own[i].tolist()) & set(wanted.tolist())]
+        assert ann.held_in(codes, order // 3, wanted, 500).tolist() == plain
+
+
+def test_a_vector_is_shuffled_once_and_not_for_each_table(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(50)]
+    rows = ann.usable_rows(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding", hundreds())
+    plan = ann.points_of(rows, 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("first(vector") and "Python" not in plan
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 3  # ids by (digest, id), ids by digest, vectors by digest
