@@ -2,11 +2,16 @@
 
 Long tokens of letters and digits get an inferred encoding (hex, base 32, base 36 or base 64, by
 the characters they use). If a token is a random key, its characters are uniform over the alphabet
-(chi-squared), its high and low characters alternate by chance (runs), and neighbours are unrelated
-(serial correlation). The three p-values are combined by Fisher's method. Within each encoding and
-length class, Benjamini and Hochberg's procedure says which tokens are too orderly to be random;
-the classes see to it that short tokens, for which the tests are weak, do not set the bar for long
-ones. Tokens that stay are reported.
+(chi-squared, over all characters and over their classes: capitals, vowels, consonants, digits),
+its high and low characters alternate by chance (runs), and neighbours are unrelated (serial
+correlation). The four p-values are combined by Fisher's method.
+
+Within each encoding and length class, false discoveries are controlled on both sides. Benjamini
+and Hochberg's procedure says which tokens are too orderly to be random, so that few random keys are
+lost. Of what remains, the share that is not random must stay under the same level: p-values of random
+keys are uniform, so those above a half tell how many there are, and where more tokens than that
+allows have p-values above the bar, the bar is raised. The classes see to it that short tokens, for
+which the tests are weak, do not set the bar for long ones.
 
 Everything is DataFrame functions: one pass over the texts writes spans and p-values without the
 texts, a histogram of p-values (of bounded size) gives the thresholds, and a second pass over what
@@ -47,9 +52,18 @@ ALPHABETS = {
     "base36": DIGITS + LOWER,
     "base64": LOWER.upper() + LOWER + DIGITS + "+/",
 }
+VOWELS, CONSONANTS = "aeiou", "bcdfghjklmnpqrstvwxyz"
+# Classes of an alphabet's characters, which words use in other shares than keys do.
+CLASSES = {
+    "hex": (DIGITS, LOWER[:6]),
+    "base32": (VOWELS, CONSONANTS, "234567"),
+    "base36": (VOWELS, CONSONANTS, DIGITS),
+    "base64": (LOWER.upper(), VOWELS, CONSONANTS, DIGITS + "+/"),
+}
 LEAST_TESTED, LEAST_PART = 20, 12  # characters of a token's core, and of a part of it
 FALSE_DISCOVERY = 0.05
 BINS_PER_E, MOST_BINS = 50, 2500  # of the p-values' negative logarithms
+UPPER_BINS = 34  # these hold the p-values above a half, nearly
 PIECE = 4096  # characters of a token that are numbers in memory at once
 TEXT, BASE, TESTED = "__llm_text", "__llm_base", "__llm_tested"
 
@@ -220,9 +234,20 @@ def tests(match: Column) -> Column:
             size.alias("k"),
             total(F.transform(held, lambda c: c.cast("double") * c)).alias("squares"),
             (total(sums) / F.length(text)).alias("mean"),
+            by_encoding(encoding, lambda name, a: class_squares(text, name, a)).alias("classes"),
+            by_encoding(encoding, lambda name, _: F.lit(len(CLASSES[name]) - 1.0)).alias("free"),
         )
         return once(facts, lambda f: judged(f, encoding, pieces))
 
+    def class_squares(text: Column, name: str, alphabet: str) -> Column:
+        """Chi-squared over the classes."""
+        out = F.lit(0.0)
+        for letters in CLASSES[name]:
+            expected = F.length(text) * F.lit(len(letters) / len(alphabet))
+            found = F.length(text) - F.length(F.translate(text, letters, ""))
+            out = out + (found - expected) * (found - expected) / expected
+        return out
+
     def judged(f: Column, encoding: Column, pieces: Column) -> Column:
         names = ("ones", "changes", "power", "product")
 
@@ -258,10 +283,12 @@ def tests(match: Column) -> Column:
 
     def chances(f: Column, g: Column) -> Column:
         n, free = f["n"], f["k"] - 1
-        # Chi-squared, made normal by Wilson and Hilferty's cube root.
-        chi = f["squares"] * f["k"] / n - n
-        shrunk = 2 / (9 * free)
-        uniform = (F.pow(chi / free, F.lit(1 / 3)) - (1 - shrunk)) / F.sqrt(shrunk)
+
+        def uniform(chi: Column, free: Column) -> Column:
+            # Chi-squared, made normal by Wilson and Hilferty's cube root.
+            shrunk = 2 / (9 * free)
+            return (F.pow(chi / free, F.lit(1 / 3)) - (1 - shrunk)) / F.sqrt(shrunk)
+
         # Runs of the upper and the lower half of the alphabet, against their expected number.
         two = 2 * g["ones"] * (n - g["ones"])
         spread = two * (two - n) / (n * n * (n - 1))
@@ -270,21 +297,28 @@ def tests(match: Column) -> Column:
         # Serial correlation of neighbours.
         serial = F.abs(g["product"] / g["power"] + 1 / n) * F.sqrt(n)
         return F.struct(
-            upper_tail(uniform).alias("uniform"),
+            upper_tail(uniform(f["squares"] * f["k"] / n - n, free)).alias("uniform"),
+            upper_tail(uniform(f["classes"], f["free"])).alias("classes"),
             F.when(spread > 0, 2 * upper_tail(alternate)).otherwise(least).alias("alternate"),
             F.when(g["power"] > 0, 2 * upper_tail(serial)).otherwise(least).alias("serial"),
         )
 
     def combined(f: Column, p: Column) -> Column:
-        # Fisher: -2 sum ln p has 6 degrees of freedom.
+        # Fisher: -2 sum ln p has 8 degrees of freedom.
         at_most_one = lambda x: F.log(F.least(x, F.lit(1.0)))
-        half = -(F.log(p["uniform"]) + at_most_one(p["alternate"]) + at_most_one(p["serial"]))
+        half = -(
+            F.log(p["uniform"])
+            + F.log(p["classes"])
+            + at_most_one(p["alternate"])
+            + at_most_one(p["serial"])
+        )
         return once(
             half,
             lambda h: F.struct(
                 F.floor(F.log2(f["n"])).cast("int").alias("length_class"),
                 F.least(
-                    F.floor((h - F.log(1 + h + h * h / 2)) * BINS_PER_E), F.lit(MOST_BINS)
+                    F.floor((h - F.log(1 + h + h * h / 2 + h * h * h / 6)) * BINS_PER_E),
+                    F.lit(MOST_BINS),
                 ).cast("int").alias("bin"),
             ),
         )
@@ -327,7 +361,7 @@ def tests(match: Column) -> Column:
 
 
 def thresholds(scanned: DataFrame, level: float) -> dict[tuple[str, int], int]:
-    """For each encoding and length class, from which bin on a token is too orderly.
+    """For each encoding and length class, from which bin on a token is not reported.
 
     The histogram has at most MOST_BINS bins for each of a few classes, whatever the input.
     """
@@ -340,7 +374,10 @@ def thresholds(scanned: DataFrame, level: float) -> dict[tuple[str, int], int]:
     classes: dict[tuple[str, int], dict[int, int]] = defaultdict(dict)
     for row in counted:
         classes[row["encoding"], row["length_class"]][row["bin"]] = row["n"]
-    return {name: orderly_from(bins, level) for name, bins in classes.items()}
+    return {
+        name: min(orderly_from(bins, level), doubtful_from(bins, level))
+        for name, bins in classes.items()
+    }
 
 
 def orderly_from(bins: dict[int, int], level: float) -> int:
@@ -353,6 +390,23 @@ def orderly_from(bins: dict[int, int], level: float) -> int:
     return first
 
 
+def doubtful_from(bins: dict[int, int], level: float) -> int:
+    """The last bin below which the share of tokens that are not random is at most ``level``.
+
+    Random tokens are as many as p-values above a half allow: their number's upper bound (of about
+    95 %), since a class may have few, and nothing should be left out for that.
+    """
+    upper = sum(n for number, n in bins.items() if number < UPPER_BINS)
+    random = (upper + 1.645 * math.sqrt(upper) + 3) / (1 - math.exp(-UPPER_BINS / BINS_PER_E))
+    so_far, last = 0, UPPER_BINS
+    for number in range(MOST_BINS + 1):
+        so_far += bins.get(number, 0)
+        expected = random * (1 - math.exp(-(number + 1) / BINS_PER_E))
+        if number >= UPPER_BINS and so_far * (1 - level) <= expected:
+            last = number + 1
+    return last
+
+
 # --- the operator -------------------------------------------------------------------------------
 
 

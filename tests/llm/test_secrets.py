@@ -1,5 +1,7 @@
 """Base spans against the patterns in Python, and the tests on keys and on ordinary tokens."""
 
+import itertools
+import math
 import random
 import re
 import string
@@ -101,6 +103,95 @@ def test_pieces_add_up_to_the_whole(spark, monkeypatch):
         assert abs(w["bin"] - p["bin"]) <= 1  # rounding
 
 
+WORDS = (
+    "get set user by id name file path index value of the row list map string parse read write load "
+    "save find all items count total order customer line create update delete is has with from to "
+    "table column type date time handle event request response client server option default buffer"
+).split()
+
+
+def identifiers(pick, camel, n):
+    out = []
+    while len(out) < n:
+        words = pick.choices(WORDS, k=pick.randint(3, 7))
+        words = [words[0], *(w.title() for w in words[1:])] if camel else words
+        word = "".join(words) + str(pick.randint(1, 99))
+        out += [word] if len(word) >= 20 else []
+    return out
+
+
+@pytest.mark.parametrize("camel", [True, False])
+def test_few_identifiers_are_reported(spark, camel):
+    found = scan(spark, [f"call {w} here" for w in identifiers(random.Random(8), camel, 1000)])
+    assert sum("random" in spans for _, spans in found.values()) <= 1000 * secrets.FALSE_DISCOVERY
+
+
+def test_few_of_what_is_reported_among_keys_are_identifiers(spark):
+    pick = random.Random(9)
+    ordinary = identifiers(pick, True, 1000)
+    keys = [key(pick, BASE64[:62], 24) for _ in range(300)]
+    found = scan(spark, [f"a {w} b" for w in ordinary + keys])
+    reported = [i for i, (_, spans) in found.items() if "random" in spans]
+    assert sum(i < 1000 for i in reported) <= secrets.FALSE_DISCOVERY * len(reported)
+    assert sum(i >= 1000 for i in reported) >= 270
+
+
+def plain_p(encoding, token):
+    """The combined p-value, in plain Python, with the normal tail from the error function."""
+    alphabet = secrets.ALPHABETS[encoding]
+    if encoding != "base64":
+        token = token.lower()
+    values, n, k = [alphabet.index(c) for c in token], len(token), len(alphabet)
+
+    def tail(z):
+        return math.erfc(z / math.sqrt(2)) / 2
+
+    def chi(parts):
+        free = len(parts) - 1
+        x = sum((sum(c in p for c in token) - n * len(p) / k) ** 2 / (n * len(p) / k) for p in parts)
+        return tail(((x / free) ** (1 / 3) - 1 + 2 / (9 * free)) / math.sqrt(2 / (9 * free)))
+
+    high = [v >= k / 2 for v in values]
+    one, other = sum(high), n - sum(high)
+    runs = 1 + sum(a != b for a, b in itertools.pairwise(high))
+    mean = 1 + 2 * one * other / n
+    variance = (mean - 1) * (mean - 2) / (n - 1)
+    around = [v - sum(values) / n for v in values]
+    serial = sum(a * b for a, b in itertools.pairwise(around)) / sum(a * a for a in around)
+    ps = [chi(alphabet), chi(secrets.CLASSES[encoding]), 2 * tail(abs(runs - mean) / math.sqrt(variance))]
+    ps += [2 * tail(abs(serial + 1 / n) * math.sqrt(n))]
+    h = -sum(math.log(min(p, 1)) for p in ps)
+    return math.exp(-h) * sum(h**i / math.factorial(i) for i in range(4))
+
+
+def test_p_values_against_a_plain_computation(spark):
+    pick = random.Random(10)
+    made = [("hex", key(pick, HEX, n)) for n in (20, 33, 64, 300)]
+    made += [("base32", "a" + key(pick, "abcdefghijklmnopqrstuvwxyz234567", n) + "w7") for n in (20, 50)]
+    made += [("base36", key(pick, string.ascii_lowercase + string.digits, n) + "z1") for n in (20, 90)]
+    made += [("base64", key(pick, BASE64, n) + "aB1") for n in (20, 40, 500)]
+    made += [("base64", w) for w in identifiers(pick, True, 20)]
+    made += [("base36", w + "18") for w in identifiers(pick, False, 20)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(made)], "doc_id long, text string")
+    for row in secrets.scan(df).collect():
+        encoding, token = made[row.doc_id]
+        (tested,) = row[secrets.TESTED]
+        assert tested["encoding"] == encoding
+        number = min(secrets.MOST_BINS, -math.log(plain_p(encoding, token)) * secrets.BINS_PER_E)
+        assert abs(tested["bin"] - math.floor(number)) <= 1 + number / 1000
+
+
+def test_the_bar_is_raised_where_ordinary_tokens_pass_it():
+    # 1,000 random keys: 20 in each bin of equal probability; then 200 ordinary tokens at p = 0.2.
+    edges = [math.floor(-math.log((i + 0.5) / 50) * secrets.BINS_PER_E) for i in range(50)]
+    keys = {b: 20 * edges.count(b) for b in edges}
+    assert secrets.doubtful_from(keys, 0.05) > secrets.MOST_BINS
+    at = math.floor(-math.log(0.2) * secrets.BINS_PER_E)
+    mixed = {**keys, at: keys.get(at, 0) + 200}
+    assert secrets.doubtful_from(mixed, 0.05) <= at
+    assert secrets.doubtful_from({0: 1}, 0.05) > secrets.MOST_BINS  # one key
+
+
 def test_the_level_is_set_for_each_length_class():
     assert secrets.orderly_from({0: 1000}, 0.05) > secrets.MOST_BINS
     first = secrets.orderly_from({0: 10, 500: 10}, 0.05)
