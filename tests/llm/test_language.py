@@ -3,6 +3,7 @@
 import random
 import subprocess
 import sys
+import zlib
 
 import numpy as np
 import pytest
@@ -65,6 +66,25 @@ def test_held_out_accuracy_and_no_leaks(spark):
     assert messy.rows(again.drop("lang")) == messy.rows(out.drop("lang"))
 
 
+def test_predictions_against_plain_prototypes(spark):
+    rows = [(i, " ".join(t.split()[:12]), lang) for i, t, lang in corpus(160)]
+    rows += [(500, rows[0][1] + " " + rows[1][1], None), (501, "12 3", "aa"), (502, None, "bb"), (503, "漢 x", "dd")]
+    out = language.identify_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    learned = {}
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2 and lang and any(c.isalpha() for c in text or ""):
+            learned[lang] = learned.get(lang, 0) + plain_bundle(text)
+    prototypes = {lang: v / np.linalg.norm(v) for lang, v in learned.items()}
+    for row in out.collect():
+        if not any(c.isalpha() for c in row.text or ""):
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        cosines = {lang: float(plain_bundle(row.text) @ v) for lang, v in prototypes.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        assert row.lang_pred == best
+        assert row.score == pytest.approx(min(max(cosines[best], 0.0), 1.0), abs=1e-4)
+
+
 def test_the_sample_is_bounded(spark):
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")

@@ -1,6 +1,11 @@
 """The models against a plain Kneser-Ney, and held-out accuracy."""
 
+import collections
+import math
 import random
+import re
+import unicodedata
+import zlib
 
 import numpy as np
 import pytest
@@ -42,8 +47,6 @@ def test_held_out_accuracy_and_no_leaks(spark):
 
 
 def _held(doc_id):
-    import zlib
-
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
@@ -130,8 +133,6 @@ def test_toxic_words_in_any_script(spark):
 
 
 def test_a_class_whose_rows_are_all_the_curves(spark):
-    import zlib
-
     rows, labels = corpus(4, 400)
     of_curve = lambda i: zlib.crc32(str(i).encode()) // 4 % 8 == 0
     labels = [(i, t) for i, t in labels if not t or (of_curve(i) and not _held(i))]
@@ -146,3 +147,84 @@ def test_a_class_whose_rows_are_all_the_curves(spark):
             scores[r.doc_id in zorg].append(r.score)
     assert min(r.score for r in found) > 0
     assert np.median(scores[True]) > 2 * np.median(scores[False])
+
+
+def plain_sequences(text):
+    """The text with single breaks, and for each character but the first its sequence."""
+    kept = [c if unicodedata.category(c)[0] in "LMN" or unicodedata.category(c) == "So" else " " for c in (text or "").lower()]
+    line = re.sub(" +", " ", " " + "".join(kept) + " ")
+    out = []
+    for end in range(1, len(line)):
+        begin = max(b for b in range(end) if line[b] == " " and not (b > 1 and line[b - 2] == " ") or b == 0)
+        out.append(line[max(begin, end - toxicity.LENGTH + 1) : end + 1].rjust(toxicity.LENGTH))
+    return line, out
+
+
+def plain_model(rows):
+    """Probability of a sequence's last character, by class, from rows of (text, label)."""
+    tables = [collections.Counter(), collections.Counter()]
+    for text, label in rows:
+        tables[label].update(plain_sequences(text)[1])
+    levels = {toxicity.LENGTH: set(tables[0]) | set(tables[1])}
+    lower = {}
+    for k in range(toxicity.LENGTH - 1, 0, -1):
+        levels[k] = {g[1:] for g in levels[k + 1]}
+        lower[k] = collections.Counter(g[1:] for g in levels[k + 1])
+    facts = {}
+    for name, table in [*lower.items(), ("0", tables[0]), ("1", tables[1])]:
+        for gram, n in table.items():
+            total, kinds = facts.get((name, gram[:-1]), (0, 0))
+            facts[name, gram[:-1]] = total + n, kinds + 1
+
+    def chance(gram, name, table):
+        if not gram:
+            return 1 / (len(lower[1]) + 1)
+        below = chance(gram[1:], len(gram) - 1, lower.get(len(gram) - 1, {}))
+        total, kinds = facts.get((name, gram[:-1]), (0, 0))
+        own = max(table.get(gram, 0) - toxicity.DISCOUNT, 0) + toxicity.DISCOUNT * kinds * below
+        return own / total if total else below
+
+    return lambda gram: math.log(chance(gram, "1", tables[1]) / chance(gram, "0", tables[0]))
+
+
+def plain_evidence(text, ratio):
+    line, grams = plain_sequences(text)
+    each = [ratio(g) for g in grams]
+    if not each:
+        return 0.0, 0.0
+    words, at = [], 0
+    for word in line.strip().split(" "):
+        words.append(min(sum(each[at : at + len(word) + 1]), toxicity.MOST_RATIO))
+        at += len(word) + 1
+    n = toxicity.STRETCH
+    best = max(sum(each[i : i + n]) for i in range(len(each) - n + 1)) if len(each) >= n else sum(each)
+    mean = (sum(map(math.exp, words)) + toxicity.EXTRA_RATIO) / (len(words) + toxicity.EXTRA_WORDS)
+    return math.log(mean), best / n
+
+
+def test_scores_against_a_plain_model(spark):
+    rows, labels = corpus(6, 150)
+    rows = [(i, " ".join(t.split()[:30]) + ("" if i % 7 else "! É, x y z 9")) for i, t in rows]
+    rows += [(1000, None), (1001, ""), (1002, "?!"), (1003, rows[0][1]), (1004, "zorg"), (1005, "漢 字")]
+    labels += [(1003, 1), (1004, 1)]
+    out = toxicity.score_documents(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, toxic int"),
+    ).collect()
+    truth = dict(labels)
+    learned = [(i, t, truth[i]) for i, t in rows if i in truth and not _held(i)]
+    of_curve = [r for r in learned if zlib.crc32(str(r[0]).encode()) // 4 % 8 == 0]
+    apart = plain_model([(t, y) for i, t, y in learned if (i, t, y) not in of_curve])
+    x = np.array([(*plain_evidence(t, apart), 1.0) for _, t, _ in of_curve])
+    y = np.array([y for _, _, y in of_curve])
+    assert 5 < len(y) and 0 < y.sum() < len(y)
+    weights = toxicity.START.copy()
+    for _ in range(200_000):  # plain gradient ascent of the penalised likelihood
+        slope = x.T @ (y - 1 / (1 + np.exp(-x @ weights))) - toxicity.HOLD * (weights - toxicity.START)
+        weights = weights + 0.02 * slope
+        if np.abs(slope).max() < 1e-8:
+            break
+    own = plain_model([(t, y) for _, t, y in learned])
+    for row in out:
+        total = float(np.dot((*plain_evidence(row.text, own), 1.0), weights))
+        assert row.score == pytest.approx(1 / (1 + math.exp(-total)), abs=2e-4), row.doc_id
