@@ -13,13 +13,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine import derive_date_columns, save_external_table, write_partitions
+from moraine import cluster_for_write, derive_date_columns, save_external_table, write_partitions
 from workload.scratch import new_database, new_folder
 
 # A month of a feed is a folder; its files are recognised by their path.
 MONTH_FILES = r"/month=\d{4}-\d{2}/[^/]+\.parquet$"
 ORDERS_FILES = r"/orders" + MONTH_FILES
 
+# Up to so many shuffle partitions a map task writes rows straight to a file for each. With more it
+# holds them in memory to sort them by partition, and spills them where they do not fit.
+_UNSORTED = ("spark.shuffle.sort.bypassMergeThreshold", "200")
+
 # The month under which orders without a date are delivered.
 NO_MONTH = "0000-00"
 
@@ -140,7 +144,11 @@ def by_month(spark: SparkSession, sf_dir: str, name: str, time_column: str) -> D
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """Events by day, orders and lineitem by month."""
+    """Events by day, orders and lineitem by month.
+
+    The tables have few partitions each, so their rows are brought together by as many shuffle
+    partitions as need no sort: whole fact tables go through, and would spill in the sort.
+    """
     return _once(spark, sf_dir, "lake", lambda: _write_lake(spark, sf_dir))
 
 
@@ -151,6 +159,10 @@ def _write_lake(spark: SparkSession, sf_dir: str) -> Lake:
         "orders": (by_month(spark, sf_dir, "orders", "o_orderdate"), ["year", "month"]),
         "lineitem": (by_month(spark, sf_dir, "lineitem", "l_shipdate"), ["year", "month"]),
     }
+    partitions = int(spark.sparkContext.getConf().get(*_UNSORTED))
     for name, (rows, partition_by) in frames.items():
-        save_external_table(rows, f"{database}.{name}", f"{folder}/files-{name}", partition_by)
+        rows = cluster_for_write(rows, partition_by, partitions)
+        save_external_table(
+            rows, f"{database}.{name}", f"{folder}/files-{name}", partition_by, cluster=False
+        )
     return Lake(database, folder)
