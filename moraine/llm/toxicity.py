@@ -245,34 +245,36 @@ def measured(texts: DataFrame, ratios: DataFrame) -> DataFrame:
 
 def mixed(n: Column, total: Column, kinds: Column, below: Column) -> Column:
     """Discounted count of a context's character, the rest spread as the lower order says."""
-    some = (F.greatest(F.coalesce(n, F.lit(0)) - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * below) / total
+    some = (F.greatest(n - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * below) / total
     return F.when(total > 0, some).otherwise(below)
 
 
-def count_levels(counts: DataFrame) -> dict[int, DataFrame]:
-    """Seen sequences by length: each class's counts, and of shorter ones continuation counts."""
+def count_levels(counts: DataFrame, asked: DataFrame) -> dict[int, DataFrame]:
+    """Sequences by length, counted or asked for: each class's counts, and of shorter ones
+    continuation counts; 0 where none was seen."""
+    none = [F.lit(0).cast("long").alias(name) for name in COUNTS]
+    whole = counts.select("gram", *COUNTS).union(asked.select("gram", *none))
     sums = [F.sum(name).alias(name) for name in COUNTS]
-    seen = counts.where(" + ".join(COUNTS) + " > 0").groupBy("gram").agg(*sums)
-    levels = {LENGTH: materialize(seen, "grams-seen")}
+    levels = {LENGTH: materialize(whole.groupBy("gram").agg(*sums), "grams-seen")}
     for k in range(LENGTH - 1, 0, -1):
         by_class = k == LENGTH - 1
         several = [
             F.count_if((F.col(f"{m}_0") + F.col(f"{m}_1") if by_class else F.col(m)) > 0).alias(m)
             for m in MODELS
         ]
-        levels[k] = levels[k + 1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(*several)
+        shorter = levels[k + 1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(*several)
+        levels[k] = materialize(shorter, "grams-shorter")
     return levels
 
 
 def chances(counts: DataFrame, asked: DataFrame) -> DataFrame:
-    """For the sequences that are asked for, each class's probability of the last character.
+    """For the sequences that are counted or asked for, each class's probability of the last character.
 
-    Below one character is the same chance for all that were seen and one more.
+    Below one character is the same chance for all that were seen and one more. Each length is
+    written before the next: a plan of all lengths at once, with the copies it has of the shorter ones,
+    takes some 200 MB more of the driver while it is made and run, however few the texts.
     """
-    levels = count_levels(counts)
-    wanted = {LENGTH: asked.select("gram").distinct()}
-    for k in range(LENGTH - 1, 0, -1):
-        wanted[k] = wanted[k + 1].select(F.expr("substring(gram, 2)").alias("gram")).distinct()
+    levels = count_levels(counts, asked)
     found = None
     for k in range(1, LENGTH + 1):
         names = COUNTS if k == LENGTH else MODELS
@@ -280,18 +282,19 @@ def chances(counts: DataFrame, asked: DataFrame) -> DataFrame:
         facts = [F.sum(n).cast("double").alias(f"{n}_total") for n in names]
         facts += [F.count_if(F.col(n) > 0).cast("double").alias(f"{n}_kinds") for n in names]
         contexts = levels[k].groupBy(context).agg(*facts)
-        rows = wanted[k].select("gram", context, F.expr("substring(gram, 2)").alias("lower"))
-        rows = rows.join(levels[k], "gram", "left").join(contexts, "context", "left")
+        # The tables grow with the corpus: they are shuffled at every size, and none is broadcast.
+        rows = levels[k].select("gram", context, F.expr("substring(gram, 2)").alias("lower"), *names)
+        rows = rows.join(contexts.hint("merge"), "context")
         if k == 1:
-            below = {n: 1 / (F.coalesce(F.col(f"{n}_kinds"), F.lit(0.0)) + 1) for n in names}
+            below = {n: 1 / (F.col(f"{n}_kinds") + 1) for n in names}
         else:
-            rows = rows.join(found.withColumnRenamed("gram", "lower"), "lower", "left")
+            rows = rows.join(found.withColumnRenamed("gram", "lower").hint("merge"), "lower")
             below = {n: F.col("p_" + n.split("_")[0]) for n in names}
         chance = [
             mixed(F.col(n), F.col(f"{n}_total"), F.col(f"{n}_kinds"), below[n]).alias(f"p_{n}")
             for n in names
         ]
-        found = rows.select("gram", *chance)
+        found = materialize(rows.select("gram", *chance), "chances")
     return found
 
 
@@ -299,7 +302,7 @@ def log_ratios(counts: DataFrame, asked: DataFrame) -> DataFrame:
     """For each block's sequences, the toxic less the ordinary log-probability of the last character,
     by the models apart from the curve's rows and by those of all rows."""
     ratios = [(F.log(f"p_{m}_1") - F.log(f"p_{m}_0")).cast("float").alias(m) for m in MODELS]
-    return asked.join(chances(counts, asked), "gram").select("block", "h", *ratios)
+    return asked.join(chances(counts, asked).hint("merge"), "gram").select("block", "h", *ratios)
 
 
 # --- labels and the curve -----------------------------------------------------------------------

@@ -108,6 +108,26 @@ def test_chances_are_interpolated_kneser_ney(spark):
             assert row[f"p_own_{label}"] == pytest.approx(chance(row["gram"], table, seen))
 
 
+def test_no_plan_holds_all_lengths(spark, monkeypatch):
+    """What the driver needs for a plan grows with its exchanges, however few the rows."""
+    plans = []
+
+    def noted(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *more)
+
+    write = toxicity.materialize
+    monkeypatch.setattr(toxicity, "materialize", noted)
+    rows, labels = corpus(6, 200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    assert toxicity.score_documents(docs, marks).count() == len(rows)
+    # Rows, sequences, their five lengths, the chances of each, and the evidence.
+    assert len(plans) == 3 + 2 * toxicity.LENGTH
+    assert max(len(re.findall(r"\bExchange\b", plan)) for plan in plans) <= 6
+    assert not any("Broadcast" in plan for plan in plans)
+
+
 def test_toxic_words_in_any_script(spark):
     """Words of one script that differ in every letter."""
     alphabet = [chr(code) for code in range(ord("а"), ord("я") + 1)]
