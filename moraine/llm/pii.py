@@ -68,13 +68,18 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def is_byte(digits: str) -> bool:
+    """Whether digits, however many, are a number up to 255; none are 0."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or 0) <= 255
+
+
 def holds(kind: int, text: str) -> bool:
     """The check that a match of a kind must pass."""
     if kind == 0:
         return True
     if kind == 1:
-        parts = [p.lstrip("0") for p in text.split(".")]
-        return all(len(p) <= 3 and int(p or 0) <= 255 for p in parts)
+        return all(is_byte(p) for p in text.split("."))
     digits = digits_of(text)
     if kind == 2:
         return 12 <= len(digits) <= 19 and luhn(digits)
@@ -383,9 +388,10 @@ def hopeless(kind: int, text: str) -> bool:
     if kind == 0:
         return re.search(r"\s", text) is not None
     if kind == 1:
+        if not re.fullmatch(r"[0-9.]*", text):  # the network may mark anything
+            return True
         parts = text.split(".")
-        beyond = any(int(part or 0) > 255 for part in parts[1:-1])
-        return not re.fullmatch(r"[0-9.]*", text) or len(parts) > 4 or beyond
+        return len(parts) > 4 or not all(is_byte(p) for p in parts[1:-1])
     return not re.fullmatch(r"[+0-9\x20().-]*", text) or len(digits_of(text)) > MOST_DIGITS
 
 

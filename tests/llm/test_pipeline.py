@@ -126,3 +126,20 @@ def test_columns_that_are_not_there(spark, folder):
     docs = messy.documents(spark).select("text", "doc_id")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, folder).columns == ["text", "doc_id"]
+
+
+def test_personal_data_is_masked_whatever_the_network_marks(spark, monkeypatch):
+    """A network that takes every text for one address, so that all windows cut it."""
+
+    def train(windows, tags):
+        network = pii.new_network(np.random.default_rng(0))
+        network = {name: np.zeros_like(own) for name, own in network.items()}
+        network["tag"][[3, 4]] = 1, 2
+        return network
+
+    monkeypatch.setattr(pii, "train", train)
+    text = "see 10.0.0.1 sntg.11 or erst.ing " + "thon.ea " * 40 + "mail ann@example.org. "
+    docs = spark.createDataFrame([(1, text), (2, "in. 4 erly. es " * 30), (3, None)], "doc_id long, text string")
+    masked = corpus_pipeline.mask_personal_data(spark, docs, "")
+    wanted = text.replace("10.0.0.1", "[IP]").replace("ann@example.org", "[EMAIL]")
+    assert {r.doc_id: r.text for r in masked.collect()} == {1: wanted, 2: "in. 4 erly. es " * 30, 3: None}
